@@ -66,6 +66,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows of two or three numbers that may be broadcast, at most some 20 MB; beyond it, joins shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """A written table of narrow rows, marked for broadcast if a count shows that it is small enough."""
+    n = df.limit(BROADCAST_ROWS + 1).count()
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+
+
 # ---------------------------------------------------------------- hashing
 
 

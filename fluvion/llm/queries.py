@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, pii, quality, topk, warc
+from . import line_dedup, mixing, ngram_join, packing, pii, quality, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,19 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(_table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, lines with words, and the numbers (from 0) of the lines that go, for every document."""
+    docs = _table(spark, sf_dir, "documents")
+    found = line_dedup.find_duplicate_lines(docs)
+    out = docs.select("doc_id").join(found, F.col("doc_id") == F.col("doc"), "left")
+    gone = F.coalesce("lines", F.array().cast("array<long>"))
+    return out.select("doc_id", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_removed"), F.array_join(gone, ",").alias("removed_lines"))
+
+
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
@@ -47,6 +60,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_pii": op2_pii,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_mixing": op6_mixing,
     "op7_quality_rules": op7_quality_rules,
     "op8_exact_top_k": op8_exact_top_k,
