@@ -3,8 +3,8 @@
 A set is a sorted array of order keys (rare tokens first). If two sets reach the least Jaccard similarity, the first
 n - ceil(t n) + 1 tokens of each have one in common, so only these prefixes are posted, as packed blobs dealt to buckets by
 token. In a bucket, the entries of a token meet under the length, positional and (where signatures are given) bitmap
-filters. Short runs give all their pairs; long runs (large groups of near copies, or very common tokens) give the pairs
-with their few earliest members only, and all their entries are kept aside. Once those pairs are verified, most long
+filters. A set with more than a few partners left in a token's run (large groups of near copies, or very common tokens)
+names the earliest ones only, and all entries of the run are kept aside. Once those pairs are verified, most such
 runs are settled; the entries that aren't meet in full in a second pass. So nothing is lost, and no group of copies makes
 all its pairs. An item is the 64-bit hash of its set, so exact copies are one item from the start.
 """
@@ -22,8 +22,8 @@ from .common import keep, mix, pack, partitions, ship, unpack
 
 #: Least similarity, as a fraction of integers, so that no rounding decides.
 NUM, DEN = 3, 4
-#: Runs up to SHORT give all pairs; longer ones give pairs with their first EARLIEST members.
-SHORT, EARLIEST = 4, 3
+#: A set names up to MOST partners in a run; where it has more, the EARLIEST ones, and the run is kept aside.
+MOST, EARLIEST = 4, 2
 ENTRY = ("<u8", "<i8", "<i8", "<u4", "<u4", "<u4", "<u8", "<u8")  # key, item, doc, line, n, pos, two words of signature
 FLUSH = 1_500_000
 
@@ -82,55 +82,82 @@ class Poster:
             self.seen.clear()
 
 
-def _passes(c: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Length, positional and bitmap filters for pairs of entries of one token."""
-    _, item, _, _, n, pos, s0, s1 = c
-    a, b = n[i].astype(np.int64), n[j].astype(np.int64)
-    need = least_overlap(a, b)
-    ok = (np.minimum(a, b) * DEN >= np.maximum(a, b) * NUM) & (np.minimum(a - pos[i], b - pos[j]) >= need) & (item[i] != item[j])
-    if s0.any() or s1.any():
-        apart = np.bitwise_count(s0[i] ^ s0[j]).astype(np.int64) + np.bitwise_count(s1[i] ^ s1[j])
-        ok &= apart <= a + b - 2 * need
-    return ok
-
-
-def _sorted_runs(c: list[np.ndarray]):
-    """Entries by token, then by first occurrence; of one item in a token, the first occurrence only. Runs of two or more."""
-    order = np.lexsort((c[2 + 1], c[2], c[1], c[0]))
+def _sorted_runs(c: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Entries by token and then size, and the number of each entry's run; of one item in a token, its first occurrence. Runs of two or more."""
+    order = np.lexsort((c[3], c[2], c[1], c[0]))
     c = [x[order] for x in c]
     first = np.ones(len(c[0]), bool)
     first[1:] = (c[0][1:] != c[0][:-1]) | (c[1][1:] != c[1][:-1])
     c = [x[first] for x in c]
-    order = np.lexsort((c[1], c[3], c[2], c[0]))
-    c = [x[order] for x in c]
     edge = np.flatnonzero(np.r_[True, c[0][1:] != c[0][:-1], True])
     size = np.diff(edge)
     member = np.repeat(size > 1, size)
     c = [x[member] for x in c]
-    size = size[size > 1]
-    start = np.repeat(np.r_[0, np.cumsum(size)[:-1]].astype(np.int64) if len(size) else np.zeros(0, np.int64), size)
-    return c, start, np.repeat(size, size)
+    order = np.lexsort((c[1], c[4], c[0]))
+    return [x[order] for x in c], np.repeat(np.arange((size > 1).sum()), size[size > 1])
+
+
+def window_pairs(c: list[np.ndarray], run: np.ndarray, short_side: np.ndarray, long_side: np.ndarray, at_once: int = 4_000_000):
+    """Places (i, j) of pairs of a run that pass every filter, n[i] <= n[j], in chunks. The sides say which entries take part.
+
+    The length and positional filters are a range of sizes for each longer set: from t * n[j] up to what its position
+    leaves; shorter sets count only where their position leaves enough against an equal one. The bitmap bound is last.
+    """
+    _, item, _, _, n, pos, s0, s1 = c
+    n, pos = n.astype(np.int64), pos.astype(np.int64)
+    x = np.flatnonzero(short_side & (n - pos >= least_overlap(n, n)))
+    place = (run[x] << 32) | n[x]  # sorted, as runs are by size
+    y = np.flatnonzero(long_side)
+    low = -(-NUM * n[y] // DEN)
+    # least_overlap(a, n) <= n - pos  <=>  a <= (n - pos) * (NUM + DEN) / NUM - n
+    high = np.minimum(n[y], (n[y] - pos[y]) * (NUM + DEN) // NUM - n[y])
+    lo = np.searchsorted(place, (run[y] << 32) | low, "left")
+    hi = np.maximum(lo, np.searchsorted(place, (run[y] << 32) | np.maximum(high, 0), "right"))
+    many = hi - lo
+    y, lo, many = y[many > 0], lo[many > 0], many[many > 0]
+    signed = s0.any() or s1.any()
+    total = np.cumsum(many)
+    at = 0
+    while at < len(y):
+        stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + at_once, "right")))
+        count = many[at:stop]
+        j = np.repeat(y[at:stop], count)
+        i = x[np.repeat(lo[at:stop] - (np.cumsum(count) - count), count) + np.arange(len(j))]
+        need = least_overlap(n[i], n[j])
+        ok = (n[i] - pos[i] >= need) & (n[j] - pos[j] >= need) & (item[i] != item[j]) & ((n[i] < n[j]) | (i < j) | ~(short_side[j] & long_side[i] & (n[j] - pos[j] >= need)))
+        i, j = i[ok], j[ok]
+        if signed:
+            apart = np.bitwise_count(s0[i] ^ s0[j]).astype(np.int64) + np.bitwise_count(s1[i] ^ s1[j])
+            ok = apart <= n[i] + n[j] - 2 * need[ok]
+            i, j = i[ok], j[ok]
+        yield i, j
+        at = stop
+
+
+def _by_place(c: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair with the earlier occurrence first."""
+    _, item, doc, line, *_ = c
+    later = (doc[i] > doc[j]) | (doc[i] == doc[j]) & ((line[i] > line[j]) | (line[i] == line[j]) & (item[i] > item[j]))
+    return np.where(later, j, i), np.where(later, i, j)
 
 
 def candidate_pairs(c: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Items of pairs (earlier, later), and the entries of long runs."""
-    c, start, size = _sorted_runs(c)
-    index = np.arange(len(start))
-    rank = index - start
-    found = []
-    for d in range(1, SHORT):
-        j = index[(size <= SHORT) & (rank >= d)]
-        i = j - d
-        ok = _passes(c, i, j)
-        found.append((i[ok], j[ok]))
-    for k in range(EARLIEST):
-        j = index[(size > SHORT) & (rank > k) & (c[5] < 8)]
-        i = start[j] + k
-        ok = _passes(c, i, j)
-        found.append((i[ok], j[ok]))
-    i, j = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-    pairs = np.unique(np.stack([c[1][i], c[1][j]]), axis=1) if len(i) else np.zeros((2, 0), np.int64)
-    long = size > SHORT
+    """Items of pairs (earlier, later), and the entries of runs in which some entry had more partners than it may name."""
+    c, run = _sorted_runs(c)
+    every = np.ones(len(run), bool)
+    over, found = np.zeros(int(run[-1]) + 1 if len(run) else 0, bool), []
+    for i, j in window_pairs(c, run, every, every):
+        order = np.lexsort((c[1][i], c[3][i], c[2][i], j))  # of each longer set, the earliest partners
+        i, j = i[order], j[order]
+        rank = np.arange(len(j)) - np.searchsorted(j, j, "left")
+        over[run[j[rank >= MOST]]] = True
+        crowded = np.zeros(len(c[0]), bool)
+        crowded[j[rank >= MOST]] = True
+        ok = rank < np.where(crowded[j], EARLIEST, MOST)
+        i, j = _by_place(c, i[ok], j[ok])
+        found.append(np.unique(np.stack([c[1][i], c[1][j]]), axis=1))
+    pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+    long = over[run] if len(run) else every
     return pairs[0], pairs[1], [x[long] for x in c]
 
 
@@ -153,27 +180,43 @@ NAMES = ["kind", "a", "b", "doc", "line", "n", "pos", "s0", "s1"]
 SCHEMA = "kind int, a long, b long, doc long, line long, n long, pos long, s0 long, s1 long"
 
 
-def _settle(batches):
-    """Entries of long runs again, dealt by token: every pair that the filters leave and that isn't settled."""
-    parts = [b for b in batches if b.num_rows]
-    if not parts:
-        return
-    t = pa.Table.from_batches(parts)
-    get = lambda k: t[k].to_numpy()
-    c = [get("b").view("<u8"), get("a"), get("doc"), get("line"), get("n"), get("pos"), get("s0").view("<u8"), get("s1").view("<u8")]
-    order = np.lexsort((c[1], c[3], c[2], c[0]))
-    c = [x[order] for x in c]
-    part, asks = get("part")[order], get("asks")[order].astype(bool)
-    edge = np.flatnonzero(np.r_[True, c[0][1:] != c[0][:-1], True])
-    for lo, hi in zip(edge[:-1], edge[1:]):
-        for j in range(lo + 1, hi):
-            if not asks[j]:
-                continue
-            i = np.arange(lo, j)
-            i = i[part[i] != part[j]]
-            i = i[_passes(c, i, np.full(len(i), j))]
-            if len(i):
-                yield pa.record_batch([pa.array(c[1][i]), pa.array(np.full(len(i), c[1][j]))], ["a", "b"])
+def _settle(ordered: bool):
+    """Entries of crowded runs again, dealt by token: every pair that the filters leave and that isn't settled.
+
+    ordered: a pair is owed if its later item asks; otherwise if its parts differ, and then the largest part of a run
+    needs no pairs of its own.
+    """
+
+    def run_(batches):
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        t = pa.Table.from_batches(parts)
+        get = lambda k: t[k].to_numpy()
+        c = [get("b").view("<u8"), get("a"), get("doc"), get("line"), get("n"), get("pos"), get("s0").view("<u8"), get("s1").view("<u8")]
+        order = np.lexsort((c[1], c[4], c[0]))
+        c = [x[order] for x in c]
+        part, asks = get("part")[order], get("asks")[order].astype(bool)
+        run = np.cumsum(np.r_[False, c[0][1:] != c[0][:-1]])
+        if not ordered:
+            by = np.lexsort((part, run))
+            new = np.r_[True, (run[by][1:] != run[by][:-1]) | (part[by][1:] != part[by][:-1])]
+            size = np.diff(np.r_[np.flatnonzero(new), len(by)])
+            largest = np.zeros(int(run[-1]) + 1, np.int64)
+            np.maximum.at(largest, run[by][new], size)
+            main = np.zeros(int(run[-1]) + 1, np.int64)
+            top = size == largest[run[by][new]]
+            main[run[by][new][top]] = part[by][new][top]
+            asks = part != main[run]
+        every = np.ones(len(run), bool)
+        for short_side, long_side in ((every, asks), (asks, ~asks)):
+            for i, j in window_pairs(c, run, short_side, long_side):
+                i, j = _by_place(c, i, j)
+                owed = asks[j] if ordered else part[i] != part[j]
+                pairs = np.unique(np.stack([c[1][i[owed]], c[1][j[owed]]]), axis=1)
+                yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+    return run_
 
 
 def candidates(posted: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -193,7 +236,7 @@ def unsettled(long: DataFrame, state: DataFrame) -> DataFrame:
     rows = long.join(s, long["a"] == s["_i"], "left").select("a", "b", *place, "n", "pos", "s0", "s1", F.coalesce("part", "a").alias("part"), F.coalesce("asks", F.lit(1)).alias("asks"))
     rows = keep(rows, "join_long")
     open_ = rows.groupBy(F.col("b").alias("_b")).agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max("asks").alias("any")).where("lo < hi and any = 1").select("_b")
-    return rows.join(open_, rows["b"] == open_["_b"], "left_semi").repartition(partitions(spark), "b").mapInArrow(_settle, "a long, b long").distinct()
+    return rows.join(open_, rows["b"] == open_["_b"], "left_semi").repartition(partitions(spark), "b").mapInArrow(_settle(own), "a long, b long").distinct()
 
 
 def _verify(batches):
