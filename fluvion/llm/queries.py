@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, ngram_join, packing, pii, quality, topk, warc
+from . import line_dedup, mixing, ngram_join, packing, pii, quality, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(_table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, lines with words, and the numbers (from 0) of the lines that go, for every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -60,6 +64,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_pii": op2_pii,
+    "op3_toxicity": op3_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_mixing": op6_mixing,
