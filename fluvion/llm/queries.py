@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, ngram_join, packing, pii, quality, topk, toxicity, warc
+from . import line_dedup, mixing, ngram_join, packing, pii, quality, suffix_dedup, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,21 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every document: words in passages of 50 and more that repeat anywhere, words with an earlier occurrence, and
+    both as word spans (from 0, end exclusive)."""
+    docs = _table(spark, sf_dir, "documents")
+    out = docs.select("doc_id").join(suffix_dedup.repeated_passages(docs), F.col("doc_id") == F.col("doc"), "left")
+
+    def words(name: str):
+        return F.coalesce(F.aggregate(name, F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0]), F.lit(0).cast("long"))
+
+    def spans(name: str):
+        return F.coalesce(F.array_join(F.transform(name, lambda s: F.concat_ws(":", s[0].cast("string"), s[1].cast("string"))), ","), F.lit(""))
+
+    return out.select("doc_id", words("repeated").alias("n_repeated"), words("removed").alias("n_removed"), spans("repeated").alias("repeated"), spans("removed").alias("removed"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.write_archive(_table(spark, sf_dir, "pages"))
     return warc.read_archive(spark, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -70,6 +85,7 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op7_quality_rules": op7_quality_rules,
     "op8_exact_top_k": op8_exact_top_k,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_warc": op10_warc,
 }
 
