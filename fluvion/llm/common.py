@@ -76,6 +76,13 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
+def one_of_equals(rows: DataFrame, decided: DataFrame, n_col: str, key: list[str]) -> DataFrame:
+    """One row of each key. n_col says how many rows a key has; only where that is over one anywhere is anything dealt by key."""
+    if not decided.where(F.col(n_col) > 1).limit(1).count():
+        return rows
+    return rows.where(F.col(n_col) == 1).unionByName(rows.where(F.col(n_col) > 1).dropDuplicates(key))
+
+
 # ---------------------------------------------------------------- hashing
 
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, keep, ship
+from .common import WORD, keep, one_of_equals, ship
 
 #: Documents in a block, about; bounds what one task holds.
 BLOCK = 4096
@@ -113,9 +113,9 @@ def _block(last: bool, level: int):
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, block: int = BLOCK) -> DataFrame:
-    """id, source, size, source_size, target, copies and taken (words), one row for each row of docs."""
+    """id, source, size, source_size, target, copies, taken (words) and text_hash, one row for each row of docs."""
     size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long")
-    sized = keep(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), size.alias("size"), F.xxhash64(F.col(id_col), F.lit(17)).alias("_key")), "mix_sizes")
+    sized = keep(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), size.alias("size"), F.xxhash64(F.col(id_col), F.lit(17)).alias("_key"), F.xxhash64(F.col(text_col)).alias("_th")), "mix_sizes")
     found = sized.groupBy("_source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()
     if len(found) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
@@ -128,7 +128,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # one row a source, at most MOST_SOURCES rows: its size is checked above
     rows = sized.join(F.broadcast(plan), F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
     rows = rows.withColumn("_block", F.pmod("_key", "blocks"))
-    columns = "_id, _source, size, _key, source_size, target, base, p, blocks, _block".split(", ")
+    columns = "_id, _th, _source, size, _key, source_size, target, base, p, blocks, _block".split(", ")
     schema = rows.select(columns).schema
     done, blocks, level = [], max((-(-r["n"] // block) for r in found), default=1), 0
     open_ = rows.select(columns)
@@ -149,7 +149,15 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for d in done[1:]:
         out = out.unionByName(d)
     copies = (F.col("base") + F.round("p").cast("int")).cast("int")
-    return out.select(F.col("_id").alias(id_col), F.col("_source").alias(source_col), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    return out.select(F.col("_id").alias(id_col), F.col("_source").alias(source_col), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), F.col("_th").alias("text_hash"))
+
+
+def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """docs with each row as often as the mix takes it; rows equal in id and text share their copies."""
+    mix = mix_sources(docs, id_col, text_col, **settings)
+    per = keep(mix.groupBy(F.col(id_col).alias("__i"), F.col("text_hash").alias("__h")).agg(F.sum("copies").alias("__n"), F.count("*").alias("__rows")).where("__n > 0"), "mix_copies")
+    met = docs.join(per, F.col(id_col).eqNullSafe(F.col("__i")) & (F.xxhash64(F.col(text_col)) == F.col("__h")))
+    return one_of_equals(met, per, "__rows", ["__i", "__h"]).withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))).select(*docs.columns)
 
 
 ship(__name__)

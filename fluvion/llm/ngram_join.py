@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, ONLY_ASCII_SPACE, SLOTS, count_into, gather_sketch, grams, keep, levels, order_key, partitions, ship, sketch_rows, small_side, word_hashes, worker_cache
+from .common import LOWER, ONLY_ASCII_SPACE, SLOTS, WORD, count_into, gather_sketch, grams, keep, levels, one_of_equals, order_key, partitions, ship, sketch_rows, small_side, word_hashes, worker_cache
 from .setjoin import Poster, candidates, components, unsettled, verified
 
 WORDS = 5
@@ -46,7 +46,7 @@ def item_of(s: np.ndarray) -> int:
 
 def _sign(kind: str, n: int):
     """Texts to names and sizes of their sets (what 0), and the task's sketch (what 1)."""
-    names = ["what", "_id", "item", "n", "bucket", "blob"]
+    names = ["what", "_id", "_th", "item", "n", "bucket", "blob"]
 
     def run(batches):
         counts = np.zeros(SLOTS, np.uint32)
@@ -56,9 +56,9 @@ def _sign(kind: str, n: int):
             if some:
                 count_into(counts, np.concatenate(some))
             m = len(sets)
-            yield pa.record_batch([pa.array(np.zeros(m, np.int32)), b["_id"], pa.array([item_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary())], names)
+            yield pa.record_batch([pa.array(np.zeros(m, np.int32)), b["_id"], b["_th"], pa.array([item_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary())], names)
         for seg, blob in sketch_rows(counts):
-            yield pa.record_batch([pa.array([1], pa.int32()), pa.nulls(1, pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([seg], pa.int64()), pa.array([blob])], names)
+            yield pa.record_batch([pa.array([1], pa.int32()), pa.nulls(1, pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([seg], pa.int64()), pa.array([blob])], names)
 
     return run
 
@@ -91,12 +91,13 @@ def _sets(n: int):
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """One row for each row of docs: id, n_shingles, item (name of its set), n_links (of the set, to other sets) and component_id."""
+    """One row for each row of docs: id, n_shingles, item (name of its set), n_links (of the set, to other
+    sets), component_id, part (name of the component) and text_hash."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
-    signed = keep(base.mapInArrow(_sign(kind, words), f"what int, _id {kind}, item long, n long, bucket long, blob binary"), "ngram_sets", "what")
-    rows = signed.where("what = 0").select("_id", "item", "n")
+    signed = keep(base.withColumn("_th", F.xxhash64("_t")).mapInArrow(_sign(kind, words), f"what int, _id {kind}, _th long, item long, n long, bucket long, blob binary"), "ngram_sets", "what")
+    rows = signed.where("what = 0").select("_id", "_th", "item", "n")
     # fixed size: one byte for each of SLOTS counters
     level = spark.sparkContext.broadcast(levels(gather_sketch(signed.where("what = 1"))))
     posted = base.mapInArrow(_post(level, words, 3 * partitions(spark)), "bucket long, blob binary")
@@ -117,9 +118,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     degree = links.select(F.explode(F.array("a", "b")).alias("item")).groupBy("item").agg(F.count("*").alias("n_links"))
     named = one.join(parts, "item", "left").select("item", "_r", F.coalesce("part", "item").alias("part"))
     least = named.groupBy("part").agg(F.min("_r").alias("least"))
-    member = named.join(least, "part").join(degree, "item", "left").select(F.col("item").alias("_i"), "least", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    member = named.join(least, "part").join(degree, "item", "left").select(F.col("item").alias("_i"), "least", "part", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     out = rows.join(member, rows["item"] == member["_i"], "left")
-    return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "item", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("item").isNull(), F.col("_id")).otherwise(F.col("least")).alias("component_id"))
+    return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "item", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("item").isNull(), F.col("_id")).otherwise(F.col("least")).alias("component_id"), "part", F.col("_th").alias("text_hash"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
+    """docs with one row of each group of near duplicates, that with the least id; rows without words all stay."""
+    found = near_duplicates(docs, id_col, text_col, words)
+    least = found.where("part is not null").groupBy("part", id_col, "text_hash").agg(F.count("*").alias("n")).groupBy("part").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("i"), F.col("text_hash").alias("h"), F.col("n"))).alias("m"))
+    stays = keep(least.select(F.col("m.i").alias("__i"), F.col("m.h").alias("__h"), F.col("m.n").alias("__rows")), "ngram_stays")
+    empty = ~F.coalesce(F.col(text_col), F.lit("")).rlike(WORD)
+    met = docs.join(stays, F.col(id_col).eqNullSafe(F.col("__i")) & (F.xxhash64(F.col(text_col)) == F.col("__h")), "left").where(empty | F.col("__h").isNotNull())
+    met = met.withColumn("__rows", F.coalesce("__rows", F.lit(1)))
+    return one_of_equals(met, stays, "__rows", ["__i", "__h"]).select(*docs.columns)
 
 
 ship(__name__)

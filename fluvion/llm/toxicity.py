@@ -23,6 +23,8 @@ from .common import crc_text, ship, worker_cache
 #: Bounds of the training sample.
 MOST_TOXIC, MOST_CLEAN, MOST_WORDS = 2000, 4000, 1500
 WINDOW, STRIDE = 64, 48
+#: Windows of a training step, and steps that even a small sample gets.
+BATCH, LEAST_STEPS = 128, 220
 BUCKETS, WORD_DIM, CHAR_DIM, HIDDEN = 1 << 15, 6, 10, 8
 DIM = WORD_DIM + CHAR_DIM
 EDGE = ".,;:!?|\"'()[]{}<>#*$%&-_"
@@ -266,13 +268,14 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, se
     spans = [windows(len(d)) for d in docs]
     worst = [max(s, key=lambda w: odds[i[w[0] : w[1]]].max(initial=-9)) for s, i in zip(spans, ids)]
     adam: dict = {}
+    epochs = max(epochs, -(-LEAST_STEPS * BATCH // max(1, len(docs) + int((y == 0).sum()))))
     for epoch in range(epochs):
         items = [(k, *worst[k], 1.0) for k in range(len(docs))]
         items += [(k, *spans[k][rng.integers(len(spans[k]))], 1.0) for k in range(len(docs)) if y[k] == 0 and len(spans[k]) > 1]
         rng.shuffle(items)
         items = [(int(k), int(s), int(e), w) for k, s, e, w in items if e > s]
-        for lo in range(0, len(items), 128):
-            part = items[lo : lo + 128]
+        for lo in range(0, len(items), BATCH):
+            part = items[lo : lo + BATCH]
             size = np.array([e - s for _, s, e, _ in part])
             grid = np.zeros((size.max(), len(part)), np.int64)
             for c, (k, s, e, _) in enumerate(part):
@@ -323,28 +326,47 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train([r[1] for r in rows], [r[2] for r in rows], share["k"] / share["n"])
 
 
-def _score(model, text_first: bool = True):
+def _scores(model, texts: list[str | None]) -> np.ndarray:
+    """Scores of a batch, some words at a time."""
+    net = model.value
+    held = worker_cache("toxicity")
+    if held.get("id") != id(net):
+        held.clear()
+        held.update(id=id(net), net=net, scorer=Scorer(net) if net else None)
+    out, part, words = [], [], 0
+    for t in texts:
+        part.append(words_of(t))
+        words += len(part[-1])
+        if words > 150_000:
+            out.append(held["scorer"].scores(part) if net else np.zeros(len(part)))
+            part, words = [], 0
+    out.append(held["scorer"].scores(part) if net else np.zeros(len(part)))
+    return np.concatenate(out)
+
+
+def _score(model):
     def run(batches):
-        net = model.value
-        held = worker_cache("toxicity")
-        if held.get("id") != id(net):
-            held.clear()
-            held.update(id=id(net), scorer=Scorer(net) if net else None)
         for b in batches:
-            out, part, words = [], [], 0
-            for t in b["_t"].to_pylist():
-                part.append(words_of(t))
-                words += len(part[-1])
-                if words > 150_000:
-                    out.append(held["scorer"].scores(part) if net else np.zeros(len(part)))
-                    part, words = [], 0
-            out.append(held["scorer"].scores(part) if net else np.zeros(len(part)))
-            columns = {n: b[n] for n in b.schema.names if n != "_t" or not text_first}
-            yield pa.record_batch([*columns.values(), pa.array(np.concatenate(out))], [*columns, "score"])
+            yield pa.record_batch([b["_id"], pa.array(_scores(model, b["_t"].to_pylist()))], ["_id", "score"])
 
     return run
 
 
+def _keep(model, text_place: int, threshold: float):
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(_scores(model, b.column(text_place).to_pylist()) < threshold))
+
+    return run
+
+
+def reject_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+    """The rows of docs that score below the threshold, with all their columns."""
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col))
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(_keep(model, docs.columns.index(text_col), threshold), plain.schema).toDF(*docs.columns)
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, held_out, score and predicted for every row of docs."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col))
