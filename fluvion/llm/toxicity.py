@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import crc_text, ship, worker_cache
 
 #: Bounds of the training sample.
-MOST_TOXIC, MOST_CLEAN, MOST_WORDS = 2000, 4000, 1500
+MOST_TOXIC, MOST_CLEAN, MOST_WORDS = 1200, 2000, 800
 WINDOW, STRIDE = 64, 48
 #: Windows of a training step, and steps that even a small sample gets.
 BATCH, LEAST_STEPS = 128, 220
@@ -38,8 +38,15 @@ def words_of(text: str | None) -> list[str]:
     return text.lower().split() if text else []
 
 
-def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def features(words: list[str], at_once: int = 20_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each word: its bucket, and its character grams' buckets, flat, with their starts."""
+    parts = [_features(words[k : k + at_once]) for k in range(0, max(1, len(words)), at_once)]
+    shift = np.cumsum([0, *[len(g) for _, g, _ in parts[:-1]]])
+    start = [s[:-1] + k for (_, _, s), k in zip(parts, shift)]
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate([*start, [sum(len(p[1]) for p in parts)]])
+
+
+def _features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     import xxhash
 
     bare = [w.strip(EDGE) or w for w in words]
@@ -64,7 +71,7 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     owner, gram = np.concatenate(owner or [at[:0]]), np.concatenate(gram or [at[:0]])
     order = np.argsort(owner, kind="stable")
     start = np.searchsorted(owner[order], np.arange(len(raw) + 1))
-    return bucket, gram[order], start
+    return bucket.astype(np.int32), gram[order].astype(np.int32), start
 
 
 def sigmoid(x):
@@ -221,7 +228,9 @@ class Scorer:
                 grown = np.zeros((max(2 * len(self.table), self.filled + len(new), 4096), 6 * HIDDEN), np.float32)
                 grown[: self.filled] = self.table[: self.filled]
                 self.table = grown
-            self.table[self.filled : self.filled + len(new)] = self.net.project(self.net.inputs(features(new)))
+            for k in range(0, len(new), 20_000):
+                some = self.net.project(self.net.inputs(features(new[k : k + 20_000])))
+                self.table[self.filled + k : self.filled + k + len(some)] = some
             self.place.update(zip(new, range(self.filled, self.filled + len(new))))
             self.filled += len(new)
         return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
@@ -254,6 +263,15 @@ class Scorer:
         return sigmoid(self.net.scale * worst.astype(np.float64) + self.net.shift)
 
 
+def _all_windows(net: Network, docs: list[list[str]]) -> tuple[np.ndarray, list]:
+    scorer, logits, places = Scorer(net, 60_000), [], []
+    for lo in range(0, len(docs), 200):
+        v, _, spans = scorer.window_logits(docs[lo : lo + 200], 256)
+        logits.append(v)
+        places += [(lo + k, s, e) for k, s, e in spans]
+    return np.concatenate(logits), places
+
+
 def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, seed: int = 7) -> Network:
     """prior: the share of toxic documents among all labelled ones, for calibration."""
     net, rng = Network(seed), np.random.default_rng(seed)
@@ -284,15 +302,15 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, se
             target = y[[k for k, *_ in part]]
             net.step(feats, grid, size, target, np.ones(len(part), np.float32), adam, 0.02 if epoch < epochs - 2 else 0.006)
         if epoch >= 1:
-            logit, _, places = Scorer(net, 10**9).window_logits(docs)
+            logit, places = _all_windows(net, docs)
             best: dict[int, tuple] = {}
             for v, (k, s, e) in zip(logit, places):
                 if k not in best or v > best[k][0]:
                     best[k] = (v, s, e)
             worst = [best[k][1:] for k in range(len(docs))]
-    logit, owner, _ = Scorer(net, 10**9).window_logits(docs)
+    logit, places = _all_windows(net, docs)
     top = np.full(len(docs), -np.inf)
-    np.maximum.at(top, owner, logit)
+    np.maximum.at(top, [k for k, _, _ in places], logit)
     weight = np.where(y == 1, prior / max(y.mean(), 1e-9), (1 - prior) / max(1 - y.mean(), 1e-9))
     a, b = 1.0, 0.0
     for _ in range(200):  # logistic calibration by Newton steps, slightly ridged
