@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 #: A word, and what separates words: blank, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
-#: ASCII capitals only; other letters stay as they are.
-LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
-ONLY_ASCII_SPACE = str.maketrans({c: " " for c in SPACES})
 
 
 def ship(name: str) -> None:
@@ -95,17 +92,55 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(words: list[str], memory: dict) -> np.ndarray:
-    """A 64-bit hash of each word; memory keeps those seen, and is emptied when it gets large."""
-    import xxhash
-
-    one = xxhash.xxh3_64_intdigest
-    if len(memory) > 400_000:
-        memory.clear()
-    new = set(words).difference(memory)
-    for w in new:
-        memory[w] = one(w.encode("utf-8", "surrogatepass"))
-    return np.fromiter(map(memory.__getitem__, words), np.uint64, len(words))
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+
+def _tables(n: int) -> tuple[np.ndarray, ...]:
+    """A random value for each byte (capitals as small letters), which bytes separate words, and powers of the base."""
+    t = worker_cache("word_tables")
+    if not t:
+        with np.errstate(over="ignore"):
+            value = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+        value[65:91] = value[97:123]
+        space = np.zeros(256, bool)
+        space[[9, 10, 11, 12, 13, 32]] = True
+        t.update(value=value, space=space, n=0)
+    if t["n"] < n:
+        n = max(n, 1 << 21)
+        with np.errstate(over="ignore"):
+            t["power"] = np.cumprod(np.r_[np.uint64(1), np.full(n, BASE, np.uint64)])
+            t["back"] = np.cumprod(np.r_[np.uint64(1), np.full(n, INVERSE, np.uint64)])
+        t["n"] = n
+    return t["value"], t["space"], t["power"], t["back"]
+
+
+def word_chunks(texts: pa.Array, most_bytes: int = 1_500_000):
+    """Portions of a column of texts as (first row, end row, hash of each word, its row, its line), by whole-array operations.
+
+    Words are runs of other than the six ASCII white-space characters, ASCII capitals lowered; rows and lines count from
+    0, rows from the portion's first. A hash is 64 bits: a polynomial over random byte values, with the length mixed in.
+    """
+    texts = texts.fill_null("").cast(pa.large_binary()) if not isinstance(texts, pa.ChunkedArray) else texts.combine_chunks().fill_null("").cast(pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    whole = np.frombuffer(texts.buffers()[2], np.uint8) if len(texts) and texts.buffers()[2] is not None else np.zeros(0, np.uint8)
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + most_bytes, "right")) - 1)
+        data, at = whole[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+        value, space, power, back = _tables(len(data) + 1)
+        gap = space[data]
+        edge = np.zeros(len(data) + 1, bool)
+        edge[at] = True  # a text's end ends its word
+        start = np.flatnonzero(~gap & (np.r_[True, gap[:-1]] | edge[:-1])) if len(data) else np.zeros(0, np.int64)
+        end = np.flatnonzero(~gap & (np.r_[gap[1:], True] | edge[1:])) + 1 if len(data) else start
+        with np.errstate(over="ignore"):
+            total = np.r_[np.uint64(0), np.cumsum(value[data] * power[: len(data)])]
+            h = mix((total[end] - total[start]) * back[start] + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+        row = np.searchsorted(at, start, "right") - 1
+        feeds = np.flatnonzero(data == 10)
+        line = np.searchsorted(feeds, start, "left") - np.searchsorted(feeds, at[row], "left")
+        yield lo, hi, h, row, line
+        lo = hi
 
 
 def grams(h: np.ndarray, n: int) -> np.ndarray:

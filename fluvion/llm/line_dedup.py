@@ -17,33 +17,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SLOTS, count_into, gather_sketch, keep, levels, mix, order_key, partitions, ship, sketch_rows, small_side, word_hashes, worker_cache
+from .common import SLOTS, count_into, gather_sketch, keep, levels, mix, order_key, partitions, ship, sketch_rows, small_side, word_chunks
 from .setjoin import ENTRY, NUM, DEN, Poster, candidates, unsettled, verified
 
 LAST = 2**63 - 1
 
 
-def line_sets(texts: list[str | None]):
-    """Of all lines with words: text, line number, size, and start in the flat array of distinct word hashes; that array."""
-    from .ngram_join import split_words
-
-    words, row, number, size = [], [], [], []
-    for i, t in enumerate(texts):
-        for k, line in enumerate((t or "").translate(LOWER).split("\n")):
-            w = split_words(line)
-            if w:
-                words += w
-                row.append(i), number.append(k), size.append(len(w))
-    h = word_hashes(words, worker_cache("words"))
-    line = np.repeat(np.arange(len(size)), size)
-    order = np.lexsort((h, line))
-    h, line = h[order], line[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
-    h, line = h[new], line[new]
-    n = np.bincount(line, minlength=len(size)).astype(np.int64)
-    start = np.r_[0, np.cumsum(n)[:-1]].astype(np.int64) if len(n) else n
-    return np.array(row, np.int64), np.array(number, np.int64), n, start, h, line
+def line_sets(texts: pa.Array):
+    """Portions of all lines with words: row, line number, size, and start in the flat array of distinct word hashes; that
+    array, and the line of each hash."""
+    for lo, _, h, row, line in word_chunks(texts):
+        first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (line[1:] != line[:-1])]) if len(h) else np.zeros(0, np.int64)
+        own = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(h)]))
+        order = np.lexsort((h, own))
+        h, own = h[order], own[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (own[1:] != own[:-1])
+        h, own = h[new], own[new]
+        n = np.bincount(own, minlength=len(first)).astype(np.int64)
+        start = np.r_[0, np.cumsum(n)[:-1]].astype(np.int64) if len(n) else n
+        yield row[first] + lo, line[first].astype(np.int64), n, start, h, own
 
 
 def item_names(h: np.ndarray, n: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -58,11 +51,11 @@ def _sign(batches):
     names = ["what", "doc", "line", "item", "bucket", "blob"]
     counts = np.zeros(SLOTS, np.uint32)
     for b in batches:
-        row, number, n, start, h, _ = line_sets(b["_t"].to_pylist())
-        count_into(counts, h)
-        m = len(row)
-        doc = b["_id"].fill_null(LAST).to_numpy(zero_copy_only=False)[row]
-        yield pa.record_batch([pa.array(np.zeros(m, np.int32)), pa.array(doc), pa.array(number), pa.array(item_names(h, n, start)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary())], names)
+        ids = b["_id"].fill_null(LAST).to_numpy(zero_copy_only=False)
+        for row, number, n, start, h, _ in line_sets(b["_t"]):
+            count_into(counts, h)
+            m = len(row)
+            yield pa.record_batch([pa.array(np.zeros(m, np.int32)), pa.array(ids[row]), pa.array(number), pa.array(item_names(h, n, start)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary())], names)
     for seg, blob in sketch_rows(counts):
         yield pa.record_batch([pa.array([1], pa.int32()), *[pa.nulls(1, pa.int64())] * 3, pa.array([seg], pa.int64()), pa.array([blob])], names)
 
@@ -77,26 +70,27 @@ def _post(level, buckets: int):
                 yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows])], ["bucket", "blob"])
 
         for b in batches:
-            row, number, n, start, h, line = line_sets(b["_t"].to_pylist())
-            if not len(n):
-                continue
-            doc = b["_id"].fill_null(LAST).to_numpy(zero_copy_only=False)[row]
-            item = item_names(h, n, start)
-            bit = (h >> np.uint64(57)).astype(np.int64)
-            word = np.uint64(1) << (bit & 63).astype(np.uint64)
-            sig = [np.bitwise_or.reduceat(np.where(bit >> 6 == k, word, np.uint64(0)), start) for k in (0, 1)]
-            key = order_key(h, level.value)
-            order = np.lexsort((key, line))
-            key = key[order]  # lines keep their places, tokens of a line now stand by rarity
-            pos = np.arange(len(key)) - start[line]
-            _, first = np.unique(item, return_index=True)
-            fresh = np.zeros(len(n), bool)
-            fresh[[i for i in first.tolist() if item[i] not in poster.seen]] = True
-            poster.seen.update(item[fresh].tolist())
-            take = (pos < (n - -(-NUM * n // DEN) + 1)[line]) & fresh[line]
-            at = line[take]
-            columns = [key[take], item[at], doc[at], number[at], n[at], pos[take], sig[0][at], sig[1][at]]
-            yield from out(poster.extend([c.astype(t, copy=False) for c, t in zip(columns, ENTRY)]))
+            ids = b["_id"].fill_null(LAST).to_numpy(zero_copy_only=False)
+            for row, number, n, start, h, line in line_sets(b["_t"]):
+                if not len(n):
+                    continue
+                doc = ids[row]
+                item = item_names(h, n, start)
+                bit = (h >> np.uint64(57)).astype(np.int64)
+                word = np.uint64(1) << (bit & 63).astype(np.uint64)
+                sig = [np.bitwise_or.reduceat(np.where(bit >> 6 == k, word, np.uint64(0)), start) for k in (0, 1)]
+                key = order_key(h, level.value)
+                order = np.lexsort((key, line))
+                key = key[order]  # lines keep their places, tokens of a line now stand by rarity
+                pos = np.arange(len(key)) - start[line]
+                _, first = np.unique(item, return_index=True)
+                fresh = np.zeros(len(n), bool)
+                fresh[[i for i in first.tolist() if item[i] not in poster.seen]] = True
+                poster.seen.update(item[fresh].tolist())
+                take = (pos < (n - -(-NUM * n // DEN) + 1)[line]) & fresh[line]
+                at = line[take]
+                columns = [key[take], item[at], doc[at], number[at], n[at], pos[take], sig[0][at], sig[1][at]]
+                yield from out(poster.extend([c.astype(t, copy=False) for c, t in zip(columns, ENTRY)]))
         yield from out(poster.flush())
 
     return run
@@ -105,11 +99,11 @@ def _post(level, buckets: int):
 def _line_sets_of(batches):
     """Sets of the wanted lines of each text."""
     for b in batches:
-        row, number, n, start, h, _ = line_sets(b["_t"].to_pylist())
         wanted = [set(x) for x in b["lines"].to_pylist()]
-        item = item_names(h, n, start)
-        pick = [k for k, (r, i) in enumerate(zip(row.tolist(), number.tolist())) if i in wanted[r]]
-        yield pa.record_batch([pa.array(item[pick]), pa.array([h[start[k] : start[k] + n[k]].tobytes() for k in pick], pa.binary())], ["item", "set"])
+        for row, number, n, start, h, _ in line_sets(b["_t"]):
+            item = item_names(h, n, start)
+            pick = [k for k, (r, i) in enumerate(zip(row.tolist(), number.tolist())) if i in wanted[r]]
+            yield pa.record_batch([pa.array(item[pick]), pa.array([h[start[k] : start[k] + n[k]].tobytes() for k in pick], pa.binary())], ["item", "set"])
 
 
 def find_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -19,22 +19,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, ONLY_ASCII_SPACE, SLOTS, WORD, count_into, gather_sketch, grams, keep, levels, one_of_equals, order_key, partitions, ship, sketch_rows, small_side, word_hashes, worker_cache
+from .common import SLOTS, WORD, count_into, gather_sketch, grams, keep, levels, one_of_equals, order_key, partitions, ship, sketch_rows, small_side, word_chunks
 from .setjoin import Poster, candidates, components, unsettled, verified
 
 WORDS = 5
 
 
-def split_words(text: str) -> list[str]:
-    t = text.translate(ONLY_ASCII_SPACE) if not text.isascii() or any(c in text for c in "\n\t\r\x0b\x0c") else text
-    return [w for w in t.split(" ") if w]
-
-
-def shingles(text: str | None, n: int = WORDS) -> np.ndarray:
-    """The distinct runs of n words as sorted 64-bit hashes."""
-    if not text:
-        return np.zeros(0, np.uint64)
-    return np.unique(grams(word_hashes(split_words(text.translate(LOWER)), worker_cache("words")), n))
+def shingle_sets(texts: pa.Array, n: int = WORDS):
+    """Of each text, the distinct runs of n words as sorted 64-bit hashes."""
+    for lo, hi, h, row, _ in word_chunks(texts):
+        edge = np.searchsorted(row, np.arange(hi - lo + 1))
+        flat = grams(h, n)
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            yield np.unique(flat[a : b - n + 1] if b - a >= n else grams(h[a:b], n))
 
 
 def item_of(s: np.ndarray) -> int:
@@ -51,7 +48,7 @@ def _sign(kind: str, n: int):
     def run(batches):
         counts = np.zeros(SLOTS, np.uint32)
         for b in batches:
-            sets = [shingles(t, n) for t in b["_t"].to_pylist()]
+            sets = list(shingle_sets(b["_t"], n))
             some = [s for s in sets if len(s)]
             if some:
                 count_into(counts, np.concatenate(some))
@@ -68,8 +65,7 @@ def _post(level, n: int, buckets: int):
         poster = Poster(buckets)
         for b in batches:
             rows = []
-            for i, t in zip(b["_id"].to_pylist(), b["_t"].to_pylist()):
-                s = shingles(t, n)
+            for s in shingle_sets(b["_t"], n):
                 if len(s):
                     rows += poster.add(item_of(s), 0, 0, np.sort(order_key(s, level.value)))
             if rows:
@@ -84,7 +80,7 @@ def _post(level, n: int, buckets: int):
 def _sets(n: int):
     def run(batches):
         for b in batches:
-            got = [shingles(t, n) for t in b["_t"].to_pylist()]
+            got = list(shingle_sets(b["_t"], n))
             yield pa.record_batch([pa.array([item_of(s) if len(s) else None for s in got], pa.int64()), pa.array([s.tobytes() for s in got])], ["item", "set"])
 
     return run

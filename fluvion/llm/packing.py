@@ -206,7 +206,7 @@ def _encoder(path: str):
         chunks = CHUNK.findall(text)
         new = set(chunks).difference(seen)
         if new:
-            if len(seen) > 400_000:
+            if len(seen) > 200_000:
                 seen.clear()
                 new = set(chunks)
             for c in new:

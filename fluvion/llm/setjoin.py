@@ -25,7 +25,7 @@ NUM, DEN = 3, 4
 #: A set names up to MOST partners in a run; where it has more, the EARLIEST ones, and the run is kept aside.
 MOST, EARLIEST = 4, 2
 ENTRY = ("<u8", "<i8", "<i8", "<u4", "<u4", "<u4", "<u8", "<u8")  # key, item, doc, line, n, pos, two words of signature
-FLUSH = 1_500_000
+FLUSH = 500_000
 
 
 def prefix_length(n: int) -> int:
@@ -97,7 +97,7 @@ def _sorted_runs(c: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     return [x[order] for x in c], np.repeat(np.arange((size > 1).sum()), size[size > 1])
 
 
-def window_pairs(c: list[np.ndarray], run: np.ndarray, short_side: np.ndarray, long_side: np.ndarray, at_once: int = 4_000_000):
+def window_pairs(c: list[np.ndarray], run: np.ndarray, short_side: np.ndarray, long_side: np.ndarray, at_once: int = 500_000):
     """Places (i, j) of pairs of a run that pass every filter, n[i] <= n[j], in chunks. The sides say which entries take part.
 
     The length and positional filters are a range of sizes for each longer set: from t * n[j] up to what its position

@@ -23,22 +23,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, WORD, grams, keep, mix, pack, partitions, ship, unpack, word_hashes, worker_cache
+from .common import BASE, INVERSE, WORD, grams, keep, mix, pack, partitions, ship, unpack, word_chunks
 
 #: Least passage, in words; words of a suffix that are hashed to choose and sort it.
 LEAST, PREFIX = 50, 8
 #: Bits of the filter for suffixes that have an equal neighbour: 8 MB, whatever the input; a fuller one only extends more.
 FILTER_BITS, FILTER_SEGMENTS = 1 << 26, 64
-FLUSH = 1_500_000
+FLUSH = 500_000
 LAST = 2**63 - 1
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
 
 
-def text_hashes(text: str | None) -> np.ndarray:
-    from .ngram_join import split_words
-
-    return word_hashes(split_words((text or "").translate(LOWER)), worker_cache("words"))
+def text_hashes(texts: pa.Array):
+    """The word hashes of each text."""
+    for lo, hi, h, row, _ in word_chunks(texts):
+        edge = np.searchsorted(row, np.arange(hi - lo + 1))
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            yield h[a:b]
 
 
 def minimisers(g: np.ndarray, width: int) -> np.ndarray:
@@ -87,8 +87,7 @@ def _suffixes(buckets: int, least: int, prefix: int):
             return list(_deal(bucket[order], h[order], np.minimum(n, 2)[order].astype("<u1")))
 
         for b in batches:
-            for t in b["_t"].to_pylist():
-                h = text_hashes(t)
+            for h in text_hashes(b["_t"]):
                 if len(h) >= least:
                     g = grams(h, prefix)
                     held.append(g[np.unique(minimisers(g, least - prefix + 1))])
@@ -165,8 +164,7 @@ def _windows(filter_, buckets: int, least: int, prefix: int):
             return sent, late
 
         for b in batches:
-            for i, t in zip(b["_id"].fill_null(LAST).to_pylist(), b["_t"].to_pylist()):
-                h = text_hashes(t)
+            for i, h in zip(b["_id"].fill_null(LAST).to_pylist(), text_hashes(b["_t"])):
                 if len(h) < least:
                     continue
                 g = grams(h, prefix)

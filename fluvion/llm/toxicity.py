@@ -212,7 +212,7 @@ def windows(n: int) -> list[tuple[int, int]]:
 class Scorer:
     """Scores texts, remembering the gates' input parts of words seen."""
 
-    def __init__(self, net: Network, most: int = 250_000):
+    def __init__(self, net: Network, most: int = 100_000):
         self.net, self.most, self.place = net, most, {}
         self.table = np.zeros((0, 6 * HIDDEN), np.float32)
         self.filled = 0
@@ -355,7 +355,7 @@ def _scores(model, texts: list[str | None]) -> np.ndarray:
     for t in texts:
         part.append(words_of(t))
         words += len(part[-1])
-        if words > 150_000:
+        if words > 60_000:
             out.append(held["scorer"].scores(part) if net else np.zeros(len(part)))
             part, words = [], 0
     out.append(held["scorer"].scores(part) if net else np.zeros(len(part)))
