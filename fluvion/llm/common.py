@@ -27,9 +27,13 @@ def ship(name: str) -> None:
 
 
 def worker_cache(name: str) -> dict:
-    """A dictionary that lives as long as the Python worker, shared by its tasks."""
-    holder = sys.modules.setdefault("_fluvion_worker_cache", types.ModuleType("_fluvion_worker_cache"))
-    return holder.__dict__.setdefault(name, {})
+    """A dictionary that the tasks of a Python worker share, until another one is asked for."""
+    holder = sys.modules.setdefault("_fluvion_worker_cache", types.ModuleType("_fluvion_worker_cache")).__dict__
+    if name not in holder:
+        pa.set_memory_pool(pa.system_memory_pool())  # gives memory back between tasks
+        for other in [k for k, v in holder.items() if isinstance(v, dict) and not k.startswith("__")]:
+            del holder[other]  # another operator's
+    return holder.setdefault(name, {})
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -106,7 +110,7 @@ def _tables(n: int) -> tuple[np.ndarray, ...]:
         space[[9, 10, 11, 12, 13, 32]] = True
         t.update(value=value, space=space, n=0)
     if t["n"] < n:
-        n = max(n, 1 << 21)
+        n = max(n, 1 << 20)
         with np.errstate(over="ignore"):
             t["power"] = np.cumprod(np.r_[np.uint64(1), np.full(n, BASE, np.uint64)])
             t["back"] = np.cumprod(np.r_[np.uint64(1), np.full(n, INVERSE, np.uint64)])
@@ -114,14 +118,16 @@ def _tables(n: int) -> tuple[np.ndarray, ...]:
     return t["value"], t["space"], t["power"], t["back"]
 
 
-def word_chunks(texts: pa.Array, most_bytes: int = 1_500_000):
+def word_chunks(texts: pa.Array, most_bytes: int = 800_000):
     """Portions of a column of texts as (first row, end row, hash of each word, its row, its line), by whole-array operations.
 
     Words are runs of other than the six ASCII white-space characters, ASCII capitals lowered; rows and lines count from
     0, rows from the portion's first. A hash is 64 bits: a polynomial over random byte values, with the length mixed in.
     """
-    texts = texts.fill_null("").cast(pa.large_binary()) if not isinstance(texts, pa.ChunkedArray) else texts.combine_chunks().fill_null("").cast(pa.large_binary())
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    if not pa.types.is_string(texts.type):
+        texts = texts.cast(pa.string())
+    # the column's own buffers: Spark gives nulls no bytes
+    offsets = (np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int32)).astype(np.int64)
     whole = np.frombuffer(texts.buffers()[2], np.uint8) if len(texts) and texts.buffers()[2] is not None else np.zeros(0, np.uint8)
     lo = 0
     while lo < len(texts):
@@ -189,7 +195,7 @@ def column(values: list, kind: pa.DataType) -> pa.Array:
 # ---------------------------------------------------------------- frequency sketch
 
 #: Counters of the sketch. Its size bounds what is broadcast; a smaller one only orders tokens less well.
-SLOTS = 1 << 22
+SLOTS = 1 << 21
 SEGMENTS = 64
 
 
