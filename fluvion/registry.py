@@ -1,4 +1,484 @@
-"""Queries of the engine's operators by name."""
+"""Queries of the engine's operators over the driver's tables, each beside its DuckDB twin."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .functions import scalars as fn
+from .operators import exchange, flows, grid, hydro, network
+from .plans import views as v
+from .sources import tables
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+D8 = "d8(k, code, dr, dc, len) AS (VALUES (0, 64, -1, -1, sqrt(2.0)), (1, 128, -1, 0, 1.0), (2, 1, -1, 1, sqrt(2.0)), (3, 32, 0, -1, 1.0), (4, 2, 0, 1, 1.0), (5, 16, 1, -1, sqrt(2.0)), (6, 8, 1, 0, 1.0), (7, 4, 1, 1, sqrt(2.0)))"
+CODES = f"""{v.GRID}, {D8},
+slopes AS (SELECT a.r, a.c, k, code, (a.z - b.z) / len AS slope FROM grid a, d8 JOIN grid b ON b.r = a.r + dr AND b.c = a.c + dc),
+best AS (SELECT r, c, code FROM (SELECT *, row_number() OVER (PARTITION BY r, c ORDER BY slope DESC, k) AS n FROM slopes WHERE slope > 0) WHERE n = 1),
+codes AS (SELECT grid.r, grid.c, CAST(coalesce(code, 0) AS INTEGER) AS code FROM grid LEFT JOIN best ON grid.r = best.r AND grid.c = best.c)"""
+POINTERS = f"""{CODES}, pointers AS (SELECT CAST(a.r * 40 + a.c AS BIGINT) AS id, CAST(b.r * 40 + b.c AS BIGINT) AS down FROM codes a LEFT JOIN d8 ON d8.code = a.code LEFT JOIN codes b ON b.r = a.r + dr AND b.c = a.c + dc)"""
+NEAR_SMALL = f"{v.SMALL}, {D8}, near AS (SELECT a.r, a.c, a.z, k, b.r AS rn, b.c AS cn, b.z AS zn FROM small a, d8 JOIN small b ON b.r = a.r + dr AND b.c = a.c + dc)"
+
+
+# ---------------------------------------------------------------- flow tables
+
+
+@query(f"WITH {v.ENSEMBLE}, peak AS (SELECT ensemble, rivid, max(round_even(qout, 2)) AS p FROM ensemble GROUP BY 1, 2) SELECT rivid, CAST(median(p) AS DOUBLE) AS median, CAST(min(p) AS DOUBLE) AS min, CAST(max(p) AS DOUBLE) AS max FROM peak GROUP BY 1")
+def a1_ensemble_peak(spark, d):
+    return flows.ensemble_peak(v.ensemble(spark, d))
+
+
+@query(f"WITH {v.ENSEMBLE}, peak AS (SELECT ensemble, rivid, max(qout) AS p FROM ensemble GROUP BY 1, 2) SELECT rivid, median(p) AS median, min(p) AS min, max(p) AS max FROM peak GROUP BY 1")
+def a2_member_peak(spark, d):
+    return flows.ensemble_peak(v.ensemble(spark, d), None)
+
+
+@query(f"WITH {v.ENSEMBLE}, last AS (SELECT rivid, qout, row_number() OVER (PARTITION BY rivid ORDER BY time DESC, qout DESC) AS n FROM ensemble) SELECT rivid, CAST(round_even(qout, 2) AS DOUBLE) AS median, CAST(round_even(qout, 2) AS DOUBLE) AS min, CAST(round_even(qout, 2) AS DOUBLE) AS max FROM last WHERE n = 1")
+def a4_single_value(spark, d):
+    return flows.single_value(v.ensemble(spark, d))
+
+
+@query("WITH p AS (SELECT unnest([0, 1, 5, 10, 15, 20, 25, 30, 35, 40, 45, 50, 55, 60, 65, 70, 75, 80, 85, 90, 95, 100]) AS p_exceed, unnest([1 - x / 100.0 for x in [0, 1, 5, 10, 15, 20, 25, 30, 35, 40, 45, 50, 55, 60, 65, 70, 75, 80, 85, 90, 95, 100]]) AS q), s AS (SELECT user_id AS river_id, list(value ORDER BY value) AS a FROM events GROUP BY 1), h AS (SELECT river_id, p_exceed, a, (len(a) - 1) * CAST(q AS DOUBLE) AS t FROM s, p) SELECT river_id, CAST(p_exceed AS INTEGER) AS p_exceed, round(a[CAST(floor(t + 1e-9) AS BIGINT) + 1] + (t - floor(t + 1e-9)) * (a[least(CAST(floor(t + 1e-9) AS BIGINT) + 2, len(a))] - a[CAST(floor(t + 1e-9) AS BIGINT) + 1]), 6) AS flow FROM h")
+def a5_flow_duration(spark, d):
+    return flows.flow_duration(v.ensemble(spark, d).select(F.col("rivid").alias("river_id"), F.col("qout").alias("flow")))
+
+
+@query(f"WITH {v.RP} SELECT river_id, " + ", ".join(f"round(avg(flow) FILTER (WHERE rp = {p} AND flow <> 0), 3) AS rp{p}" for p in (2, 5, 10, 25, 50, 100)) + " FROM rp WHERE flow <> 0 GROUP BY 1")
+def a7_return_periods(spark, d):
+    return flows.pivot_periods(v.return_periods(spark, d))
+
+
+@query(f"WITH {v.RP}, w AS (SELECT river_id, " + ", ".join(f"max(flow) FILTER (WHERE rp = {p}) AS rp{p}" for p in (2, 5, 10, 25, 50)) + " FROM rp GROUP BY 1) SELECT river_id, round_even(greatest(rp2, rp5, rp10, rp25, rp50) / 1000.0, 3)::DOUBLE AS high FROM w")
+def a6_row_max(spark, d):
+    w = v.return_periods(spark, d).groupBy("river_id").pivot("rp", [2, 5, 10, 25, 50]).agg(F.max("flow") / 1000.0)
+    return flows.row_max(w, ["2", "5", "10", "25", "50"], "high").select("river_id", "high")
+
+
+@query(f"WITH {v.RP} SELECT river_id, max(flow) AS rp100, CAST(1.5 * max(flow) + 50 AS DOUBLE) AS rp100_premium FROM rp GROUP BY 1")
+def a9_premium(spark, d):
+    return v.return_periods(spark, d).groupBy("river_id").agg(F.max("flow").alias("rp100")).select("river_id", "rp100", flows.premium("rp100"))
+
+
+def _coefficients(spark, d):
+    o = v.table(spark, d, "orders")
+    return o.select(F.col("o_custkey").alias("comid"), (F.col("o_orderkey") % 9 + 1).alias("n"), F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderkey") % 1000 / 8).alias("a"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderkey") % 100 / 4).alias("b"))
+
+
+@query("WITH x AS (SELECT o_custkey AS comid, o_orderkey % 9 + 1 AS n, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 1000 / 8.0 END AS a, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 100 / 4.0 END AS b FROM orders) SELECT comid, CAST(sum(n) AS BIGINT) AS n, round(CAST(sum(a * n) AS DOUBLE) / sum(n) FILTER (WHERE a IS NOT NULL), 6) AS a, round(CAST(sum(b * n) AS DOUBLE) / sum(n) FILTER (WHERE b IS NOT NULL), 6) AS b FROM x GROUP BY 1")
+def a10_weighted_means(spark, d):
+    return flows.weighted_means(_coefficients(spark, d), "comid", "n", ["a", "b"])
+
+
+@query("WITH c AS (SELECT l_partkey AS comid, l_discount AS depth_a, l_tax AS depth_b, l_quantity AS tw_a, l_tax AS tw_b FROM lineitem), q AS (SELECT p_partkey AS comid, p_retailprice AS q FROM part), m AS (SELECT comid, round(avg(tw_a * pow(q * 0.1, tw_b)), 6) AS top_width, round(avg(depth_a * pow(q * 0.1, depth_b)), 6) AS depth FROM c JOIN q USING (comid) WHERE depth_a > 0 AND depth_b > 0 AND tw_a > 0 AND tw_b > 0 GROUP BY 1) SELECT comid, coalesce(top_width, 0) AS top_width, coalesce(depth, 0) AS depth FROM (SELECT DISTINCT comid FROM q) LEFT JOIN m USING (comid)")
+def a12_power_law(spark, d):
+    curves = v.table(spark, d, "lineitem").select(F.col("l_partkey").alias("comid"), F.col("l_discount").alias("depth_a"), F.col("l_tax").alias("depth_b"), F.col("l_quantity").alias("tw_a"), F.col("l_tax").alias("tw_b"))
+    return flows.power_law(curves, v.table(spark, d, "part").select(F.col("p_partkey").alias("comid"), F.col("p_retailprice").alias("q")))
+
+
+@query(f"WITH {v.RP}, hi AS (SELECT river_id, max(flow) AS high FROM rp WHERE rp = 50 GROUP BY 1), lo AS (SELECT river_id, min(flow) AS low FROM rp WHERE rp = 2 GROUP BY 1) SELECT coalesce(hi.river_id, lo.river_id) AS river_id, high, low FROM hi FULL JOIN lo ON hi.river_id = lo.river_id")
+def j2_full_outer(spark, d):
+    rp = v.return_periods(spark, d)
+    hi = rp.where("rp = 50").groupBy("river_id").agg(F.max("flow").alias("high"))
+    lo = rp.where("rp = 2").groupBy("river_id").agg(F.min("flow").alias("low"))
+    return flows.full_outer(hi, lo, "river_id")
+
+
+@query(f"WITH {v.RP}, f AS (SELECT river_id, max(flow) AS flow FROM rp GROUP BY 1) SELECT c_custkey AS pos, river_id, flow FROM customer JOIN f ON river_id = 7 * c_custkey % 1500")
+def j1_look_up(spark, d):
+    f = v.return_periods(spark, d).groupBy("river_id").agg(F.max("flow").alias("flow"))
+    return flows.look_up(f, v.table(spark, d, "customer").select(F.col("c_custkey").alias("pos"), (7 * F.col("c_custkey") % 1500).alias("river_id")))
+
+
+@query(f"WITH {v.RP} SELECT river_id, rp, flow FROM rp WHERE flow >= 15000000")
+def p8_baseflow(spark, d):
+    return flows.baseflow_between(v.return_periods(spark, d), "flow", 15000000)
+
+
+@query(f"WITH {v.RP} SELECT river_id, rp, flow FROM rp WHERE river_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
+def p10_wanted_rivers(spark, d):
+    wanted = v.table(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("river_id"))
+    return flows.check_rivers(v.return_periods(spark, d), wanted, drop=True)
+
+
+@query("SELECT o_orderkey AS reach, CAST(p AS DOUBLE) AS level, CASE p WHEN 2 THEN o_totalprice ELSE o_totalprice * 2 END AS flow FROM orders, (VALUES (2), (5)) t(p)")
+def s12_unpivot(spark, d):
+    w = v.table(spark, d, "orders").select(F.col("o_orderkey").alias("reach"), F.col("o_totalprice").alias("rp2"), (F.col("o_totalprice") * 2).alias("rp5"), F.lit(1.0).alias("rp5_premium"))
+    return flows.unpivot(w, "reach", "rp")
+
+
+@query(f"WITH {v.ENSEMBLE} SELECT rivid, ensemble, time, qout FROM (SELECT *, row_number() OVER (PARTITION BY rivid ORDER BY time, qout) AS n FROM ensemble) WHERE n = 1")
+def w4_first_row(spark, d):
+    return flows.first_of(v.ensemble(spark, d), "rivid", ["time", "qout"])
+
+
+@query("SELECT o_custkey AS river, o_orderkey AS pos, min(CAST(round(o_totalprice * 100) AS BIGINT)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS level, CAST(sum(CAST(round(o_totalprice) AS BIGINT)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS dist, CAST(round(o_totalprice * 100) AS BIGINT) - lag(CAST(round(o_totalprice * 100) AS BIGINT)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS step FROM orders")
+def w1_w2_w3_along_paths(spark, d):
+    from pyspark.sql import Window
+
+    o = v.table(spark, d, "orders").select(F.col("o_custkey").alias("river"), F.col("o_orderkey").alias("pos"), F.round(F.col("o_totalprice") * 100).cast("long").alias("z"), F.round("o_totalprice").cast("long").alias("s"))
+    w = Window.partitionBy("river").orderBy("pos")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    return o.select("river", "pos", F.min("z").over(run).alias("level"), F.sum("s").over(run).alias("dist"), (F.col("z") - F.lag("z").over(w)).alias("step"))
+
+
+# ---------------------------------------------------------------- reach networks
+
+
+@query(f"WITH {v.NETWORK}, n AS (SELECT * FROM network WHERE reach % 5 <> 0) SELECT n.reach, coalesce(k.reach, -1) AS ds, n.area FROM n LEFT JOIN n k ON n.ds = k.reach")
+def p5_p15_drop_reaches(spark, d):
+    n = v.network(spark, d)
+    return network.drop_reaches(n, n.where("reach % 5 = 0").select("reach")).select("reach", "ds", "area")
+
+
+@query(f"WITH {v.NETWORK} SELECT reach, ord FROM network WHERE ord BETWEEN 3 AND 6")
+def p3_orders_between(spark, d):
+    return network.orders_between(v.network(spark, d), 3, 6).select("reach", "ord")
+
+
+@query(f"WITH {v.NETWORK}, inside AS (SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS reach FROM events) SELECT reach, ds FROM network WHERE reach NOT IN (SELECT reach FROM inside WHERE reach IS NOT NULL)")
+def p2_lake_filter(spark, d):
+    k = F.get_json_object("props", "$.k")
+    lakes = v.table(spark, d, "events").select(F.concat(F.lit('{"lake": {"inside": ['), k, F.lit(", null]}}")).alias("json"))
+    return network.not_in_lakes(v.network(spark, d), lakes).select("reach", "ds")
+
+
+@query("SELECT c_custkey AS reach, CASE WHEN c_acctbal > 0 THEN c_acctbal ELSE c_nationkey / 1e6 END AS km2 FROM customer")
+def p6_area_km2(spark, d):
+    c = v.table(spark, d, "customer").select(F.col("c_custkey").alias("reach"), F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("a"), F.col("c_nationkey").alias("b"))
+    return c.select("reach", network.area_km2("a", "b").alias("km2"))
+
+
+@query("SELECT reach, place FROM (SELECT o_custkey % 300 - 5 AS reach, o_orderkey AS place, row_number() OVER (PARTITION BY o_custkey % 300 - 5 ORDER BY o_orderkey) AS n FROM orders) WHERE n = 1 AND reach > 0")
+def p12_usable_reaches(spark, d):
+    return network.usable(v.table(spark, d, "orders").select((F.col("o_custkey") % 300 - 5).alias("reach"), F.col("o_orderkey").alias("place")), "place")
+
+
+@query(f"WITH {v.NETWORK} SELECT ds, reach FROM (SELECT *, rank() OVER (PARTITION BY ds ORDER BY ord DESC, area DESC) AS n FROM network WHERE ds > 0) WHERE n = 1")
+def a19_largest_feeders(spark, d):
+    return network.largest_feeders(v.network(spark, d))
+
+
+@query(f"WITH {v.NETWORK}, t AS (SELECT *, sum(area) OVER (PARTITION BY ds) AS total FROM network WHERE ds > 0) SELECT ds, reach FROM (SELECT *, row_number() OVER (PARTITION BY ds ORDER BY ord DESC, area DESC, reach) AS n FROM t WHERE area >= 0.5 * total) WHERE n = 1")
+def a20_main_feeder(spark, d):
+    return network.main_feeder(v.network(spark, d))
+
+
+@query(f"WITH {v.NETWORK} SELECT ds AS reach, CAST(sum(area) AS BIGINT) AS inflow FROM network WHERE ds > 0 GROUP BY 1")
+def a21_inflow(spark, d):
+    return network.inflow(v.network(spark, d))
+
+
+@query(f"WITH {v.NETWORK}, under AS (SELECT DISTINCT ds AS u FROM network WHERE reach % 3 = 0) SELECT ord, round(avg(CASE WHEN reach % 3 = 0 THEN 1 ELSE 0 END), 6) AS matched, CAST(sum(CASE WHEN reach % 3 <> 0 AND u IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS unmatched_below FROM network LEFT JOIN under ON reach = u GROUP BY 1")
+def a22_matched_share(spark, d):
+    n = v.network(spark, d)
+    return network.matched_share(n, n.where("reach % 3 = 0"))
+
+
+@query(f"WITH {v.NETWORK} SELECT ds, reach, CAST(row_number() OVER (PARTITION BY ds ORDER BY ord DESC, area DESC, reach) AS INTEGER) AS rank FROM network")
+def w5_outranked(spark, d):
+    return network.outranked(v.network(spark, d))
+
+
+@query(f"WITH RECURSIVE {v.NETWORK}, down(reach, pt) AS (SELECT reach, reach FROM network UNION ALL SELECT down.reach, ds FROM down JOIN network ON network.reach = down.pt WHERE ds > 0) SELECT pt AS reach, CAST(sum(area) AS BIGINT) AS upstream_area FROM down JOIN network USING (reach) GROUP BY 1")
+def g5_upstream_area(spark, d):
+    return network.upstream_area(v.network(spark, d))
+
+
+@query(f"WITH RECURSIVE {v.NETWORK}, down(reach, pt, n) AS (SELECT reach, reach, 0 FROM network UNION ALL SELECT down.reach, ds, n + 1 FROM down JOIN network ON network.reach = down.pt WHERE ds > 0) SELECT reach, CAST(max(n) AS INTEGER) AS depth, max_by(pt, n) AS outlet FROM down GROUP BY 1")
+def g12_w9_depth(spark, d):
+    return network.depth_above_outlet(v.network(spark, d))
+
+
+@query(f"WITH RECURSIVE {v.NETWORK}, below(reach) AS (SELECT reach FROM network WHERE reach % 97 = 0 UNION SELECT ds FROM below JOIN network USING (reach) WHERE ds > 0) SELECT reach FROM below UNION SELECT reach FROM network WHERE ds IN (SELECT reach FROM below)")
+def g11_boundary_reaches(spark, d):
+    n = v.network(spark, d)
+    return network.boundary_reaches(n, n.where("reach % 97 = 0"))
+
+
+@query(f"WITH RECURSIVE {v.NETWORK}, down(reach, pt) AS (SELECT reach, ds FROM network WHERE ds > 0 UNION ALL SELECT down.reach, ds FROM down JOIN network ON network.reach = down.pt WHERE ds > 0), wet AS (SELECT reach FROM network WHERE segment IN ('BUILDING', 'MACHINERY')) SELECT reach FROM wet WHERE reach NOT IN (SELECT reach FROM down WHERE pt NOT IN (SELECT reach FROM wet)) OR reach NOT IN (SELECT pt FROM down WHERE reach NOT IN (SELECT reach FROM wet))")
+def g9_stuck_in_lakes(spark, d):
+    n = v.network(spark, d)
+    return network.stuck_in_lakes(n, n.where("segment in ('BUILDING', 'MACHINERY')"))
+
+
+@query()
+def g10_in_the_sea(spark, d):
+    n = v.network(spark, d)
+    return network.in_the_sea(n, n.where("reach % 4 < 3 and reach > 500"))
+
+
+@query(f"WITH RECURSIVE {v.NETWORK}, down(reach, below) AS (SELECT reach, ds FROM network WHERE ds > 0 UNION ALL SELECT down.reach, ds FROM down JOIN network ON network.reach = down.below WHERE ds > 0) SELECT reach, below FROM down")
+def g3_g20_ancestors(spark, d):
+    return network.tour(v.network(spark, d))
+
+
+# ---------------------------------------------------------------- grids
+
+
+@query(f"WITH {CODES} SELECT r, c, code FROM codes")
+def r25_w6_flow_direction(spark, d):
+    return grid.flow_direction(v.grid(spark, d))
+
+
+@query(f"WITH {POINTERS} SELECT id, down FROM pointers")
+def g1_pointers(spark, d):
+    return grid.pointers(grid.flow_direction(v.grid(spark, d)), 40)
+
+
+@query(f"WITH RECURSIVE {POINTERS}, walk(id, pt) AS (SELECT id, id FROM pointers UNION ALL SELECT walk.id, down FROM walk JOIN pointers ON pointers.id = walk.pt WHERE down IS NOT NULL) SELECT pt AS id, count(*) AS total FROM walk GROUP BY 1")
+def g2_accumulation(spark, d):
+    return hydro.flow_accumulation(v.grid(spark, d), 40)
+
+
+@query(f"WITH RECURSIVE {POINTERS}, walk(id, pt) AS (SELECT id, id FROM pointers UNION ALL SELECT walk.id, down FROM walk JOIN pointers ON pointers.id = walk.pt WHERE down IS NOT NULL), acc AS (SELECT pt AS id, count(*) AS total FROM walk GROUP BY 1) SELECT id, total, CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS node FROM acc WHERE total >= 8")
+def g6_channel_network(spark, d):
+    from pyspark.sql import Window
+
+    net = hydro.flow_accumulation(v.grid(spark, d), 40).where("total >= 8")
+    # cells of one grid are numbered; grids are the partitions where there are several
+    return net.withColumn("node", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("id")) - 1)
+
+
+@query(f"WITH {NEAR_SMALL} SELECT r, c FROM near GROUP BY r, c HAVING count(*) FILTER (WHERE zn = z) >= 2")
+def r9_level_cells(spark, d):
+    return grid.level_cells(v.small_grid(spark, d))
+
+
+@query(f"WITH RECURSIVE {NEAR_SMALL}, lev AS (SELECT r, c FROM near GROUP BY r, c HAVING count(*) FILTER (WHERE zn = z) >= 2), link AS (SELECT n.r * 16 + n.c AS a, n.rn * 16 + n.cn AS b FROM near n JOIN lev x ON x.r = n.r AND x.c = n.c JOIN lev y ON y.r = n.rn AND y.c = n.cn), reach(a, b) AS (SELECT r * 16 + c, r * 16 + c FROM lev UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b), lab AS (SELECT a, min(b) AS label FROM reach GROUP BY 1) SELECT CAST(label AS BIGINT) AS label, count(*) AS cells FROM lab GROUP BY 1")
+def r30_a17_patch_sizes(spark, d):
+    return hydro.patch_sizes(grid.level_cells(v.small_grid(spark, d)), 16)
+
+
+@query(f"WITH RECURSIVE {NEAR_SMALL}, lev AS (SELECT r, c FROM near GROUP BY r, c HAVING count(*) FILTER (WHERE zn = z) >= 2), link AS (SELECT n.r * 16 + n.c AS a, n.rn * 16 + n.cn AS b FROM near n JOIN lev x ON x.r = n.r AND x.c = n.c JOIN lev y ON y.r = n.rn AND y.c = n.cn), reach(a, b) AS (SELECT r * 16 + c, r * 16 + c FROM lev UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b), lab AS (SELECT a, min(b) AS label FROM reach GROUP BY 1) SELECT CAST(a // 16 AS INTEGER) AS r, CAST(a % 16 AS INTEGER) AS c FROM lab WHERE label IN (SELECT label FROM lab GROUP BY 1 HAVING count(*) > 6)")
+def r10_flat_cells(spark, d):
+    return hydro.flat_cells(v.small_grid(spark, d), 16)
+
+
+@query(f"WITH RECURSIVE {NEAR_SMALL}, wet AS (SELECT r, c FROM small WHERE z <= 4), link AS (SELECT n.r * 16 + n.c AS a, n.rn * 16 + n.cn AS b FROM near n JOIN wet x ON x.r = n.r AND x.c = n.c JOIN wet y ON y.r = n.rn AND y.c = n.cn), hit(a) AS (SELECT w.r * 16 + w.c FROM wet w JOIN (SELECT r, c FROM small WHERE r = c AND r % 5 = 0) s ON abs(w.r - s.r) <= 1 AND abs(w.c - s.c) <= 1 UNION SELECT link.b FROM hit JOIN link ON link.a = hit.a) SELECT CAST(a // 16 AS INTEGER) AS r, CAST(a % 16 AS INTEGER) AS c FROM hit")
+def r11_touching_streams(spark, d):
+    g = v.small_grid(spark, d)
+    return hydro.touching(g.where("z <= 4").select("r", "c"), g.where("r = c and r % 5 = 0").select("r", "c"), 16)
+
+
+@query(f"WITH {v.SMALL}, wet AS (SELECT r, c FROM small WHERE z <= 2) SELECT DISTINCT s.r, s.c FROM small s JOIN wet w ON abs(s.r - w.r) <= 1 AND abs(s.c - w.c) <= 1")
+def r31_dilate(spark, d):
+    g = v.small_grid(spark, d)
+    return grid.dilate(g.where("z <= 2"), g)
+
+
+@query(f"WITH {v.GRID} SELECT a.r, a.c FROM grid a WHERE " + " OR ".join(f"((SELECT coalesce(max(z), 9007199254740992) FROM grid b WHERE b.r = a.r + {dr} AND b.c = a.c + {dc}) - a.z >= 30000 AND (SELECT coalesce(max(z), 9007199254740992) FROM grid b WHERE b.r = a.r - {dr} AND b.c = a.c - {dc}) - a.z >= 30000)" for dr, dc in ((0, 2), (2, 0), (2, 2), (2, -2))))
+def r28_incised(spark, d):
+    return grid.incised(v.grid(spark, d), 30000)
+
+
+@query(f"WITH RECURSIVE {NEAR_SMALL}, level(t) AS (SELECT DISTINCT z FROM small), open(r, c, t) AS (SELECT r, c, t FROM small, level WHERE z <= t AND (r IN (0, 15) OR c IN (0, 15)) UNION SELECT near.rn, near.cn, open.t FROM open JOIN near ON near.r = open.r AND near.c = open.c WHERE near.zn <= open.t) SELECT small.r, small.c, small.z, min(t) AS filled FROM small JOIN open ON small.r = open.r AND small.c = open.c GROUP BY 1, 2, 3")
+def r21_fill(spark, d):
+    return hydro.fill(v.small_grid(spark, d))
+
+
+@query()
+def r21_fill_kernel(spark, d):
+    g = v.small_grid(spark, d).select(F.lit("a").alias("dem_id"), "r", "c", F.col("z").cast("double").alias("z"))
+    return hydro.fill_kernel(g)
+
+
+@query()
+def r23_flat_gradient(spark, d):
+    g = hydro.fill(v.small_grid(spark, d)).select("r", "c", F.col("filled").alias("z"))
+    return hydro.flat_gradient(g)
+
+
+@query(f"WITH {v.GRID} SELECT r - 5 AS r, c - 7 AS c, z FROM grid WHERE r BETWEEN 5 AND 24 AND c BETWEEN 7 AND 16")
+def r5_crop(spark, d):
+    return grid.crop(v.grid(spark, d), 5, 7, 20, 10)
+
+
+@query("WITH x AS (SELECT CAST(l_partkey % 40 AS INTEGER) AS r, CAST(l_suppkey % 40 AS INTEGER) AS c, l_orderkey AS src, max(l_linenumber) AS v FROM lineitem GROUP BY 1, 2, 3) SELECT r, c, max_by(v, src) AS v FROM x GROUP BY 1, 2")
+def r1_w8_mosaic(spark, d):
+    x = v.table(spark, d, "lineitem").groupBy((F.col("l_partkey") % 40).cast("int").alias("r"), (F.col("l_suppkey") % 40).cast("int").alias("c"), F.col("l_orderkey").alias("src")).agg(F.max("l_linenumber").alias("v"))
+    return grid.mosaic(x, "src", "v")
+
+
+@query(f"WITH {v.GRID}, n AS (SELECT CAST(r // 4 AS INTEGER) AS r, CAST(c // 4 AS INTEGER) AS c, z % 5 AS k, count(*) AS m FROM grid GROUP BY 1, 2, 3) SELECT r, c, k FROM (SELECT *, row_number() OVER (PARTITION BY r, c ORDER BY m DESC, k) AS i FROM n) WHERE i = 1")
+def r4_land_cover_mode(spark, d):
+    return grid.mode_resample(v.grid(spark, d).select("r", "c", (F.col("z") % 5).alias("k")), 4, "k", 10)
+
+
+@query(f"WITH {v.GRID} SELECT CAST(r // 4 * 10 + c // 4 AS BIGINT) AS reach, min(z) AS low, greatest(max(z), 0) AS high, count(*) AS cells FROM grid GROUP BY 1")
+def a13_j12_zonal(spark, d):
+    g = v.grid(spark, d)
+    return grid.zonal(g, g.select("r", "c", F.expr("cast(r div 4 * 10 + c div 4 as bigint)").alias("reach")))
+
+
+@query(f"WITH {v.GRID}, s AS (SELECT CAST(r // 4 * 10 + c // 4 AS BIGINT) AS reach, quantile_cont(z, [0.1, 0.9]) AS q, count(*) AS n FROM grid GROUP BY 1) SELECT reach, round(greatest(q[2] - q[1], 0) / n, 6) AS slope FROM s")
+def a14_reach_slope(spark, d):
+    g = v.grid(spark, d)
+    return grid.reach_slope(g, g.select("r", "c", F.expr("cast(r div 4 * 10 + c div 4 as bigint)").alias("reach")))
+
+
+@query(f"WITH {v.GRID} SELECT CAST(CASE WHEN avg((z % 1000 = 0)::INT) >= 0.9 THEN 1000 WHEN avg((z % 100 = 0)::INT) >= 0.9 THEN 100 WHEN avg((z % 10 = 0)::INT) >= 0.9 THEN 10 WHEN avg((z % 1 = 0)::INT) >= 0.9 THEN 1 ELSE 0 END AS INTEGER) AS step FROM grid")
+def a15_height_step(spark, d):
+    return grid.height_step(v.grid(spark, d))
+
+
+@query(f"WITH {v.GRID} SELECT round(avg((z % 50 = 0)::INT), 6) AS share FROM grid")
+def a16_half_step_share(spark, d):
+    return grid.half_step_share(v.grid(spark, d), 50)
+
+
+@query(f"WITH {v.SMALL}, wet AS (SELECT r, c FROM small WHERE z <= 1), x AS (SELECT s.r // 4 AS reach, max(CASE WHEN w.r IS NULL THEN 0 ELSE 1 END) AS b FROM small s LEFT JOIN wet w ON abs(s.r - w.r) <= 1 AND abs(s.c - w.c) <= 1 GROUP BY s.r, s.c) SELECT CAST(reach AS BIGINT) AS reach, round(avg(b), 6) AS beside, avg(b) < 0.5 AS narrow FROM x GROUP BY 1")
+def a18_beside_share(spark, d):
+    g = v.small_grid(spark, d)
+    return grid.beside_share(g, g.select("r", "c", F.expr("cast(r div 4 as bigint)").alias("reach")), g.where("z <= 1"))
+
+
+def _near_sql(k: int) -> str:
+    return f"WITH {v.GRID}, f AS (SELECT r AS fr, c AS fc FROM grid WHERE z % 17 = 0), m AS (SELECT r, c, fr, fc, (r - fr) * (r - fr) + (c - fc) * (c - fc) AS d2 FROM grid, f) SELECT r, c, CAST(n AS INTEGER) AS rank, fr, fc, d2 FROM (SELECT *, row_number() OVER (PARTITION BY r, c ORDER BY d2, fr, fc) AS n FROM m WHERE d2 <= 36) WHERE n <= {k}"
+
+
+@query(_near_sql(1))
+def j8_j10_nearest(spark, d):
+    g = v.grid(spark, d)
+    return grid.nearest(g, g.where("z % 17 = 0"), 6)
+
+
+@query(_near_sql(16))
+def j9_w10_candidates(spark, d):
+    g = v.grid(spark, d)
+    return grid.nearest(g, g.where("z % 17 = 0"), 6, 16)
+
+
+@query(f"WITH {v.SMALL}, s AS (SELECT r AS fr, c AS fc, z + 3 AS wse FROM small WHERE z <= 3), m AS (SELECT r, c, z, wse, CAST((r - fr) * (r - fr) + (c - fc) * (c - fc) AS DOUBLE) AS d2 FROM small, s), g AS (SELECT r, c, z, coalesce(max(wse) FILTER (WHERE d2 = 0), sum(wse / d2) FILTER (WHERE d2 > 0) / sum(1 / d2) FILTER (WHERE d2 > 0)) AS level FROM m WHERE d2 <= 16 GROUP BY 1, 2, 3) SELECT r, c, round(level, 6) AS level, round(level, 6) > z AS flooded FROM g")
+def r20_set_depth(spark, d):
+    g = v.small_grid(spark, d)
+    return grid.inverse_distance(g, g.where("z <= 3").select("r", "c", (F.col("z") + 3).alias("wse")), 4)
+
+
+@query(f"WITH {v.GRID} SELECT r, c FROM grid WHERE r + 0.5 > 4 AND c + 0.5 > 6 AND r + 0.5 < 20 AND c + 0.5 < 6 + (r + 0.5 - 4)")
+def r7_polygon_cells(spark, d):
+    edges = spark.createDataFrame([(6.0, 4.0, 22.0, 20.0), (22.0, 20.0, 6.0, 20.0), (6.0, 20.0, 6.0, 4.0)], "x1 double, y1 double, x2 double, y2 double")
+    return grid.in_polygon(v.grid(spark, d), edges)
+
+
+@query(f"WITH {v.GRID} SELECT r, c, (c * 50.0 <= 1500) AND ((z % 2 = 0 AND c * 50.0 <= greatest(2 * (r * 2.0), 60) AND z % 7 <= 2) OR (z % 7 <= 1 AND r * 2.0 > 0 AND c * 50.0 <= 1.5 * (r * 2.0))) AS channel FROM grid")
+def r13_channel_rule(spark, d):
+    g = v.grid(spark, d).select("r", "c", (F.col("c") * 50.0).alias("d"), (F.col("z") % 7).alias("rise"), (F.col("r") * 2.0).alias("width"), (F.col("z") % 2 == 0).alias("flat"))
+    return g.select("r", "c", grid.channel_rule("d", "rise", "width", "flat").alias("channel"))
+
+
+@query(f"WITH {v.NETWORK} SELECT CAST(reach % 12 AS INTEGER) AS r, CAST(reach % 7 AS INTEGER) AS c, max_by(reach, (ord, area, reach)) AS reach FROM network GROUP BY 1, 2")
+def r6_w7_stream_winner(spark, d):
+    n = v.network(spark, d).select((F.col("reach") % 12).cast("int").alias("r"), (F.col("reach") % 7).cast("int").alias("c"), "reach", "ord", "area")
+    return grid.stream_winner(n)
+
+
+@query(f"WITH RECURSIVE {NEAR_SMALL}, seeds AS (SELECT r, c FROM small WHERE r = c AND z < 9), wet AS (SELECT * FROM (SELECT r, c FROM seeds UNION SELECT r, c FROM small WHERE z <= 3) WHERE NOT (r >= 12 AND c >= 12)), link AS (SELECT n.r * 16 + n.c AS a, n.rn * 16 + n.cn AS b FROM near n JOIN wet x ON x.r = n.r AND x.c = n.c JOIN wet y ON y.r = n.rn AND y.c = n.cn), hit(a) AS (SELECT w.r * 16 + w.c FROM wet w JOIN seeds s ON abs(w.r - s.r) <= 1 AND abs(w.c - s.c) <= 1 UNION SELECT link.b FROM hit JOIN link ON link.a = hit.a) SELECT CAST(a // 16 AS INTEGER) AS r, CAST(a % 16 AS INTEGER) AS c FROM hit")
+def r17_water_mask(spark, d):
+    g = v.small_grid(spark, d)
+    return hydro.water_mask(g.where("r = c and z < 9").select("r", "c"), g.where("z <= 3"), g.where("r >= 12 and c >= 12").select("r", "c"), 16)
+
+
+@query(f"WITH {v.GRID} SELECT a.r, a.c, CAST(coalesce(max(b.z), 0) AS BIGINT) AS most FROM grid a LEFT JOIN grid b ON abs(a.r - b.r) <= 2 AND abs(a.c - b.c) <= 2 AND NOT (a.r = b.r AND a.c = b.c) GROUP BY 1, 2")
+def g21_largest_near(spark, d):
+    g = v.grid(spark, d)
+    near = grid.neighbours(g, 2).groupBy("r", "c").agg(F.max("zn").alias("most"))
+    return g.select("r", "c").join(near, ["r", "c"], "left").select("r", "c", F.coalesce("most", F.lit(0)).alias("most"))
+
+
+@query(f"WITH {v.GRID} SELECT r, c, CAST(row_number() OVER (PARTITION BY r ORDER BY c) AS INTEGER) AS nth FROM grid WHERE z % 3 = 0")
+def w13_nth_valid(spark, d):
+    from pyspark.sql import Window
+
+    return v.grid(spark, d).where("z % 3 = 0").select("r", "c", F.row_number().over(Window.partitionBy("r").orderBy("c")).alias("nth"))
+
+
+# ---------------------------------------------------------------- exchange between tiles
+
+
+@query("WITH t AS (SELECT s_suppkey AS tile, s_nationkey % 2 AS crs, s_suppkey % 10 * 3.0 AS xmin, s_suppkey % 10 * 3.0 + 3 + s_nationkey % 3 AS xmax, s_suppkey // 10 * 2.0 AS ymin, s_suppkey // 10 * 2.0 + 2 + s_nationkey % 2 AS ymax FROM supplier) SELECT a.tile, b.tile AS other FROM t a JOIN t b ON a.crs = b.crs AND a.tile <> b.tile AND a.xmin < b.xmax AND b.xmin < a.xmax AND a.ymin < b.ymax AND b.ymin < a.ymax")
+def j7_s27_neighbour_tiles(spark, d):
+    t = v.table(spark, d, "supplier").selectExpr("s_suppkey tile", "s_nationkey % 2 crs", "s_suppkey % 10 * 3.0D xmin", "s_suppkey % 10 * 3.0D + 3 + s_nationkey % 3 xmax", "s_suppkey div 10 * 2.0D ymin", "s_suppkey div 10 * 2.0D + 2 + s_nationkey % 2 ymax")
+    return exchange.neighbour_tiles(t)
+
+
+@query("WITH s AS (SELECT o_custkey AS reach, o_orderkey % 37 * 1.0 AS x1, o_orderkey % 11 * 1.0 AS y1, o_orderkey % 37 + o_orderkey % 5 - 2.0 AS x2, o_orderkey % 11 + o_orderkey % 3 - 1.0 AS y2 FROM orders) SELECT DISTINCT reach FROM s WHERE least(x1, x2) <= 20 AND greatest(x1, x2) >= 20 AND CASE WHEN x1 = x2 THEN least(y1, y2) <= 6 AND greatest(y1, y2) >= 2 ELSE y1 + (20 - x1) * (y2 - y1) / (x2 - x1) BETWEEN 2 AND 6 END")
+def j5_crossing_reaches(spark, d):
+    s = v.table(spark, d, "orders").selectExpr("o_custkey reach", "o_orderkey % 37 * 1.0D x1", "o_orderkey % 11 * 1.0D y1", "o_orderkey % 37 + o_orderkey % 5 - 2.0D x2", "o_orderkey % 11 + o_orderkey % 3 - 1.0D y2")
+    return exchange.crossing_reaches(s, 20, 2, 6)
+
+
+@query("WITH x AS (SELECT vec_id AS reach, unnest(range(1, 65)) AS i, embedding FROM embeddings WHERE label % 2 = 0) SELECT reach, CAST(embedding[i] AS DOUBLE) AS flow, CAST(embedding[i] * 2 AS DOUBLE) AS wse FROM x WHERE embedding[i] > 0")
+def x3_f14_boundary_water(spark, d):
+    e = v.table(spark, d, "embeddings")
+    up = F.transform("embedding", lambda x: F.when(x > 0, x.cast("double")))
+    vdt = e.select(F.col("vec_id").alias("reach"), up.alias("q"), F.transform("embedding", lambda x: (x * 2).cast("double")).alias("wse"))
+    return exchange.boundary_water(vdt, e.where("label % 2 = 0").select(F.col("vec_id").alias("reach")))
+
+
+@query("SELECT c_custkey AS reach, c_nationkey AS tile, CAST(c_custkey % 50 AS DOUBLE) AS x, CAST(c_custkey % 31 AS DOUBLE) AS y FROM customer WHERE c_nationkey <> 3 AND c_custkey % 50 > 10 AND c_custkey % 50 < 30 AND c_custkey % 31 > 5 AND c_custkey % 31 < 20")
+def x4_j6_gather(spark, d):
+    p = v.table(spark, d, "customer").selectExpr("c_custkey reach", "c_nationkey tile", "c_custkey % 50 * 1.0D x", "c_custkey % 31 * 1.0D y")
+    return exchange.gather(p, 10, 5, 30, 20, 3)
+
+
+# ---------------------------------------------------------------- scalars, sources
+
+
+@query("SELECT c_custkey AS id, printf('%s%02d%s%03d', CASE WHEN ceil(c_custkey % 170 - 85.5) >= 0 THEN 'n' ELSE 's' END, CAST(abs(ceil(c_custkey % 170 - 85.5)) AS INTEGER), CASE WHEN floor(c_custkey % 350 - 175.5) >= 0 THEN 'e' ELSE 'w' END, CAST(abs(floor(c_custkey % 350 - 175.5)) AS INTEGER)) AS tile FROM customer")
+def f5_s21_tile_names(spark, d):
+    return v.table(spark, d, "customer").select(F.col("c_custkey").alias("id"), fn.usgs_tile(F.col("c_custkey") % 170 - 85.5, F.col("c_custkey") % 350 - 175.5).alias("tile"))
+
+
+@query("SELECT event_id, CAST(hour(ts) // 6 * 6 AS INTEGER) AS cycle, CASE WHEN regexp_extract(f, 'Forecast_(\\d{8})', 1) <> '' THEN CAST(strptime(regexp_extract(f, 'Forecast_(\\d{8})', 1), '%Y%m%d') AS DATE) END AS issued FROM (SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN 'other.csv' ELSE 'dem_Forecast_' || strftime(ts, '%Y%m%d') || '_00.csv' END AS f FROM events)")
+def f3_f4_cycles(spark, d):
+    e = v.table(spark, d, "events").withColumn("f", F.when(F.col("event_id") % 3 == 0, "other.csv").otherwise(F.concat(F.lit("dem_Forecast_"), F.date_format("ts", "yyyyMMdd"), F.lit("_00.csv"))))
+    return e.select("event_id", fn.cycle_hour(F.hour("ts")).alias("cycle"), fn.forecast_date(F.col("f")).alias("issued"))
+
+
+@query("SELECT p_partkey AS id, floor(p_retailprice / 7 * 2) / 2 AS half, round(p_retailprice / 0.3048, 6) AS feet, CAST(least((p_partkey - 700) - 20 * floor((p_partkey - 700) / 20.0), 19 - ((p_partkey - 700) - 20 * floor((p_partkey - 700) / 20.0))) AS BIGINT) AS mirror, CAST(floor((p_size - 2.5) / 1.5) AS INTEGER) AS col FROM part")
+def f8_f9_f17_f19_scalars(spark, d):
+    p = v.table(spark, d, "part")
+    _, col = fn.to_cell(F.col("p_size"), F.lit(0), 2.5, 1.5, 0.0, -1.0)
+    return p.select(F.col("p_partkey").alias("id"), fn.half_floor(F.col("p_retailprice") / 7).cast("double").alias("half"), F.round(fn.feet(F.col("p_retailprice")), 6).alias("feet"), fn.reflected(F.col("p_partkey") - 700, 10).alias("mirror"), col.alias("col"))
+
+
+@query("SELECT s_suppkey AS id, round(111132.92 - 559.82 * cos(2 * radians(s_suppkey % 80)) + 1.175 * cos(4 * radians(s_suppkey % 80)) - 0.0023 * cos(6 * radians(s_suppkey % 80)), 4) AS north, round(111412.84 * cos(radians(s_suppkey % 80)) - 93.5 * cos(3 * radians(s_suppkey % 80)) + 0.118 * cos(5 * radians(s_suppkey % 80)), 4) AS east FROM supplier")
+def f6_metres_per_degree(spark, d):
+    north, east = fn.metres_per_degree(F.col("s_suppkey") % 80)
+    return v.table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.round(north, 4).alias("north"), F.round(east, 4).alias("east"))
+
+
+@query("SELECT CAST(m AS INTEGER) AS member, CAST(h AS INTEGER) AS hour FROM range(1, 8) a(m), range(6, 720, 6) b(h)")
+def s16_forecast_files(spark, d):
+    return tables.forecast_files(spark, 7, 6, 720, 6)
+
+
+@query("SELECT DISTINCT CAST(trunc(c_custkey % 300 / 7.0 - 20) AS INTEGER) AS lat, CAST(trunc(c_custkey % 500 / 3.0 - 80) AS INTEGER) AS lon FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_totalprice > 100000")
+def s20_warning_tiles(spark, d):
+    flagged = v.table(spark, d, "orders").where("o_totalprice > 100000").select(F.col("o_custkey").alias("k")).distinct()
+    c = v.table(spark, d, "customer").join(flagged, F.col("c_custkey") == F.col("k"), "left_semi")
+    return c.select((F.col("c_custkey") % 300 / 7.0 - 20).cast("int").alias("lat"), (F.col("c_custkey") % 500 / 3.0 - 80).cast("int").alias("lon")).distinct()
+
+
+@query("SELECT name FROM (SELECT 'dem' || event_id % 3 || '_Forecast_' || strftime(ts, '%Y%m%d') || '.csv' AS name, CAST(ts AS DATE) AS day, event_id FROM events) WHERE event_id % 3 = 1 AND date_diff('day', day, DATE '2024-02-01') >= 20")
+def k13_expired(spark, d):
+    names = v.table(spark, d, "events").select(F.concat(F.lit("dem"), (F.col("event_id") % 3).cast("string"), F.lit("_Forecast_"), F.date_format("ts", "yyyyMMdd"), F.lit(".csv")).alias("name"))
+    return tables.expired(names, "2024-02-01", 20, "dem1")
+
+
+@query(f"WITH {v.SMALL}, m(k, n) AS (VALUES (10, 0.12), (20, 0.05), (30, 0.03), (40, 0.035), (50, 0.075), (60, 0.03), (70, 0.03), (80, 0.03), (90, 0.1), (95, 0.1), (100, 0.1)) SELECT r, c, CAST(n AS DOUBLE) AS n FROM small JOIN m ON k = (z + 1) * 10")
+def k12_roughness(spark, d):
+    g = v.small_grid(spark, d).select("r", "c", ((F.col("z") + 1) * 10).alias("k"))
+    return g.join(F.broadcast(tables.manning(spark)), F.col("k") == F.col("lc_id")).select("r", "c", "n")
