@@ -89,4 +89,24 @@ QUERIES = {
     "op10_warc": op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality.STOP_WORDS))
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_quality_rules": rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+p AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM w WHERE len(w) >= 3),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM p),
+r AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM g, (VALUES (0), (1), (2)) o(k) WHERE n > 1 GROUP BY 1),
+m AS (SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+ CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+ len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…) *$'))) AS ell, len(list_filter(l, lambda x: regexp_matches(x, '^ *[-*•]'))) AS bul, len(list_intersect(w, [{_STOP}])) AS stop
+ FROM w LEFT JOIN r ON r.doc_id = w.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+ NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words <= 200000 AND word_chars >= 2 * n_words AND word_chars <= 14 * n_words AND 100 * n_symbols <= 10 * n_words AND stop >= 2
+ AND 100 * n_dup_lines <= 30 * n_lines AND 100 * ell <= 30 * n_lines AND 100 * bul <= 90 * n_lines AS kept FROM m""",
+    "op8_exact_top_k": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s) WHERE n <= 5""",
+}
