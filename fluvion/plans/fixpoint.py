@@ -44,7 +44,7 @@ def accumulate(nodes: DataFrame) -> DataFrame:
     S[k+1](c) = S[k](c) + sum of S[k](u) over u whose 2^k-th node downstream is c.
     """
     state = settle(nodes.select("id", F.col("down").alias("jump"), F.col("w").cast("long").alias("total")))
-    for _ in range(64):
+    for _ in range(state.count().bit_length() + 1):  # a longer way down than there are nodes is a cycle
         if not state.where("jump is not null").limit(1).count():
             return state.select("id", "total")
         sent = state.where("jump is not null").groupBy(F.col("jump").alias("_j")).agg(F.sum("total").alias("more"))
@@ -58,7 +58,7 @@ def accumulate(nodes: DataFrame) -> DataFrame:
 def depth(nodes: DataFrame) -> DataFrame:
     """(id, down) to (id, depth, root): steps to the outlet and the outlet itself, by doubling."""
     state = settle(nodes.select("id", F.col("down").alias("jump"), F.when(F.col("down").isNull(), 0).otherwise(1).alias("depth"), F.coalesce("down", "id").alias("root")))
-    for _ in range(64):
+    for _ in range(state.count().bit_length() + 1):  # a longer way down than there are nodes is a cycle
         if not state.where("jump is not null").limit(1).count():
             return state.select("id", "depth", "root")
         ahead = state.select(F.col("id").alias("_a"), F.col("jump").alias("next"), F.col("depth").alias("d2"), F.col("root").alias("r2"))
@@ -69,7 +69,7 @@ def depth(nodes: DataFrame) -> DataFrame:
 def downstream_closure(start: DataFrame, nodes: DataFrame) -> DataFrame:
     """start (id) and everything below, by doubling the jumps: (id)."""
     reached, jumps = settle(start.select("id").distinct()), settle(nodes.where("down is not null").select("id", "down"))
-    for _ in range(64):
+    for _ in range(nodes.count().bit_length() + 2):
         grown = settle(reached.unionAll(reached.join(jumps, "id").select(F.col("down").alias("id"))).distinct())
         if grown.count() == reached.count() and not jumps.limit(1).count():
             return grown

@@ -283,7 +283,7 @@ def r28_incised(spark, d):
     return grid.incised(v.grid(spark, d), 30000)
 
 
-@query(f"WITH RECURSIVE {NEAR_SMALL}, level(t) AS (SELECT DISTINCT z FROM small), open(r, c, t) AS (SELECT r, c, t FROM small, level WHERE z <= t AND (r IN (0, 15) OR c IN (0, 15)) UNION SELECT near.rn, near.cn, open.t FROM open JOIN near ON near.r = open.r AND near.c = open.c WHERE near.zn <= open.t) SELECT small.r, small.c, small.z, min(t) AS filled FROM small JOIN open ON small.r = open.r AND small.c = open.c GROUP BY 1, 2, 3")
+@query(f"WITH RECURSIVE {NEAR_SMALL}, level(t) AS (SELECT DISTINCT z FROM small), open(r, c, t) AS (SELECT r, c, t FROM small, level WHERE z <= t AND (SELECT count(*) FROM near n WHERE n.r = small.r AND n.c = small.c) < 8 UNION SELECT near.rn, near.cn, open.t FROM open JOIN near ON near.r = open.r AND near.c = open.c WHERE near.zn <= open.t) SELECT small.r, small.c, small.z, min(t) AS filled FROM small JOIN open ON small.r = open.r AND small.c = open.c GROUP BY 1, 2, 3")
 def r21_fill(spark, d):
     return hydro.fill(v.small_grid(spark, d))
 
