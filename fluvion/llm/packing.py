@@ -191,6 +191,9 @@ def _encoder(path: str):
     """Text to little-endian 32-bit ids. Chunks that white space bounds are encoded alone and remembered."""
     held = worker_cache("tokenizers")
     if path not in held:
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         held[path] = (Tokenizer.from_file(path), {})
@@ -200,18 +203,21 @@ def _encoder(path: str):
     def whole(text: str) -> bytes:
         return np.array(model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(text: str) -> bytes:
-        if any(s in text for s in special):
-            return whole(text)
-        chunks = CHUNK.findall(text)
-        new = set(chunks).difference(seen)
-        if new:
-            if len(seen) > 200_000:
-                seen.clear()
-                new = set(chunks)
-            for c in new:
-                seen[c] = whole(c)
-        return b"".join(map(seen.__getitem__, chunks))
+    batch = getattr(model, "encode_batch_fast", model.encode_batch)
+
+    def encode(texts: list[str]) -> list[bytes]:
+        parts = [None if any(s in t for s in special) else CHUNK.findall(t) for t in texts]
+        every = set().union(*[p for p in parts if p])
+        new = every.difference(seen)
+        if len(seen) + len(new) > 400_000:
+            seen.clear()
+            new = every
+        new = list(new)
+        for lo in range(0, len(new), 2000):
+            some = new[lo : lo + 2000]
+            for c, e in zip(some, batch(some, add_special_tokens=False)):
+                seen[c] = np.array(e.ids, "<u4").tobytes()
+        return [whole(t) if p is None else b"".join(map(seen.__getitem__, p)) for t, p in zip(texts, parts)]
 
     return encode
 
@@ -223,8 +229,10 @@ def _cut(path: str, capacity: int):
         encode, tag, met = _encoder(path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for b in batches:
             out: dict[str, list] = {k: [] for k in ("id", "piece", "start", "length", "ids_crc32", "rank")}
-            for i, text in zip(b["_id"].to_pylist(), b["_t"].to_pylist()):
-                ids = encode(text) + b"\0\0\0\0"
+            texts = b["_t"].to_pylist()
+            coded = (x for lo in range(0, len(texts), 256) for x in encode(texts[lo : lo + 256]))
+            for i, ids in zip(b["_id"].to_pylist(), coded):
+                ids += b"\0\0\0\0"
                 n = len(ids) // 4
                 first = n if n <= capacity else n % capacity or capacity
                 at = piece = 0
