@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SLOTS, WORD, count_into, gather_sketch, grams, keep, levels, one_of_equals, order_key, partitions, ship, sketch_rows, small_side, word_chunks
-from .setjoin import Poster, candidates, components, unsettled, verified
+from .setjoin import Poster, candidates, components, parity, unsettled, verified
 
 WORDS = 5
 
@@ -42,8 +42,8 @@ def item_of(s: np.ndarray) -> int:
 
 
 def _sign(kind: str, n: int):
-    """Texts to names and sizes of their sets (what 0), and the task's sketch (what 1)."""
-    names = ["what", "_id", "_th", "item", "n", "bucket", "blob"]
+    """Texts to names, sizes and signatures of their sets (what 0), and the task's sketch (what 1)."""
+    names = ["what", "_id", "_th", "item", "n", "bucket", "blob"]  # blob: signature or part of the sketch
 
     def run(batches):
         counts = np.zeros(SLOTS, np.uint32)
@@ -53,7 +53,7 @@ def _sign(kind: str, n: int):
             if some:
                 count_into(counts, np.concatenate(some))
             m = len(sets)
-            yield pa.record_batch([pa.array(np.zeros(m, np.int32)), b["_id"], b["_th"], pa.array([item_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary())], names)
+            yield pa.record_batch([pa.array(np.zeros(m, np.int32)), b["_id"], b["_th"], pa.array([item_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.nulls(m, pa.int64()), pa.array([parity(s) if len(s) else None for s in sets], pa.binary())], names)
         for seg, blob in sketch_rows(counts):
             yield pa.record_batch([pa.array([1], pa.int32()), pa.nulls(1, pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([seg], pa.int64()), pa.array([blob])], names)
 
@@ -108,7 +108,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     links = verified(pairs, sets)
     parts = components(links)
-    more = verified(unsettled(long, parts.withColumn("asks", F.lit(1))), sets)
+    signatures = signed.where("what = 0 and item is not null").select("item", F.col("blob").alias("sig"))
+    more = verified(unsettled(long, parts.withColumn("asks", F.lit(1)), signatures), sets)
     links = links.unionAll(more)
     parts = keep(components(links), "ngram_parts")
     degree = links.select(F.explode(F.array("a", "b")).alias("item")).groupBy("item").agg(F.count("*").alias("n_links"))

@@ -4,9 +4,11 @@ A set is a sorted array of order keys (rare tokens first). If two sets reach the
 n - ceil(t n) + 1 tokens of each have one in common, so only these prefixes are posted, as packed blobs dealt to buckets by
 token. In a bucket, the entries of a token meet under the length, positional and (where signatures are given) bitmap
 filters. A set with more than a few partners left in a token's run (large groups of near copies, or very common tokens)
-names the earliest ones only, and all entries of the run are kept aside. Once those pairs are verified, most such
-runs are settled; the entries that aren't meet in full in a second pass. So nothing is lost, and no group of copies makes
-all its pairs. An item is the 64-bit hash of its set, so exact copies are one item from the start.
+names the earliest ones only, among equals those with the fewest rarer tokens (the likely originals of a group), and all
+entries of the run are kept aside. A run whose windows are far larger than itself isn't even enumerated: its entries meet
+the few such originals of their size. Once those pairs are verified, most such runs are settled; the entries that aren't
+meet in full in a second pass. So nothing is lost, and no group of copies makes all its pairs. An item is the 64-bit hash
+of its set, so exact copies are one item from the start.
 """
 
 from __future__ import annotations
@@ -26,6 +28,10 @@ NUM, DEN = 3, 4
 MOST, EARLIEST = 4, 2
 ENTRY = ("<u8", "<i8", "<i8", "<u4", "<u4", "<u4", "<u8", "<u8")  # key, item, doc, line, n, pos, two words of signature
 FLUSH = 500_000
+#: A run whose windows hold over WIDE partners an entry is met through HUBS entries of each band of sizes.
+WIDE, HUBS = 16, 8
+#: Bits of a parity signature.
+PARITY = 512
 
 
 def prefix_length(n: int) -> int:
@@ -97,14 +103,19 @@ def _sorted_runs(c: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     return [x[order] for x in c], np.repeat(np.arange((size > 1).sum()), size[size > 1])
 
 
-def window_pairs(c: list[np.ndarray], run: np.ndarray, short_side: np.ndarray, long_side: np.ndarray, at_once: int = 500_000):
-    """Places (i, j) of pairs of a run that pass every filter, n[i] <= n[j], in chunks. The sides say which entries take part.
+def parity(s: np.ndarray) -> bytes:
+    """For each of PARITY slots, whether the set has an odd number of tokens there: two signatures differ in no more bits
+    than the sets do in tokens, however large these are."""
+    return np.packbits((np.bincount((s >> np.uint64(64 - 9)).astype(np.int64), minlength=PARITY) & 1).astype(bool)).tobytes()
+
+
+def windows(c: list[np.ndarray], run: np.ndarray, short_side: np.ndarray, long_side: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Places x of shorter sets, y of longer ones, and for each y where its partners start in x and how many there are.
 
     The length and positional filters are a range of sizes for each longer set: from t * n[j] up to what its position
-    leaves; shorter sets count only where their position leaves enough against an equal one. The bitmap bound is last.
+    leaves; shorter sets count only where their position leaves enough against an equal one.
     """
-    _, item, _, _, n, pos, s0, s1 = c
-    n, pos = n.astype(np.int64), pos.astype(np.int64)
+    n, pos = c[4].astype(np.int64), c[5].astype(np.int64)
     x = np.flatnonzero(short_side & (n - pos >= least_overlap(n, n)))
     place = (run[x] << 32) | n[x]  # sorted, as runs are by size
     y = np.flatnonzero(long_side)
@@ -114,8 +125,29 @@ def window_pairs(c: list[np.ndarray], run: np.ndarray, short_side: np.ndarray, l
     lo = np.searchsorted(place, (run[y] << 32) | low, "left")
     hi = np.maximum(lo, np.searchsorted(place, (run[y] << 32) | np.maximum(high, 0), "right"))
     many = hi - lo
-    y, lo, many = y[many > 0], lo[many > 0], many[many > 0]
-    signed = s0.any() or s1.any()
+    return x, y[many > 0], lo[many > 0], many[many > 0]
+
+
+def _near_enough(c: list[np.ndarray], sig: np.ndarray | None, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the lengths, positions and signatures of two entries leave the similarity possible."""
+    n, pos = c[4].astype(np.int64), c[5].astype(np.int64)
+    need = least_overlap(n[i], n[j])
+    ok = (n[i] - pos[i] >= need) & (n[j] - pos[j] >= need) & (c[1][i] != c[1][j])
+    if sig is not None:
+        at = np.flatnonzero(ok)
+        apart = np.bitwise_count(sig[i[at]] ^ sig[j[at]]).sum(axis=1, dtype=np.int64)
+        ok[at] = apart <= n[i[at]] + n[j[at]] - 2 * need[at]
+    return ok
+
+
+def _signatures(c: list[np.ndarray]) -> np.ndarray | None:
+    return np.stack(c[6:8], axis=1) if c[6].any() or c[7].any() else None
+
+
+def window_pairs(c: list[np.ndarray], run: np.ndarray, short_side: np.ndarray, long_side: np.ndarray, sig: np.ndarray | None, at_once: int = 500_000):
+    """Places (i, j) of pairs of a run that pass every filter, n[i] <= n[j], in chunks. The sides say which entries take part."""
+    n, pos = c[4].astype(np.int64), c[5].astype(np.int64)
+    x, y, lo, many = windows(c, run, short_side, long_side)
     total = np.cumsum(many)
     at = 0
     while at < len(y):
@@ -123,14 +155,10 @@ def window_pairs(c: list[np.ndarray], run: np.ndarray, short_side: np.ndarray, l
         count = many[at:stop]
         j = np.repeat(y[at:stop], count)
         i = x[np.repeat(lo[at:stop] - (np.cumsum(count) - count), count) + np.arange(len(j))]
-        need = least_overlap(n[i], n[j])
-        ok = (n[i] - pos[i] >= need) & (n[j] - pos[j] >= need) & (item[i] != item[j]) & ((n[i] < n[j]) | (i < j) | ~(short_side[j] & long_side[i] & (n[j] - pos[j] >= need)))
-        i, j = i[ok], j[ok]
-        if signed:
-            apart = np.bitwise_count(s0[i] ^ s0[j]).astype(np.int64) + np.bitwise_count(s1[i] ^ s1[j])
-            ok = apart <= n[i] + n[j] - 2 * need[ok]
-            i, j = i[ok], j[ok]
-        yield i, j
+        once = (n[i] < n[j]) | (i < j) | ~(short_side[j] & long_side[i] & (n[j] - pos[j] >= least_overlap(n[i], n[j])))
+        i, j = i[once], j[once]
+        ok = _near_enough(c, sig, i, j)
+        yield i[ok], j[ok]
         at = stop
 
 
@@ -141,24 +169,62 @@ def _by_place(c: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> tuple[np.nda
     return np.where(later, j, i), np.where(later, i, j)
 
 
+def _first_of(group: np.ndarray, most) -> np.ndarray:
+    """Which places are among the first `most` of their group; equal groups stand together."""
+    return np.arange(len(group)) - np.searchsorted(group, group, "left") < most
+
+
+def _hub_pairs(c: list[np.ndarray], run: np.ndarray, wide: np.ndarray, sig: np.ndarray | None, at_once: int = 500_000):
+    """Of entries of wide runs, places (partner, entry) with the hubs of their band of sizes, the best hubs first."""
+    at = np.flatnonzero(wide)
+    band = (np.log(c[4][at]) / np.log(1.15)).astype(np.int64)
+    order = np.lexsort((c[1][at], c[5][at], c[3][at], c[2][at], band, run[at]))
+    at, group = at[order], (run[at][order] << 16) | band[order]
+    hub = at[_first_of(group, HUBS)]
+    of = group[_first_of(group, HUBS)]
+    lo, hi = np.searchsorted(of, group, "left"), np.searchsorted(of, group, "right")
+    for k in range(0, len(at), at_once // HUBS):
+        count = (hi - lo)[k : k + at_once // HUBS]
+        j = np.repeat(at[k : k + at_once // HUBS], count)
+        i = hub[np.repeat(lo[k : k + at_once // HUBS] - (np.cumsum(count) - count), count) + np.arange(len(j))]
+        ok = _near_enough(c, sig, i, j)
+        i, j = i[ok], j[ok]
+        # stable: hubs stay in their order
+        order = np.argsort(j, kind="stable")
+        i, j = i[order], j[order]
+        ok = _first_of(j, EARLIEST)
+        yield i[ok], j[ok]
+
+
 def candidate_pairs(c: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Items of pairs (earlier, later), and the entries of runs in which some entry had more partners than it may name."""
     c, run = _sorted_runs(c)
-    every = np.ones(len(run), bool)
-    over, found = np.zeros(int(run[-1]) + 1 if len(run) else 0, bool), []
-    for i, j in window_pairs(c, run, every, every):
-        order = np.lexsort((c[1][i], c[3][i], c[2][i], j))  # of each longer set, the earliest partners
+    if not len(run):
+        return run, run, c
+    every, sig = np.ones(len(run), bool), _signatures(c)
+    size = np.bincount(run)
+    _, y, _, many = windows(c, run, every, every)
+    over = np.bincount(run[y], many, len(size)) > WIDE * size
+    wide = over[run]
+    found = []
+
+    def name(i, j):
+        i, j = _by_place(c, i, j)
+        found.append(np.unique(np.stack([c[1][i], c[1][j]]), axis=1))
+
+    for i, j in _hub_pairs(c, run, wide, sig):
+        name(i, j)
+    for i, j in window_pairs(c, run, ~wide, ~wide, sig):
+        order = np.lexsort((c[1][i], c[5][i], c[3][i], c[2][i], j))  # of each longer set, the earliest partners
         i, j = i[order], j[order]
-        rank = np.arange(len(j)) - np.searchsorted(j, j, "left")
-        over[run[j[rank >= MOST]]] = True
+        few = _first_of(j, MOST)
+        over[run[j[~few]]] = True
         crowded = np.zeros(len(c[0]), bool)
-        crowded[j[rank >= MOST]] = True
-        ok = rank < np.where(crowded[j], EARLIEST, MOST)
-        i, j = _by_place(c, i[ok], j[ok])
-        found.append(np.unique(np.stack([c[1][i], c[1][j]]), axis=1))
+        crowded[j[~few]] = True
+        ok = _first_of(j, np.where(crowded[j], EARLIEST, MOST))
+        name(i[ok], j[ok])
     pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-    long = over[run] if len(run) else every
-    return pairs[0], pairs[1], [x[long] for x in c]
+    return pairs[0], pairs[1], [x[over[run]] for x in c]
 
 
 def _reduce(batches):
@@ -197,6 +263,7 @@ def _settle(ordered: bool):
         order = np.lexsort((c[1], c[4], c[0]))
         c = [x[order] for x in c]
         part, asks = get("part")[order], get("asks")[order].astype(bool)
+        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint64).reshape(len(order), -1)[order] if "sig" in t.column_names else _signatures(c)
         run = np.cumsum(np.r_[False, c[0][1:] != c[0][:-1]])
         if not ordered:
             by = np.lexsort((part, run))
@@ -210,7 +277,7 @@ def _settle(ordered: bool):
             asks = part != main[run]
         every = np.ones(len(run), bool)
         for short_side, long_side in ((every, asks), (asks, ~asks)):
-            for i, j in window_pairs(c, run, short_side, long_side):
+            for i, j in window_pairs(c, run, short_side, long_side, sig):
                 i, j = _by_place(c, i, j)
                 owed = asks[j] if ordered else part[i] != part[j]
                 pairs = np.unique(np.stack([c[1][i[owed]], c[1][j[owed]]]), axis=1)
@@ -226,14 +293,17 @@ def candidates(posted: DataFrame) -> tuple[DataFrame, DataFrame]:
     return out.where("kind = 0").select("a", "b").distinct(), out.where("kind = 1").drop("kind")
 
 
-def unsettled(long: DataFrame, state: DataFrame) -> DataFrame:
+def unsettled(long: DataFrame, state: DataFrame, signatures: DataFrame | None = None) -> DataFrame:
     """Pairs that long runs still owe. state: (item, part, asks): pairs within a part, or whose later item doesn't ask, are
-    settled. With first_doc and first_line, these say which item is the later one."""
+    settled. With first_doc and first_line, these say which item is the later one. signatures: (item, sig), for every item."""
     spark = long.sparkSession
     own = "first_doc" in state.columns
     s = state.select(F.col("item").alias("_i"), "part", "asks", *(["first_doc", "first_line"] if own else []))
     place = [F.coalesce(f"first_{k}", k).alias(k) if own else F.col(k) for k in ("doc", "line")]
     rows = long.join(s, long["a"] == s["_i"], "left").select("a", "b", *place, "n", "pos", "s0", "s1", F.coalesce("part", "a").alias("part"), F.coalesce("asks", F.lit(1)).alias("asks"))
+    if signatures is not None:
+        met = signatures.join(long.select(F.col("a").alias("item")).distinct(), "item", "left_semi").dropDuplicates(["item"])
+        rows = rows.join(met.withColumnRenamed("item", "_i"), rows["a"] == F.col("_i")).drop("_i")
     rows = keep(rows, "join_long")
     open_ = rows.groupBy(F.col("b").alias("_b")).agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max("asks").alias("any")).where("lo < hi and any = 1").select("_b")
     return rows.join(open_, rows["b"] == open_["_b"], "left_semi").repartition(partitions(spark), "b").mapInArrow(_settle(own), "a long, b long").distinct()
@@ -243,17 +313,18 @@ def _verify(batches):
     for b in batches:
         keep_ = []
         for x, y in zip(b["set_a"].to_pylist(), b["set_b"].to_pylist()):
-            p, q = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-            both = len(np.intersect1d(p, q, assume_unique=True))
+            p, q = sorted((np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")), key=len)
+            both = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
             keep_.append(DEN * both >= NUM * (len(p) + len(q) - both))
         yield pa.record_batch([b["a"].filter(pa.array(keep_, pa.bool_())), b["b"].filter(pa.array(keep_, pa.bool_()))], ["a", "b"])
 
 
 def verified(pairs: DataFrame, sets: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """The pairs that reach the similarity. sets: items (item) to (item, set), each set fetched once from its text."""
+    """The pairs that reach the similarity. sets: items (item) to (item, set), a set being sorted hashes. Both joins read the
+    one exchange of sets by item, so a set is dealt once and then travels with its pairs."""
     pairs = keep(pairs, "join_pairs")
     items = pairs.select(F.explode(F.array("a", "b")).alias("item")).distinct()
-    got = keep(sets(items).dropDuplicates(["item"]), "join_sets")
+    got = sets(items).dropDuplicates(["item"])
     a = got.select(F.col("item").alias("_a"), F.col("set").alias("set_a"))
     b = got.select(F.col("item").alias("_b"), F.col("set").alias("set_b"))
     met = pairs.join(a, pairs["a"] == a["_a"]).drop("_a")
