@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SLOTS, WORD, count_into, gather_sketch, grams, keep, levels, one_of_equals, order_key, partitions, ship, sketch_rows, small_side, word_chunks
-from .setjoin import Poster, candidates, components, parity, unsettled, verified
+from .setjoin import Poster, candidates, components, degrees, parity, unsettled, verified
 
 WORDS = 5
 
@@ -86,9 +86,9 @@ def _sets(n: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, count_links: bool = True) -> DataFrame:
     """One row for each row of docs: id, n_shingles, item (name of its set), n_links (of the set, to other
-    sets), component_id, part (name of the component) and text_hash."""
+    sets; null unless counted), component_id, part (name of the component) and text_hash."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
@@ -112,17 +112,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = verified(unsettled(long, parts.withColumn("asks", F.lit(1)), signatures), sets)
     links = links.unionAll(more)
     parts = keep(components(links), "ngram_parts")
-    degree = links.select(F.explode(F.array("a", "b")).alias("item")).groupBy("item").agg(F.count("*").alias("n_links"))
+    # the joins verify only the links that components need
+    if count_links:
+        sizes = rows.where("item is not null").groupBy("item").agg(F.first("n").alias("n"))
+        degree = degrees(links, parts, sizes, sets)
+    else:
+        degree = parts.select("item", F.lit(None).cast("long").alias("n_links"))
     named = one.join(parts, "item", "left").select("item", "_r", F.coalesce("part", "item").alias("part"))
     least = named.groupBy("part").agg(F.min("_r").alias("least"))
-    member = named.join(least, "part").join(degree, "item", "left").select(F.col("item").alias("_i"), "least", "part", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    member = named.join(least, "part").join(degree, "item", "left").select(F.col("item").alias("_i"), "least", "part", "n_links")
+    n_links = F.coalesce("n_links", F.lit(0)).cast("long") if count_links else F.col("n_links")
     out = rows.join(member, rows["item"] == member["_i"], "left")
-    return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "item", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("item").isNull(), F.col("_id")).otherwise(F.col("least")).alias("component_id"), "part", F.col("_th").alias("text_hash"))
+    return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "item", n_links.alias("n_links"), F.when(F.col("item").isNull(), F.col("_id")).otherwise(F.col("least")).alias("component_id"), "part", F.col("_th").alias("text_hash"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     """docs with one row of each group of near duplicates, that with the least id; rows without words all stay."""
-    found = near_duplicates(docs, id_col, text_col, words)
+    found = near_duplicates(docs, id_col, text_col, words, count_links=False)
     least = found.where("part is not null").groupBy("part", id_col, "text_hash").agg(F.count("*").alias("n")).groupBy("part").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("i"), F.col("text_hash").alias("h"), F.col("n"))).alias("m"))
     stays = keep(least.select(F.col("m.i").alias("__i"), F.col("m.h").alias("__h"), F.col("m.n").alias("__rows")), "ngram_stays")
     empty = ~F.coalesce(F.col(text_col), F.lit("")).rlike(WORD)

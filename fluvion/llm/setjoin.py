@@ -32,6 +32,8 @@ FLUSH = 500_000
 WIDE, HUBS = 16, 8
 #: Bits of a parity signature.
 PARITY = 512
+#: Most sets and tokens of a block of a component, on average, when the links of its sets are counted.
+BLOCK_SETS, BLOCK_TOKENS = 2_000, 1_000_000
 
 
 def prefix_length(n: int) -> int:
@@ -353,4 +355,101 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return e.select(F.col("u").alias("item"), F.col("v").alias("part")).unionAll(e.select(F.col("v").alias("item"), F.col("v").alias("part")).distinct())
 
 
+def partners(sets: list[np.ndarray], second: np.ndarray | None = None, at_once: int = 2_000_000) -> np.ndarray:
+    """For each set, how many others reach the least similarity; with `second`, how many of the other side.
+
+    The overlaps are a product of two 0-1 matrices. Tokens that many sets have are multiplied as dense columns, the
+    others add one for each pair of sets that has them, whichever is less work. Counts are exact up to 2^24 tokens a set.
+    """
+    size = np.array([len(s) for s in sets], np.int64)
+    _, token = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(token, kind="stable")
+    token, row = token[order], row[order]
+    one = np.arange(len(sets)) if second is None else np.flatnonzero(~second)
+    two = one if second is None else np.flatnonzero(second)
+    place = np.zeros(len(sets), np.int64)
+    place[one], place[two] = np.arange(len(one)), np.arange(len(two))
+    left = np.ones(len(row), bool) if second is None else ~second[row]
+    right = left if second is None else ~left
+    (tx, x), (ty, y) = (token[left], place[row[left]]), (token[right], place[row[right]])
+    most = int(token[-1]) + 1
+    nx, ny = np.bincount(tx, minlength=most), np.bincount(ty, minlength=most)
+    start = np.cumsum(ny) - ny
+    dense = 256 * nx * ny >= len(one) * len(two)
+    both = np.zeros((len(one), len(two)), np.float32)
+    wide = np.flatnonzero(dense)
+    for lo in range(0, len(wide), 1024):
+        of = np.full(most, -1)
+        of[wide[lo : lo + 1024]] = np.arange(len(wide[lo : lo + 1024]))
+        sides = []
+        for t, at, n in ((tx, x, len(one)), (ty, y, len(two))):
+            m = np.zeros((n, len(wide[lo : lo + 1024])), np.float32)
+            had = of[t] >= 0
+            m[at[had], of[t[had]]] = 1
+            sides.append(m)
+        both += sides[0] @ sides[1].T
+    rest = np.flatnonzero(~dense[tx] & (ny[tx] > 0))
+    total = np.cumsum(ny[tx[rest]])
+    k = 0
+    while k < len(rest):
+        stop = max(k + 1, int(np.searchsorted(total, (total[k - 1] if k else 0) + at_once, "right")))
+        e = rest[k:stop]
+        count = ny[tx[e]]
+        j = y[np.repeat(start[tx[e]] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
+        both += np.bincount(np.repeat(x[e], count) * len(two) + j, minlength=both.size).reshape(both.shape)
+        k = stop
+    out = np.zeros(len(sets), np.int64)
+    for lo in range(0, len(one), 256):
+        ok = (NUM + DEN) * both[lo : lo + 256].astype(np.int64) >= NUM * (size[one[lo : lo + 256], None] + size[two])
+        out[one[lo : lo + 256]] += ok.sum(axis=1)
+        if second is not None:
+            out[two] += ok.sum(axis=0)
+    return out - 1 if second is None else out  # a set is no partner of itself
+
+
+def _count(batches):
+    """Sets sorted by (part, i, j), a pair of blocks, to partners within it."""
+
+    def settle(key, items, sets, mine):
+        side = None if key[1] == key[2] else np.array(mine) == key[2]
+        if side is None or side.any() and not side.all():
+            yield pa.record_batch([pa.array(items, pa.int64()), pa.array(partners(sets, side))], ["item", "n_links"])
+
+    key, items, sets, mine = None, [], [], []
+    for b in batches:
+        for part, i, j, m, item, s in zip(*[b[k].to_pylist() for k in ("part", "i", "j", "mine", "item")], b["set"]):
+            if (part, i, j) != key:
+                if items:
+                    yield from settle(key, items, sets, mine)
+                key, items, sets, mine = (part, i, j), [], [], []
+            items.append(item)
+            sets.append(np.frombuffer(s.as_py(), "<u8"))
+            mine.append(m)
+    if items:
+        yield from settle(key, items, sets, mine)
+
+
+def degrees(links: DataFrame, parts: DataFrame, sizes: DataFrame, sets: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(item, n_links): the exact number of links of every item of parts. links: those verified, each once; sizes: (item, n).
+
+    All links lie within components. Where every pair of one is verified already, its items have one link less than it
+    has items. The sets of the others are dealt into blocks of bounded size, each pair of blocks to one place, and
+    counted there; so what a task holds is bounded, and the work is the square of a component's number of sets.
+    """
+    spark = links.sparkSession
+    found = links.join(parts, links["a"] == parts["item"]).groupBy(F.col("part").alias("_p")).agg(F.count("*").alias("found"))
+    met = parts.join(sizes, "item").groupBy(F.col("part").alias("_p")).agg(F.count("*").alias("m"), F.sum("n").alias("tokens"))
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("int")
+    state = met.join(found, "_p", "left").select("_p", "m", blocks.alias("blocks"), (F.col("found") * 2 == F.col("m") * (F.col("m") - 1)).alias("whole"))
+    state = keep(parts.join(state, parts["part"] == F.col("_p")).select("item", "part", "m", "blocks", "whole"), "join_degrees")
+    open_ = state.where("not whole").select(F.col("item").alias("_i"), "part", "blocks", F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int").alias("mine"))
+    got = sets(open_.select(F.col("_i").alias("item"))).dropDuplicates(["item"])
+    dealt = got.join(open_, got["item"] == open_["_i"]).select("item", "set", "part", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
+    dealt = dealt.select("item", "set", "part", "mine", F.least("mine", "o").alias("i"), F.greatest("mine", "o").alias("j"))
+    dealt = dealt.repartition(partitions(spark), "part", "i", "j").sortWithinPartitions("part", "i", "j")
+    counted = dealt.mapInArrow(_count, "item long, n_links long").groupBy("item").agg(F.sum("n_links").alias("n_links"))
+    return state.where("whole").select("item", (F.col("m") - 1).alias("n_links")).unionAll(counted)
+
+
 ship(__name__)
