@@ -97,7 +97,10 @@ def _instances(scanned: DataFrame) -> DataFrame:
 
 
 def _tokens(text: Column) -> Column:
-    """Identifier-like tokens with up to two words before and one after, as far as the text between tokens has them."""
+    """Identifier-like tokens with up to two words before and one after, as far as the text between tokens has them.
+
+    Words are whole, however long. The text before is read backwards from the token, so no pattern is tried at every place.
+    """
     found = spans(text, TOKEN)
     gaps = F.split(text, TOKEN, -1)
     none = F.array().cast("array<struct<start:int,end:int,hit:string,left:string,right:string>>")
@@ -107,8 +110,8 @@ def _tokens(text: Column) -> Column:
             x["s"]["start"].alias("start"),
             x["s"]["end"].alias("end"),
             x["s"]["hit"].alias("hit"),
-            F.lower(F.regexp_extract(F.right(x["before"], F.lit(60)), r"(\S+\s+\S+)\s*$", 1)).alias("left"),
-            F.lower(F.regexp_extract(F.left(x["after"], F.lit(60)), r"^\s*(\S+)", 1)).alias("right"),
+            F.lower(F.reverse(F.regexp_extract(F.reverse(x["before"]), r"^\s*+(\S++(?:\s++\S++)?)", 1))).alias("left"),
+            F.lower(F.regexp_extract(x["after"], r"^\s*+(\S++)", 1)).alias("right"),
         ),
     )
     return F.when(text.rlike("[0-9@]"), cut).otherwise(none)
@@ -128,12 +131,13 @@ def bootstrap(instances: DataFrame, rounds: int = 3, least_support: int = 3, lea
     The graph has one edge for each pattern and token, with its count; hot patterns and hot tokens are summed before
     any shuffle. Rounds read a written table, so lineage stays short and a lost executor costs one round.
     """
+    last = F.regexp_replace("left", r"^\S++\s++", "")  # of the two words, or the only one
     pattern = F.explode(
         F.array_compact(
             F.array(
-                F.when(F.col("left") != "", F.concat(F.lit("L:"), F.col("left"))),
-                F.when(F.col("left") != "", F.concat(F.lit("l:"), F.regexp_extract("left", r"(\S+)$", 1))),
-                F.when((F.col("left") != "") & (F.col("right") != ""), F.concat(F.lit("B:"), F.regexp_extract("left", r"(\S+)$", 1), F.lit("_"), F.col("right"))),
+                F.when(F.col("left").rlike(r"\s"), F.concat(F.lit("L:"), F.col("left"))),
+                F.when(F.col("left") != "", F.concat(F.lit("l:"), last)),
+                F.when((F.col("left") != "") & (F.col("right") != ""), F.concat(F.lit("B:"), last, F.lit("_"), F.col("right"))),
             )
         )
     ).alias("pattern")

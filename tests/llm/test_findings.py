@@ -2,7 +2,7 @@
 
 import random
 
-from fluvion.llm import ngram_join, setjoin
+from fluvion.llm import ngram_join, pii, setjoin
 
 from .test_joins import corpus, shingle_sets
 
@@ -29,3 +29,19 @@ def test_ngram_counts_every_link(spark, monkeypatch):
         monkeypatch.setattr(setjoin, "BLOCK_SETS", block, raising=False)
         got = {r.doc_id: r.n_links for r in ngram_join.near_duplicates(docs).collect()}
         assert got == {i: degree.get(s, 0) for i, s in sets.items()}
+
+
+def test_pii_learns_from_one_word(spark):
+    long = "z" * 70
+    texts = [f"reach us {w} +49 171 55501{i:02d} today" for w in ("Fax", "phone", long) for i in range(30)]
+    new = ["tel 0171 5550199 fax 0171 5550198", "Phone 555-0199", f"Phone {long} 0171 5550196", f"{long} 0171 5550195 now", "0171 5550194"]
+    docs = spark.createDataFrame(list(enumerate(texts + new)), "doc_id long, text string")
+    got = {r.doc_id: (r.spans, r.n_new) for r in pii.find_pii(docs).collect()}
+    assert [got[len(texts) + k] for k in range(len(new))] == [("phone:21:33", 1), ("phone:6:14", 1), ("phone:77:89", 1), ("phone:71:83", 1), ("", 0)]
+    assert all(got[i][1] == 0 for i in range(len(texts)))
+
+
+def test_pii_keeps_whole_words_in_linear_time(spark):
+    row = spark.createDataFrame([("a" * 400_000 + " " + "b" * 400_000 + " 12345678 " + "c" * 100,)], "text string")
+    t = row.select(pii._tokens(row["text"])[0].alias("t")).first().t
+    assert (t.hit, t.left, t.right) == ("12345678", "a" * 400_000 + " " + "b" * 400_000, "c" * 100)
