@@ -98,22 +98,37 @@ def flow_accumulation(cells: DataFrame, ncols: int) -> DataFrame:
 
 
 def flat_gradient(cells: DataFrame) -> DataFrame:
-    """(r, c, steps): on flats of a filled grid, steps to the nearest cell of the same level that has a lower neighbour.
+    """(r, c, steps): on flats of a filled grid, the gradient of Barnes et al. (2014) in steps, 0 off them.
 
-    Integers, so that directions on flats compare as pairs (height, steps) and no height is ever nudged.
+    A cell drains if a neighbour is lower, or off the grid or no data; flats are patches of one level whose other cells
+    reach one that drains, a low edge. Steps are twice those from the low edges (which are 1), plus, where higher
+    ground is reached through the flat, the most steps away from it in the flat less the cell's own. Integers, so that
+    directions on flats compare as pairs (height, steps) and no height is ever nudged.
     """
     cells = fx.settle(cells.select("r", "c", "z"))
     near = fx.settle(neighbours(cells))
-    drains = near.groupBy("r", "c").agg(F.max((F.col("zn") < F.col("z")).cast("int")).alias("low"))
-    start = cells.join(drains, ["r", "c"], "left").select("r", "c", F.when(F.col("low") == 1, 0).alias("steps"))
-    links = fx.settle(near.where("z = zn").select("r", "c", "rn", "cn"))
+    around = near.groupBy("r", "c").agg(F.count("*").alias("n"), F.min("zn").alias("low"), F.max("zn").alias("high"))
+    closed = (F.coalesce("n", F.lit(0)) == 8) & (F.col("low") >= F.col("z"))
+    kinds = fx.settle(cells.join(around, ["r", "c"], "left").select("r", "c", F.coalesce(closed, F.lit(False)).alias("flat"), (F.col("high") > F.col("z")).alias("beside")))
+    level = near.where("z = zn").select("r", "c", "rn", "cn")
+    links = fx.settle(level.join(kinds.where("flat").select("r", "c"), ["r", "c"], "left_semi"))  # into flat cells only
+    edge = links.select(F.col("rn").alias("r"), F.col("cn").alias("c")).distinct().withColumn("met", F.lit(True))
+    start = kinds.join(edge, ["r", "c"], "left").select("r", "c", F.when(~F.col("flat") & F.col("met"), 1).alias("toward"), F.when(F.col("flat") & F.col("beside"), 1).alias("away"))
 
     def step(s: DataFrame) -> DataFrame:
-        there = s.select(F.col("r").alias("_r"), F.col("c").alias("_c"), F.col("steps").alias("far"))
-        low = links.join(there, (F.col("rn") == F.col("_r")) & (F.col("cn") == F.col("_c"))).groupBy("r", "c").agg(F.min("far").alias("far"))
-        return s.join(low, ["r", "c"], "left").select("r", "c", F.least("steps", F.col("far") + 1).alias("steps"))
-
-    return fx.fixpoint(start, step, F.struct(F.count("steps"), F.sum("steps")))
+        there = s.select(F.col("r").alias("_r"), F.col("c").alias("_c"), F.col("toward").alias("t"), F.col("away").alias("a"))
+        low = links.join(there, (F.col("rn") == F.col("_r")) & (F.col("cn") == F.col("_c"))).groupBy("r", "c").agg(F.min("t").alias("t"), F.min("a").alias("a"))
+        return s.join(low, ["r", "c"], "left").select("r", "c", F.least("toward", F.col("t") + 1).alias("toward"), F.least("away", F.col("a") + 1).alias("away"))
+
+    far = fx.fixpoint(start, step, F.struct(F.count("toward"), F.sum("toward"), F.count("away"), F.sum("away")))
+    box = cells.agg(F.min("r"), F.min("c"), F.max("c")).first()
+    r0, c0, wide = (box[0], box[1], box[2] - box[1] + 1) if box[0] is not None else (0, 0, 1)
+    flat = lambda r, c: ((F.col(r) - r0).cast("long") * wide + F.col(c) - c0).cast("long")
+    labels = fx.components(level.select(flat("r", "c").alias("a"), flat("rn", "cn").alias("b")))
+    met = far.withColumn("_i", flat("r", "c")).join(labels, F.col("_i") == F.col("id"), "left")
+    height = met.groupBy(F.col("label").alias("_l")).agg(F.max("away").alias("height"))
+    met = met.join(height, F.col("label") == F.col("_l"), "left")
+    return met.select("r", "c", F.coalesce(2 * F.col("toward") + F.coalesce(F.col("height") - F.col("away"), F.lit(0)), F.lit(0)).cast("int").alias("steps"))
 
 
 def water_mask(streams: DataFrame, water: DataFrame, ocean: DataFrame, ncols: int) -> DataFrame:
