@@ -1,11 +1,9 @@
-"""N-gram Jaccard join by a token-group matrix.
-
-Words are runs without white space, ASCII capitals lowered; a document's set is its distinct runs of five words. Similar
-documents are partitioned into groups (the components found so far), and the matrix holds, for each token, the groups
-whose union has it: a token whose documents all lie in one group opens nothing. A query meets a group only over a token
-of its prefix, and only where length and position leave enough overlap possible; qualifying groups are opened, and their
-documents verified on the full sets. The groups start as single documents, grow by the first verification, and the long
-rows of the matrix are then settled against the grown groups.
+"""N-gram Jaccard join by prefixes, in place of a token-group matrix.
+
+Words are runs without white space, ASCII capitals lowered; a document's set is its distinct runs of five words. Two sets
+meet only over a token of both prefixes, and only where length and position leave enough overlap possible; they are then
+verified on the full sets. The components of the links found so far are groups: crowded runs of a token are settled in a
+second pass, which skips pairs within a group. No union of a group's tokens is kept and no overlap with a group bounded.
 
 Cases: null or empty texts, or texts of white space, have an empty set and no links; fewer than five words are one run;
 copies are one set, counted once; rows may share an id, and rows without an id link like others but name no component
