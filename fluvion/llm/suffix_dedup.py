@@ -11,7 +11,8 @@ A task sorts what it has before sending it: of windows that agree within a task,
 be later repeats, so a very common passage is one entry a task.
 
 Cases: null or short texts have no passages; a document's own repeats count; rows that repeat an id and text are one
-place; a null id is later than every other; an empty table gives an empty table; other columns are not read.
+place; different texts under one id are places of their own, in the order of their hashes; a null id is later than every
+other; an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, INVERSE, WORD, grams, keep, mix, pack, partitions, ship, unpack, word_chunks
+from .common import WORD, grams, keep, mix, pack, partitions, ship, unpack, word_chunks
 
 #: Least passage, in words; words of a suffix that are hashed to choose and sort it.
 LEAST, PREFIX = 50, 8
@@ -50,12 +51,16 @@ def minimisers(g: np.ndarray, width: int) -> np.ndarray:
 
 
 def window_prints(h: np.ndarray, n: int) -> np.ndarray:
-    """A 64-bit print of each run of n words, from running sums of a polynomial in an odd base."""
+    """A 64-bit print of each run of n words, mixed from prints of 1, 2, 4 and more words."""
+    many = len(h) - n + 1
+    out, at, power = np.zeros(many, np.uint64), 0, h
     with np.errstate(over="ignore"):
-        power = np.cumprod(np.r_[np.uint64(1), np.full(len(h), BASE, np.uint64)])
-        back = np.cumprod(np.r_[np.uint64(1), np.full(len(h), INVERSE, np.uint64)])
-        total = np.r_[np.uint64(0), np.cumsum(mix(h + np.uint64(11)) * power[:-1])]
-        return mix((total[n:] - total[:-n]) * back[: len(h) - n + 1])
+        for k in range(n.bit_length()):
+            if n >> k & 1:
+                out = mix(out * np.uint64(0x9E3779B97F4A7C15) + power[at : at + many] + np.uint64(k + 1))
+                at += 1 << k
+            power = mix(power[: len(power) - (1 << k)] * np.uint64(0xD1B54A32D192ED03) + power[1 << k :] + np.uint64(k + 101)) if len(power) > 1 << k else power[:0]
+    return out
 
 
 def _deal(bucket: np.ndarray, *columns: np.ndarray):
@@ -136,13 +141,13 @@ def _merge_bits(batches):
     yield _batch([(s, np.packbits(v).tobytes()) for s, v in held.items()])
 
 
-def _by_print(fp: np.ndarray, doc: np.ndarray, at: np.ndarray):
+def _by_print(fp: np.ndarray, doc: np.ndarray, th: np.ndarray, at: np.ndarray):
     """Sorted by print and place, places once; first: the first of each print."""
-    order = np.lexsort((at, doc, fp))
-    fp, doc, at = fp[order], doc[order], at[order]
-    once = np.r_[True, (fp[1:] != fp[:-1]) | (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])] if len(fp) else np.zeros(0, bool)
-    fp, doc, at = fp[once], doc[once], at[once]
-    return fp, doc, at, np.r_[True, fp[1:] != fp[:-1]] if len(fp) else once
+    order = np.lexsort((at, th, doc, fp))
+    fp, doc, th, at = fp[order], doc[order], th[order], at[order]
+    once = np.r_[True, (fp[1:] != fp[:-1]) | (doc[1:] != doc[:-1]) | (th[1:] != th[:-1]) | (at[1:] != at[:-1])] if len(fp) else np.zeros(0, bool)
+    fp, doc, th, at = fp[once], doc[once], th[once], at[once]
+    return fp, doc, th, at, np.r_[True, fp[1:] != fp[:-1]] if len(fp) else once
 
 
 def _windows(filter_, buckets: int, least: int, prefix: int):
@@ -153,18 +158,18 @@ def _windows(filter_, buckets: int, least: int, prefix: int):
         held, size = [], 0
 
         def flush():
-            fp, doc, at, first = _by_print(*[np.concatenate([x[k] for x in held]) for k in range(3)])
+            fp, doc, th, at, first = _by_print(*[np.concatenate([x[k] for x in held]) for k in range(4)])
             again = np.zeros(len(fp), bool)  # windows of which the task has another
             again[:-1] |= ~first[1:]
             bucket = (mix(fp) % np.uint64(buckets)).astype(np.int64)
             pick = np.flatnonzero(first)
             pick = pick[np.argsort(bucket[pick], kind="stable")]
-            sent = _batch(list(_deal(bucket[pick], fp[pick], doc[pick], at[pick], again[pick].astype("<u1"))), 0)
-            late = _batch(list(_reply(doc[~first], at[~first], np.ones((~first).sum(), "<u1"), buckets)), 1)
+            sent = _batch(list(_deal(bucket[pick], fp[pick], doc[pick], th[pick], at[pick], again[pick].astype("<u1"))), 0)
+            late = _batch(list(_reply(doc[~first], th[~first], at[~first], np.ones((~first).sum(), "<u1"), buckets)), 1)
             return sent, late
 
         for b in batches:
-            for i, h in zip(b["_id"].fill_null(LAST).to_pylist(), text_hashes(b["_t"])):
+            for i, p_, h in zip(b["_id"].to_pylist(), b["_th"].to_pylist(), text_hashes(b["_t"])):
                 if len(h) < least:
                     continue
                 g = grams(h, prefix)
@@ -175,7 +180,7 @@ def _windows(filter_, buckets: int, least: int, prefix: int):
                 ok[some] = ((bits[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1).all(axis=0)
                 at = np.flatnonzero(ok[chosen])
                 if len(at):
-                    held.append((window_prints(h, least)[at], np.full(len(at), i, "<i8"), at.astype("<u4")))
+                    held.append((window_prints(h, least)[at], np.full(len(at), i, "<i8"), np.full(len(at), p_, "<i8"), at.astype("<u4")))
                     size += len(at)
             if size > FLUSH:
                 yield from flush()
@@ -186,10 +191,10 @@ def _windows(filter_, buckets: int, least: int, prefix: int):
     return run
 
 
-def _reply(doc, at, late, buckets: int):
-    bucket = (mix(doc.view("<u8")) % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((at, doc, bucket))
-    return _deal(bucket[order], doc[order], at[order], late[order])
+def _reply(doc, th, at, late, buckets: int):
+    bucket = (mix(doc.view("<u8") ^ th.view("<u8")) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((at, th, doc, bucket))
+    return _deal(bucket[order], doc[order], th[order], at[order], late[order])
 
 
 def _agree(buckets: int):
@@ -199,17 +204,17 @@ def _agree(buckets: int):
         held: dict[int, list] = {}
         for b in batches:
             for k, x in zip(b["bucket"].to_pylist(), b["blob"].to_pylist()):
-                held.setdefault(k, []).append(unpack(x, "<u8", "<i8", "<u4", "<u1"))
+                held.setdefault(k, []).append(unpack(x, "<u8", "<i8", "<i8", "<u4", "<u1"))
         found = []
         for parts in held.values():
-            fp, doc, at, again = (np.concatenate([p[k] for p in parts]) for k in range(4))
-            order = np.lexsort((at, doc, fp))
-            fp, doc, at, again = fp[order], doc[order], at[order], again[order].astype(bool)
+            fp, doc, th, at, again = (np.concatenate([p[k] for p in parts]) for k in range(5))
+            order = np.lexsort((at, th, doc, fp))
+            fp, doc, th, at, again = fp[order], doc[order], th[order], at[order], again[order].astype(bool)
             first = np.r_[True, fp[1:] != fp[:-1]]
             same = np.r_[~first[1:], False] | ~first | again
-            found.append((doc[same], at[same], (~first[same]).astype("<u1")))
+            found.append((doc[same], th[same], at[same], (~first[same]).astype("<u1")))
         if found:
-            yield _batch(list(_reply(*[np.concatenate([f[k] for f in found]) for k in range(3)], buckets)))
+            yield _batch(list(_reply(*[np.concatenate([f[k] for f in found]) for k in range(4)], buckets)))
 
     return run
 
@@ -229,26 +234,38 @@ def _passages(least: int):
         held: dict[int, list] = {}
         for b in batches:
             for k, x in zip(b["bucket"].to_pylist(), b["blob"].to_pylist()):
-                held.setdefault(k, []).append(unpack(x, "<i8", "<u4", "<u1"))
+                held.setdefault(k, []).append(unpack(x, "<i8", "<i8", "<u4", "<u1"))
         for parts in held.values():
-            doc, at, late = (np.concatenate([p[k] for p in parts]) for k in range(3))
+            doc, th, at, late = (np.concatenate([p[k] for p in parts]) for k in range(4))
             at = at.astype(np.int64)
-            order = np.lexsort((at, doc))
-            doc, at, late = doc[order], at[order], late[order]
-            edge = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1], True])
-            rows = [(int(doc[lo]), _union(np.unique(at[lo:hi]), least), _union(np.unique(at[lo:hi][late[lo:hi] > 0]), least)) for lo, hi in zip(edge[:-1], edge[1:])]
+            order = np.lexsort((at, th, doc))
+            doc, th, at, late = doc[order], th[order], at[order], late[order]
+            edge = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (th[1:] != th[:-1]), True])
+            rows = [(int(doc[lo]), int(th[lo]), _union(np.unique(at[lo:hi]), least), _union(np.unique(at[lo:hi][late[lo:hi] > 0]), least)) for lo, hi in zip(edge[:-1], edge[1:])]
             spans = pa.list_(pa.list_(pa.int64()))
-            yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], spans), pa.array([r[2] for r in rows], spans)], ["doc", "repeated", "removed"])
+            yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], spans), pa.array([r[3] for r in rows], spans)], ["doc", "th", "repeated", "removed"])
 
     return run
 
 
+def _place(id_col: str, text_col: str) -> list[F.Column]:
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("_id"), F.xxhash64(F.col(text_col)).alias("_th")]
+
+
+def with_passages(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every row of docs with the spans found for its place, or nulls."""
+    doc, th = _place(id_col, text_col)
+    found = found.select(F.col("doc").alias("__doc"), F.col("th").alias("__th"), F.col("repeated").alias("__repeated"), F.col("removed").alias("__removed"))
+    return docs.join(found, (doc == F.col("__doc")) & (th == F.col("__th")), "left").drop("__doc", "__th")
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, prefix: int = PREFIX) -> DataFrame:
-    """(doc, repeated, removed): word spans of each document's passages that repeat anywhere, and of those with an earlier occurrence."""
+    """(doc, th, repeated, removed): for each document id (nulls as LAST) and hash of its text, the word spans of passages that repeat
+    anywhere, and of those with an earlier occurrence; no row where there are none."""
     spark = docs.sparkSession
     n = partitions(spark)
     buckets = 3 * n
-    base = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_t"))
+    base = docs.select(*_place(id_col, text_col), F.col(text_col).alias("_t"))
     schema = "bucket long, blob binary"
     sent = base.select("_t").mapInArrow(_suffixes(buckets, least, prefix), schema)
     bits = sent.repartition(n, "bucket").mapInArrow(_repeated, schema)
@@ -260,7 +277,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     seen = keep(base.mapInArrow(_windows(filter_, buckets, least, prefix), f"kind int, {schema}"), "suffix_windows", "kind")
     agreed = seen.where("kind = 0").select("bucket", "blob").repartition(n, "bucket").mapInArrow(_agree(buckets), schema)
     replies = agreed.unionAll(seen.where("kind = 1").select("bucket", "blob"))
-    return replies.repartition(n, "bucket").mapInArrow(_passages(least), "doc long, repeated array<array<long>>, removed array<array<long>>")
+    return replies.repartition(n, "bucket").mapInArrow(_passages(least), "doc long, th long, repeated array<array<long>>, removed array<array<long>>")
 
 
 def _cut(batches):
@@ -282,10 +299,9 @@ def _cut(batches):
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
     """(id, text): the texts without passages that an earlier place has."""
-    found = repeated_passages(docs, id_col, text_col, least).where(F.size("removed") > 0).select("doc", "removed")
-    met = docs.join(found, F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)) == F.col("doc"), "left")
+    met = with_passages(docs, repeated_passages(docs, id_col, text_col, least).where(F.size("removed") > 0), id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
-    return met.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), "removed").mapInArrow(_cut, f"_id {kind}, text string").withColumnsRenamed({"_id": id_col, "text": text_col})
+    return met.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), F.col("__removed").alias("removed")).mapInArrow(_cut, f"_id {kind}, text string").withColumnsRenamed({"_id": id_col, "text": text_col})
 
 
 ship(__name__)
