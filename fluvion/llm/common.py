@@ -57,24 +57,55 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def keep(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write a table into the shared folder and read it again: lineage ends, and a lost executor loses nothing."""
-    path = new_path(df.sparkSession, name)
+    path, conf = new_path(df.sparkSession, name), df.sparkSession.conf
     writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(by) if by else writer).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    # once the table is written, nothing reads the shuffle files of its plan again
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(cleanup, "false")
+    conf.set(cleanup, "true")
+    try:
+        (writer.partitionBy(by) if by else writer).parquet(path)
+    finally:
+        conf.set(cleanup, before)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that `keep` wrote and that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def give_back(batches):
+    """A task's batches; at its end the worker's freed memory goes back to the system, as workers outlive their tasks."""
+    import ctypes
+
+    yield from batches
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to give back by hand
+        pass
 
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-#: Rows of two or three numbers that may be broadcast, at most some 20 MB; beyond it, joins shuffle.
-BROADCAST_ROWS = 200_000
+#: Numbers of a table that may be broadcast, 8 bytes each and some 20 MB as a hashed relation; beyond it, joins shuffle.
+BROADCAST_NUMBERS = 1_000_000
 
 
-def small_side(df: DataFrame) -> DataFrame:
-    """A written table of narrow rows, marked for broadcast if a count shows that it is small enough."""
-    n = df.limit(BROADCAST_ROWS + 1).count()
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+def small_side(df: DataFrame, size=None) -> DataFrame:
+    """A written table of numbers, marked for broadcast if a count shows that it is small enough. size: a Column, the
+    numbers in a row beyond its key, where rows hold arrays."""
+    if size is None:
+        rows = BROADCAST_NUMBERS // len(df.columns)
+        return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if (df.agg(F.sum(size + 1)).first()[0] or 0) <= BROADCAST_NUMBERS else df
 
 
 def one_of_equals(rows: DataFrame, decided: DataFrame, n_col: str, key: list[str]) -> DataFrame:
@@ -96,33 +127,47 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
-
-def _tables(n: int) -> tuple[np.ndarray, ...]:
-    """A random value for each byte (capitals as small letters), which bytes separate words, and powers of the base."""
+def _tables() -> tuple[np.ndarray, ...]:
+    """Bytes with capitals as small letters, which bytes separate words, and masks for the first k bytes of eight."""
     t = worker_cache("word_tables")
     if not t:
-        with np.errstate(over="ignore"):
-            value = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
-        value[65:91] = value[97:123]
+        low = np.arange(256, dtype=np.uint8)
+        low[65:91] += 32
         space = np.zeros(256, bool)
         space[[9, 10, 11, 12, 13, 32]] = True
-        t.update(value=value, space=space, n=0)
-    if t["n"] < n:
-        n = max(n, 1 << 20)
-        with np.errstate(over="ignore"):
-            t["power"] = np.cumprod(np.r_[np.uint64(1), np.full(n, BASE, np.uint64)])
-            t["back"] = np.cumprod(np.r_[np.uint64(1), np.full(n, INVERSE, np.uint64)])
-        t["n"] = n
-    return t["value"], t["space"], t["power"], t["back"]
+        mask = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+        t.update(low=low, space=space, mask=mask)
+    return t["low"], t["space"], t["mask"]
+
+
+def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64 bits for each word data[start:end]: its bytes eight at a time, each eight mixed with their place, summed and mixed
+    with the length. The mixing isn't linear in the bytes, so words built from patterns don't collide more than others; words
+    of up to eight bytes never collide with others of their length."""
+    low, _, mask = _tables()
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    eights = np.zeros(len(data) // 8 + 2, "<u8")
+    eights.view(np.uint8)[: len(data)] = low[data]
+    size = end - start
+    many = (size + 7) >> 3
+    first = np.cumsum(many) - many
+    place = np.arange(int(many.sum())) - np.repeat(first, many)
+    at = np.repeat(start, many) + 8 * place
+    shift = ((at & 7) << 3).astype(np.uint64)
+    x = eights[at >> 3] >> shift
+    x |= (eights[(at >> 3) + 1] << (np.uint64(63) - shift)) << np.uint64(1)
+    x &= mask[np.minimum(np.repeat(end, many) - at, 8)]
+    with np.errstate(over="ignore"):
+        x = mix(x + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD1B54A32D192ED03))
+        return mix(np.add.reduceat(x, first) + size.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
 def word_chunks(texts: pa.Array, most_bytes: int = 800_000):
     """Portions of a column of texts as (first row, end row, hash of each word, its row, its line), by whole-array operations.
 
     Words are runs of other than the six ASCII white-space characters, ASCII capitals lowered; rows and lines count from
-    0, rows from the portion's first. A hash is 64 bits: a polynomial over random byte values, with the length mixed in.
+    0, rows from the portion's first.
     """
     if not pa.types.is_string(texts.type):
         texts = texts.cast(pa.string())
@@ -133,22 +178,34 @@ def word_chunks(texts: pa.Array, most_bytes: int = 800_000):
     while lo < len(texts):
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + most_bytes, "right")) - 1)
         data, at = whole[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-        value, space, power, back = _tables(len(data) + 1)
-        gap = space[data]
+        gap = _tables()[1][data]
         edge = np.zeros(len(data) + 1, bool)
         edge[at] = True  # a text's end ends its word
         start = np.flatnonzero(~gap & (np.r_[True, gap[:-1]] | edge[:-1])) if len(data) else np.zeros(0, np.int64)
         end = np.flatnonzero(~gap & (np.r_[gap[1:], True] | edge[1:])) + 1 if len(data) else start
-        with np.errstate(over="ignore"):
-            total = np.r_[np.uint64(0), np.cumsum(value[data] * power[: len(data)])]
-            h = mix((total[end] - total[start]) * back[start] + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
-        row = np.searchsorted(at, start, "right") - 1
+        h = _word_hashes(data, start, end)
+        row = np.repeat(np.arange(hi - lo), np.diff(np.searchsorted(start, at)))
         feeds = np.flatnonzero(data == 10)
-        line = np.searchsorted(feeds, start, "left") - np.searchsorted(feeds, at[row], "left")
+        before = np.repeat(np.arange(len(feeds) + 1), np.diff(np.r_[0, np.searchsorted(start, feeds), len(start)]))
+        line = before - np.searchsorted(feeds, at[:-1])[row]
         yield lo, hi, h, row, line
         lo = hi
 
 
+def sorted_within(group: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The order of numbers x by group and then number; groups are numbered from 0 and stand in order."""
+    if not len(x):
+        return np.zeros(0, np.int64)
+    bits = int(group[-1]).bit_length()
+    both = (group.astype(np.uint64) << np.uint64(64 - bits)) | (x >> np.uint64(bits)) if bits else x
+    order = np.argsort(both)
+    if bits:  # the lowest bits of x gave way; where they decide, sort by both
+        both, low = both[order], x[order]
+        if ((both[1:] == both[:-1]) & (low[1:] != low[:-1])).any():
+            return np.lexsort((x, group))
+    return order
+
+
 def grams(h: np.ndarray, n: int) -> np.ndarray:
     """A 64-bit hash of each run of n words, in order; with fewer words, of the whole run."""
     if len(h) == 0:

@@ -5,9 +5,10 @@ them over all lines), prefixes are posted, pairs pass the length, positional and
 on the full sets. A line goes if an earlier line (by document id, then line number) reaches the similarity, whether or
 not that one stays. Lines with equal sets are one item, so a very common line is one entry a task.
 
-Cases: null texts stay null; lines without words stay; rows that repeat an id and text have their lines at the same
-places, so the first of equal lines within a place stays in each; a null id is later than every other; an empty table
-gives an empty table; other columns are not read, and documents of which every line goes keep an empty text.
+Cases: null texts stay null; lines without words stay; rows that repeat an id and text are one place, so the first of
+equal lines within a place stays in each; different texts under one id are places of their own, in the order of their
+hashes; a null id is later than every other; an empty table gives an empty table; other columns are not read, and
+documents of which every line goes keep an empty text.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLOTS, count_into, gather_sketch, keep, levels, mix, order_key, partitions, ship, sketch_rows, small_side, word_chunks
-from .setjoin import ENTRY, NUM, DEN, Poster, candidates, unsettled, verified
+from .common import SLOTS, count_into, forget, gather_sketch, give_back, keep, levels, mix, order_key, partitions, ship, sketch_rows, small_side, sorted_within, word_chunks
+from .setjoin import ENTRY, LONG_SET, NUM, DEN, Poster, bucket_count, candidates, unsettled_later, verified
 
 LAST = 2**63 - 1
 
@@ -29,8 +30,7 @@ def line_sets(texts: pa.Array):
     for lo, _, h, row, line in word_chunks(texts):
         first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (line[1:] != line[:-1])]) if len(h) else np.zeros(0, np.int64)
         own = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(h)]))
-        order = np.lexsort((h, own))
-        h, own = h[order], own[order]
+        h = h[sorted_within(own, h)]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (own[1:] != own[:-1])
         h, own = h[new], own[new]
@@ -48,16 +48,22 @@ def item_names(h: np.ndarray, n: np.ndarray, start: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches):
-    names = ["what", "doc", "line", "item", "bucket", "blob"]
+    names = ["what", "doc", "th", "line", "item", "bucket", "blob"]
     counts = np.zeros(SLOTS, np.uint32)
     for b in batches:
-        ids = b["_id"].fill_null(LAST).to_numpy(zero_copy_only=False)
+        ids, prints = b["_id"].to_numpy(), b["_th"].to_numpy()
+        lines_of = np.zeros(len(ids), np.int64)
         for row, number, n, start, h, _ in line_sets(b["_t"]):
             count_into(counts, h)
             m = len(row)
-            yield pa.record_batch([pa.array(np.zeros(m, np.int32)), pa.array(ids[row]), pa.array(number), pa.array(item_names(h, n, start)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary())], names)
+            np.add.at(lines_of, row, 1)
+            yield pa.record_batch([pa.array(np.zeros(m, np.int32)), pa.array(ids[row]), pa.array(prints[row]), pa.array(number), pa.array(item_names(h, n, start)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary())], names)
+        # how many lines of each text have words
+        some = np.flatnonzero(lines_of)
+        m = len(some)
+        yield pa.record_batch([pa.array(np.full(m, 2, np.int32)), pa.array(ids[some]), pa.array(prints[some]), pa.array(lines_of[some]), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary())], names)
     for seg, blob in sketch_rows(counts):
-        yield pa.record_batch([pa.array([1], pa.int32()), *[pa.nulls(1, pa.int64())] * 3, pa.array([seg], pa.int64()), pa.array([blob])], names)
+        yield pa.record_batch([pa.array([1], pa.int32()), *[pa.nulls(1, pa.int64())] * 4, pa.array([seg], pa.int64()), pa.array([blob])], names)
 
 
 def _post(level, buckets: int):
@@ -70,18 +76,19 @@ def _post(level, buckets: int):
                 yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows])], ["bucket", "blob"])
 
         for b in batches:
-            ids = b["_id"].fill_null(LAST).to_numpy(zero_copy_only=False)
+            ids = b["_id"].to_numpy()
             for row, number, n, start, h, line in line_sets(b["_t"]):
                 if not len(n):
                     continue
                 doc = ids[row]
                 item = item_names(h, n, start)
-                bit = (h >> np.uint64(57)).astype(np.int64)
-                word = np.uint64(1) << (bit & 63).astype(np.uint64)
-                sig = [np.bitwise_or.reduceat(np.where(bit >> 6 == k, word, np.uint64(0)), start) for k in (0, 1)]
+                word, part = np.uint64(1) << ((h >> np.uint64(56)) & np.uint64(63)), (h >> np.uint64(62)).astype(np.int8)
+                sig = [np.bitwise_xor.reduceat(np.where(part == k, word, np.uint64(0)), start) for k in range(4)]
+                for k in (0, 1):
+                    sig[k] = np.where(n <= LONG_SET, sig[k] ^ sig[k + 2], sig[k])
+                    sig[k + 2] = np.where(n <= LONG_SET, np.uint64(0), sig[k + 2])
                 key = order_key(h, level.value)
-                order = np.lexsort((key, line))
-                key = key[order]  # lines keep their places, tokens of a line now stand by rarity
+                key = key[sorted_within(line, key)]  # lines keep their places, tokens of a line now stand by rarity
                 pos = np.arange(len(key)) - start[line]
                 _, first = np.unique(item, return_index=True)
                 fresh = np.zeros(len(n), bool)
@@ -89,11 +96,11 @@ def _post(level, buckets: int):
                 poster.seen.update(item[fresh].tolist())
                 take = (pos < (n - -(-NUM * n // DEN) + 1)[line]) & fresh[line]
                 at = line[take]
-                columns = [key[take], item[at], doc[at], number[at], n[at], pos[take], sig[0][at], sig[1][at]]
+                columns = [key[take], item[at], doc[at], number[at], n[at], pos[take], *[x[at] for x in sig]]
                 yield from out(poster.extend([c.astype(t, copy=False) for c, t in zip(columns, ENTRY)]))
         yield from out(poster.flush())
 
-    return run
+    return lambda batches: give_back(run(batches))
 
 
 def _line_sets_of(batches):
@@ -106,44 +113,75 @@ def _line_sets_of(batches):
             yield pa.record_batch([pa.array(item[pick]), pa.array([h[start[k] : start[k] + n[k]].tobytes() for k in pick], pa.binary())], ["item", "set"])
 
 
+def _places(docs: DataFrame, id_col: str, text_col: str) -> list[F.Column]:
+    """What a row's place is: its id, nulls last, and a hash of its text."""
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)), F.xxhash64(F.col(text_col))]
+
+
 def find_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, lines, n_lines): for each document id with words, the sorted numbers of the lines that go, and how many lines have words."""
+    """(doc, th, lines, n_lines): for each document id (nulls as LAST) and hash of its text, if that has words, the sorted numbers of
+    the lines that go, and how many lines have words."""
     spark = docs.sparkSession
-    base = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_t"))
-    signed = keep(base.mapInArrow(_sign, "what int, doc long, line long, item long, bucket long, blob binary"), "line_sets", "what")
-    lines = signed.where("what = 0").select("doc", "line", "item")
-    level = spark.sparkContext.broadcast(levels(gather_sketch(signed.where("what = 1"))))  # one byte for each of SLOTS counters
-    first = keep(lines.groupBy("item").agg(F.min(F.struct("doc", "line")).alias("f")).select("item", F.col("f.doc").alias("first_doc"), F.col("f.line").alias("first_line")), "line_items")
-    pairs, long = candidates(base.mapInArrow(_post(level, 3 * partitions(spark)), "bucket long, blob binary"))
+    doc, th = _places(docs, id_col, text_col)
+    base = docs.select(doc.alias("_id"), th.alias("_th"), F.col(text_col).alias("_t"))
+    signed = keep(base.mapInArrow(_sign, "what int, doc long, th long, line long, item long, bucket long, blob binary"), "line_sets", "what")
+    lines = signed.where("what = 0").select("doc", "th", "line", "item")
+    counts = gather_sketch(signed.where("what = 1"))
+    tokens, level = int(counts.sum(dtype=np.int64)), spark.sparkContext.broadcast(levels(counts))  # one byte for each of SLOTS counters
+    first = lines.groupBy("item").agg(F.min(F.struct("doc", "line", "th")).alias("f"), F.count("*").alias("n"))
+    first = keep(first.select("item", F.col("f.doc").alias("first_doc"), F.col("f.line").alias("first_line"), F.col("f.th").alias("first_th"), "n"), "line_items")
+    buckets = bucket_count(tokens, spark)
+    pairs, found = candidates(base.mapInArrow(_post(level, buckets), "bucket long, blob binary"), buckets, True)
 
     def sets(items: DataFrame) -> DataFrame:
-        places = first.join(items, "item", "left_semi").groupBy("first_doc").agg(F.collect_set("first_line").alias("lines"))
-        picked = small_side(keep(places, "line_wanted"))
-        texts = base.join(picked, F.coalesce("_id", F.lit(LAST)) == F.col("first_doc")).select("_t", "lines")
+        items = small_side(keep(items, "line_items_met"))
+        places = first.join(items, "item", "left_semi").groupBy("first_doc", "first_th").agg(F.collect_set("first_line").alias("lines"))
+        picked = small_side(keep(places, "line_wanted"), F.size("lines"))
+        texts = base.join(picked, (base["_id"] == F.col("first_doc")) & (base["_th"] == F.col("first_th"))).select("_t", "lines")
         return texts.mapInArrow(_line_sets_of, "item long, set binary").join(items, "item", "left_semi")
 
     def later(links: DataFrame) -> DataFrame:
         """Of each verified pair, the item whose first line is the later one."""
-        place = lambda k: first.select(F.col("item").alias(f"_{k}"), F.struct("first_doc", "first_line", "item").alias(f"at_{k}"))
-        met = links.join(place("a"), F.col("a") == F.col("_a")).join(place("b"), F.col("b") == F.col("_b"))
-        return met.select(F.greatest("at_a", "at_b").getField("item").alias("item")).distinct()
+        links = small_side(links)
+        place = F.struct("first_doc", "first_line", "first_th", "item").alias("at")
+        side = lambda k: first.select("item", place).join(links, F.col("item") == F.col(k)).select("a", "b", "at")
+        met = side("a").unionAll(side("b")).groupBy("a", "b").agg(F.max("at").alias("at"))
+        return met.select(F.col("at.item").alias("item")).distinct()
 
     links = verified(pairs, sets)
     gone = keep(later(links), "lines_gone")
-    state = first.join(gone.withColumn("gone", F.lit(1)), "item", "left").select("item", F.col("item").alias("part"), (1 - F.coalesce("gone", F.lit(0))).alias("asks"), "first_doc", "first_line")
-    more = verified(unsettled(long, state), sets)
-    gone = gone.unionAll(later(more)).distinct()
-    fate = first.join(gone.withColumn("gone", F.lit(True)), "item", "left").select(F.col("item").alias("_i"), "first_doc", "first_line", F.coalesce("gone", F.lit(False)).alias("gone"))
-    met = lines.join(fate, lines["item"] == fate["_i"])
-    goes = F.col("gone") | (F.col("doc") != F.col("first_doc")) | (F.col("line") != F.col("first_line"))
-    per = met.groupBy("doc").agg(F.sort_array(F.collect_set(F.when(goes, F.col("line")))).alias("lines"), F.count_distinct("line").alias("n_lines"))
-    return per
+    owed = unsettled_later(found, gone)
+    if owed is not None:
+        gone = keep(gone.unionAll(later(verified(owed, sets))).distinct(), "lines_gone")
+    forget(links, found)
+    # of items with one line that stays there is nothing to tell
+    gone = small_side(gone)
+    fate = first.join(gone.withColumn("gone", F.lit(True)), "item", "left").where("gone or n > 1")
+    fate = fate.select(F.col("item").alias("_i"), "first_doc", "first_line", "first_th", F.coalesce("gone", F.lit(False)).alias("gone"), "n")
+    # items that fill more than a quarter of an average task are dealt to several; there are at most four a task
+    share = max(1000, lines.count() // (4 * partitions(spark)))
+    hot = F.broadcast(first.where(F.col("n") > share).select(F.col("item").alias("_h"), F.ceil(F.col("n") / share).cast("int").alias("_s")))
+    salted = lines.join(hot, F.col("item") == F.col("_h"), "left").withColumn("_k", F.pmod(F.xxhash64("doc", "th", "line"), F.coalesce("_s", F.lit(1))).cast("int"))
+    spread = F.when(F.col("n") > share, F.ceil(F.col("n") / share).cast("int")).otherwise(1)
+    fate = fate.withColumn("_f", F.explode(F.sequence(F.lit(0), spread - 1))).drop("n")
+    met = salted.join(fate, (F.col("item") == F.col("_i")) & (F.col("_k") == F.col("_f")))
+    goes = F.col("gone") | (F.col("doc") != F.col("first_doc")) | (F.col("line") != F.col("first_line")) | (F.col("th") != F.col("first_th"))
+    removed = met.where(goes).groupBy("doc", "th").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+    many = signed.where("what = 2").groupBy("doc", "th").agg(F.max("line").alias("n_lines"))
+    return many.join(removed, ["doc", "th"], "left").select("doc", "th", F.coalesce("lines", F.array().cast("array<long>")).alias("lines"), "n_lines")
+
+
+def with_lines(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every row of docs with __lines and __n, what find_duplicate_lines says of its place, or nulls."""
+    doc, th = _places(docs, id_col, text_col)
+    found = found.select(F.col("doc").alias("__doc"), F.col("th").alias("__th"), F.col("lines").alias("__lines"), F.col("n_lines").alias("__n"))
+    return docs.join(found, (doc == F.col("__doc")) & (th == F.col("__th")), "left").drop("__doc", "__th")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with the text that stays, every other column as it was."""
-    found = keep(find_duplicate_lines(docs, id_col, text_col).where(F.size("lines") > 0).select(F.col("doc").alias("__doc"), F.col("lines").alias("__lines")), "lines_of")
-    met = docs.join(found, F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)) == F.col("__doc"), "left")
+    found = keep(find_duplicate_lines(docs, id_col, text_col).where(F.size("lines") > 0), "lines_of")
+    met = with_lines(docs, found, id_col, text_col)
     kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains("__lines", i.cast("long"))), "\n")
     return met.withColumn(text_col, F.when(F.col("__lines").isNull(), F.col(text_col)).otherwise(kept)).select(*docs.columns)
 

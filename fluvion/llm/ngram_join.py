@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLOTS, WORD, count_into, gather_sketch, grams, keep, levels, one_of_equals, order_key, partitions, ship, sketch_rows, small_side, word_chunks
-from .setjoin import Poster, candidates, components, degrees, parity, unsettled, verified
+from .common import SLOTS, WORD, count_into, forget, gather_sketch, give_back, grams, keep, levels, one_of_equals, order_key, partitions, ship, sketch_rows, small_side, word_chunks
+from .setjoin import Poster, bucket_count, candidates, components, degrees, parity, unsettled, verified
 
 WORDS = 5
 
@@ -46,16 +46,23 @@ def _sign(kind: str, n: int):
     def run(batches):
         counts = np.zeros(SLOTS, np.uint32)
         for b in batches:
-            sets = list(shingle_sets(b["_t"], n))
-            some = [s for s in sets if len(s)]
-            if some:
-                count_into(counts, np.concatenate(some))
-            m = len(sets)
-            yield pa.record_batch([pa.array(np.zeros(m, np.int32)), b["_id"], b["_th"], pa.array([item_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.nulls(m, pa.int64()), pa.array([parity(s) if len(s) else None for s in sets], pa.binary())], names)
+            items, sizes, signs, held = [], [], [], []
+            for s in shingle_sets(b["_t"], n):
+                items.append(item_of(s) if len(s) else None)
+                sizes.append(len(s))
+                signs.append(parity(s) if len(s) else None)
+                held.append(s)
+                if len(held) == 500:
+                    count_into(counts, np.concatenate(held))
+                    held = []
+            if held:
+                count_into(counts, np.concatenate(held))
+            m = len(items)
+            yield pa.record_batch([pa.array(np.zeros(m, np.int32)), b["_id"], b["_th"], pa.array(items, pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(m, pa.int64()), pa.array(signs, pa.binary())], names)
         for seg, blob in sketch_rows(counts):
             yield pa.record_batch([pa.array([1], pa.int32()), pa.nulls(1, pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([seg], pa.int64()), pa.array([blob])], names)
 
-    return run
+    return lambda batches: give_back(run(batches))
 
 
 def _post(level, n: int, buckets: int):
@@ -72,14 +79,21 @@ def _post(level, n: int, buckets: int):
         if rows:
             yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows])], ["bucket", "blob"])
 
-    return run
+    return lambda batches: give_back(run(batches))
 
 
 def _sets(n: int):
     def run(batches):
         for b in batches:
-            got = list(shingle_sets(b["_t"], n))
-            yield pa.record_batch([pa.array([item_of(s) if len(s) else None for s in got], pa.int64()), pa.array([s.tobytes() for s in got])], ["item", "set"])
+            items, sets = [], []
+            for s in shingle_sets(b["_t"], n):
+                items.append(item_of(s) if len(s) else None)
+                sets.append(s.tobytes())
+                if len(items) == 1000:
+                    yield pa.record_batch([pa.array(items, pa.int64()), pa.array(sets)], ["item", "set"])
+                    items, sets = [], []
+            if items:
+                yield pa.record_batch([pa.array(items, pa.int64()), pa.array(sets)], ["item", "set"])
 
     return run
 
@@ -92,10 +106,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
     signed = keep(base.withColumn("_th", F.xxhash64("_t")).mapInArrow(_sign(kind, words), f"what int, _id {kind}, _th long, item long, n long, bucket long, blob binary"), "ngram_sets", "what")
     rows = signed.where("what = 0").select("_id", "_th", "item", "n")
-    # fixed size: one byte for each of SLOTS counters
-    level = spark.sparkContext.broadcast(levels(gather_sketch(signed.where("what = 1"))))
-    posted = base.mapInArrow(_post(level, words, 3 * partitions(spark)), "bucket long, blob binary")
-    pairs, long = candidates(posted)
+    counts = gather_sketch(signed.where("what = 1"))
+    buckets = bucket_count(int(counts.sum(dtype=np.int64)), spark)
+    level = spark.sparkContext.broadcast(levels(counts))  # fixed size: one byte for each of SLOTS counters
+    pairs, found = candidates(base.mapInArrow(_post(level, words, buckets), "bucket long, blob binary"), buckets)
     one = rows.where("item is not null").groupBy("item").agg(F.min("_id").alias("_r"))
 
     def sets(items: DataFrame) -> DataFrame:
@@ -107,9 +121,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = verified(pairs, sets)
     parts = components(links)
     signatures = signed.where("what = 0 and item is not null").select("item", F.col("blob").alias("sig"))
-    more = verified(unsettled(long, parts.withColumn("asks", F.lit(1)), signatures), sets)
+    more = verified(unsettled(found, parts, signatures), sets)
     links = links.unionAll(more)
     parts = keep(components(links), "ngram_parts")
+    forget(found)
     # the joins verify only the links that components need
     if count_links:
         sizes = rows.where("item is not null").groupBy("item").agg(F.first("n").alias("n"))

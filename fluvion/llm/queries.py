@@ -33,10 +33,9 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, lines with words, and the numbers (from 0) of the lines that go, for every document."""
     docs = _table(spark, sf_dir, "documents")
-    found = line_dedup.find_duplicate_lines(docs)
-    out = docs.select("doc_id").join(found, F.col("doc_id") == F.col("doc"), "left")
-    gone = F.coalesce("lines", F.array().cast("array<long>"))
-    return out.select("doc_id", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_removed"), F.array_join(gone, ",").alias("removed_lines"))
+    out = line_dedup.with_lines(docs.select("doc_id", "text"), line_dedup.find_duplicate_lines(docs))
+    gone = F.coalesce("__lines", F.array().cast("array<long>"))
+    return out.select("doc_id", F.coalesce("__n", F.lit(0)).cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_removed"), F.array_join(gone, ",").alias("removed_lines"))
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +59,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every document: words in passages of 50 and more that repeat anywhere, words with an earlier occurrence, and
     both as word spans (from 0, end exclusive)."""
     docs = _table(spark, sf_dir, "documents")
-    out = docs.select("doc_id").join(suffix_dedup.repeated_passages(docs), F.col("doc_id") == F.col("doc"), "left")
+    out = suffix_dedup.with_passages(docs.select("doc_id", "text"), suffix_dedup.repeated_passages(docs))
 
     def words(name: str):
         return F.coalesce(F.aggregate(name, F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0]), F.lit(0).cast("long"))
@@ -68,7 +67,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     def spans(name: str):
         return F.coalesce(F.array_join(F.transform(name, lambda s: F.concat_ws(":", s[0].cast("string"), s[1].cast("string"))), ","), F.lit(""))
 
-    return out.select("doc_id", words("repeated").alias("n_repeated"), words("removed").alias("n_removed"), spans("repeated").alias("repeated"), spans("removed").alias("removed"))
+    return out.select("doc_id", words("__repeated").alias("n_repeated"), words("__removed").alias("n_removed"), spans("__repeated").alias("repeated"), spans("__removed").alias("removed"))
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,11 +4,12 @@ A set is a sorted array of order keys (rare tokens first). If two sets reach the
 n - ceil(t n) + 1 tokens of each have one in common, so only these prefixes are posted, as packed blobs dealt to buckets by
 token. In a bucket, the entries of a token meet under the length, positional and (where signatures are given) bitmap
 filters. A set with more than a few partners left in a token's run (large groups of near copies, or very common tokens)
-names the earliest ones only, among equals those with the fewest rarer tokens (the likely originals of a group), and all
-entries of the run are kept aside. A run whose windows are far larger than itself isn't even enumerated: its entries meet
+names only those with the nearest signatures, of these the earliest, and those with the fewest rarer tokens (the likely
+originals of a group); all entries of the run are kept aside. A run whose windows are far larger than itself isn't even enumerated: its entries meet
 the few such originals of their size. Once those pairs are verified, most such runs are settled; the entries that aren't
-meet in full in a second pass. So nothing is lost, and no group of copies makes all its pairs. An item is the 64-bit hash
-of its set, so exact copies are one item from the start.
+meet in full in a second pass, long runs cut into blocks that meet two by two, so that no task holds a run whole. So
+nothing is lost, and no group of copies makes all its pairs. An item is the 64-bit hash of its set, so exact copies are
+one item from the start.
 """
 
 from __future__ import annotations
@@ -20,16 +21,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, mix, pack, partitions, ship, unpack
+from .common import forget, give_back, keep, mix, pack, partitions, ship, small_side, sorted_within, unpack
 
 #: Least similarity, as a fraction of integers, so that no rounding decides.
 NUM, DEN = 3, 4
-#: A set names up to MOST partners in a run; where it has more, the EARLIEST ones, and the run is kept aside.
+#: A set names up to MOST partners in a run; where it has more, the EARLIEST of the likeliest ones, and the run is kept aside.
 MOST, EARLIEST = 4, 2
-ENTRY = ("<u8", "<i8", "<i8", "<u4", "<u4", "<u4", "<u8", "<u8")  # key, item, doc, line, n, pos, two words of signature
-FLUSH = 500_000
+ENTRY = ("<u8", "<i8", "<i8", "<u4", "<u4", "<u4", "<u8", "<u8", "<u8", "<u8")  # key, item, doc, line, n, pos, signature
+#: Sets of more tokens have a parity signature of 256 bits, others of 128, which the former folds into.
+LONG_SET = 128
+#: Entries that a map task holds before it deals them, and that a bucket has on average.
+FLUSH, BUCKET = 250_000, 400_000
+#: Entries of a run's block in the second pass; a task holds two blocks, or as many entries of shorter runs.
+RUN_BLOCK = 100_000
 #: A run whose windows hold over WIDE partners an entry is met through HUBS entries of each band of sizes.
-WIDE, HUBS = 16, 8
+WIDE, HUBS = 512, 8
 #: Bits of a parity signature.
 PARITY = 512
 #: Most sets and tokens of a block of a component, on average, when the links of its sets are counted.
@@ -51,7 +57,7 @@ class Poster:
     def __init__(self, buckets: int):
         self.buckets, self.seen, self.parts, self.blocks, self.held = buckets, set(), [], [], 0
 
-    def add(self, item: int, doc: int, line: int, keys: np.ndarray, sig: tuple[int, int] = (0, 0)) -> Iterator[tuple[int, bytes]]:
+    def add(self, item: int, doc: int, line: int, keys: np.ndarray, sig: tuple[int, ...] = (0, 0, 0, 0)) -> Iterator[tuple[int, bytes]]:
         """keys: the whole set, sorted in the global order. The first occurrence in the task counts: feed in order."""
         if item in self.seen or not len(keys):
             return
@@ -74,35 +80,54 @@ class Poster:
             sizes = np.array([len(p[0]) for p in self.parts])
             rep = lambda k, t: np.repeat(np.array([p[k] for p in self.parts], t), sizes)
             pos = np.concatenate([np.arange(s, dtype="<u4") for s in sizes])
-            self.blocks.append([np.concatenate([p[0] for p in self.parts]), rep(1, "<i8"), rep(2, "<i8"), rep(3, "<u4"), rep(4, "<u4"), pos, *[np.repeat(np.array([p[5][k] for p in self.parts], "<u8"), sizes) for k in (0, 1)]])
+            self.blocks.append([np.concatenate([p[0] for p in self.parts]), rep(1, "<i8"), rep(2, "<i8"), rep(3, "<u4"), rep(4, "<u4"), pos, *[np.repeat(np.array([p[5][k] for p in self.parts], "<u8"), sizes) for k in range(4)]])
         if not self.held:
             return
         columns = [np.concatenate([b[k] for b in self.blocks]) for k in range(len(ENTRY))]
         key = columns[0]
         bucket = (mix(key) % np.uint64(self.buckets)).astype(np.int64)
-        order = np.lexsort((key, bucket))
+        bits = self.buckets.bit_length()
+        order = np.argsort((bucket.astype(np.uint64) << np.uint64(64 - bits)) | (key >> np.uint64(bits)))  # by bucket and, mostly, key
         columns, bucket = [c[order] for c in columns], bucket[order]
         cut = np.flatnonzero(np.diff(bucket)) + 1
         for lo, hi in zip([0, *cut], [*cut, len(bucket)]):
             yield int(bucket[lo]), pack(*[c[lo:hi] for c in columns])
         self.parts, self.blocks, self.held = [], [], 0
-        if len(self.seen) > 2_000_000:
+        if len(self.seen) > 500_000:
             self.seen.clear()
 
 
 def _sorted_runs(c: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     """Entries by token and then size, and the number of each entry's run; of one item in a token, its first occurrence. Runs of two or more."""
-    order = np.lexsort((c[3], c[2], c[1], c[0]))
-    c = [x[order] for x in c]
-    first = np.ones(len(c[0]), bool)
-    first[1:] = (c[0][1:] != c[0][:-1]) | (c[1][1:] != c[1][:-1])
-    c = [x[first] for x in c]
-    edge = np.flatnonzero(np.r_[True, c[0][1:] != c[0][:-1], True])
+    if not len(c[0]):
+        return c, np.zeros(0, np.int64)
+    by = np.argsort(c[0])
+    key = c[0][by]
+    same = key[1:] == key[:-1]
+    by = by[np.r_[same, False] | np.r_[False, same]]  # tokens that only one entry has make no pair
+    token = c[0][by]
+    of = np.cumsum(np.r_[False, token[1:] != token[:-1]])
+    by = by[sorted_within(of, c[1][by].view("<u8"))]  # stays grouped by token
+    again = (c[0][by][1:] == c[0][by][:-1]) & (c[1][by][1:] == c[1][by][:-1])
+    if again.any():
+        several = np.flatnonzero(np.r_[again, False] | np.r_[False, again])
+        x = by[several]
+        by[several] = x[np.lexsort((c[3][x], c[2][x], c[1][x], of[several]))]
+        again = (c[0][by][1:] == c[0][by][:-1]) & (c[1][by][1:] == c[1][by][:-1])
+    by = by[np.r_[True, ~again]] if len(by) else by
+    c = [x[by] for x in c]
+    edge = np.flatnonzero(np.r_[True, c[0][1:] != c[0][:-1], True]) if len(by) else np.zeros(1, np.int64)
     size = np.diff(edge)
     member = np.repeat(size > 1, size)
     c = [x[member] for x in c]
-    order = np.lexsort((c[1], c[4], c[0]))
-    return [x[order] for x in c], np.repeat(np.arange((size > 1).sum()), size[size > 1])
+    run = np.repeat(np.arange((size > 1).sum()), size[size > 1])
+    order = sorted_within(run, (c[4].astype(np.uint64) << np.uint64(32)) | (c[1].view("<u8") >> np.uint64(32)))
+    return [x[order] for x in c], run
+
+
+def bucket_count(tokens: int, spark) -> int:
+    """Buckets for the prefixes of sets with so many tokens in all: some three entries for each ten tokens."""
+    return max(2 * partitions(spark), 3 * tokens // (10 * BUCKET))
 
 
 def parity(s: np.ndarray) -> bytes:
@@ -130,24 +155,32 @@ def windows(c: list[np.ndarray], run: np.ndarray, short_side: np.ndarray, long_s
     return x, y[many > 0], lo[many > 0], many[many > 0]
 
 
-def _near_enough(c: list[np.ndarray], sig: np.ndarray | None, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Whether the lengths, positions and signatures of two entries leave the similarity possible."""
+def _near_enough(c: list[np.ndarray], sig: np.ndarray | None, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the lengths, positions and signatures of two entries leave the similarity possible; of those where they do, in
+    how many bits the signatures differ (0 without signatures)."""
     n, pos = c[4].astype(np.int64), c[5].astype(np.int64)
     need = least_overlap(n[i], n[j])
     ok = (n[i] - pos[i] >= need) & (n[j] - pos[j] >= need) & (c[1][i] != c[1][j])
+    far = np.zeros(0, np.int64)
     if sig is not None:
         at = np.flatnonzero(ok)
-        apart = np.bitwise_count(sig[i[at]] ^ sig[j[at]]).sum(axis=1, dtype=np.int64)
+        x = sig[i[at]] ^ sig[j[at]]
+        if x.shape[1] == 4:
+            fold = (n[i[at]] <= LONG_SET) | (n[j[at]] <= LONG_SET)
+            x[fold, :2] ^= x[fold, 2:]
+            x[fold, 2:] = 0
+        apart = np.bitwise_count(x).sum(axis=1, dtype=np.int64)
         ok[at] = apart <= n[i[at]] + n[j[at]] - 2 * need[at]
-    return ok
+        far = apart[ok[at]]
+    return ok, far if sig is not None else np.zeros(int(ok.sum()), np.int64)
 
 
 def _signatures(c: list[np.ndarray]) -> np.ndarray | None:
-    return np.stack(c[6:8], axis=1) if c[6].any() or c[7].any() else None
+    return np.stack(c[6:10], axis=1) if c[6].any() or c[7].any() else None
 
 
-def window_pairs(c: list[np.ndarray], run: np.ndarray, short_side: np.ndarray, long_side: np.ndarray, sig: np.ndarray | None, at_once: int = 500_000):
-    """Places (i, j) of pairs of a run that pass every filter, n[i] <= n[j], in chunks. The sides say which entries take part."""
+def window_pairs(c: list[np.ndarray], run: np.ndarray, short_side: np.ndarray, long_side: np.ndarray, sig: np.ndarray | None, at_once: int = 250_000):
+    """Places (i, j) of pairs of a run that pass every filter, n[i] <= n[j], and by how many bits they differ, in chunks. The sides say which entries take part."""
     n, pos = c[4].astype(np.int64), c[5].astype(np.int64)
     x, y, lo, many = windows(c, run, short_side, long_side)
     total = np.cumsum(many)
@@ -159,8 +192,8 @@ def window_pairs(c: list[np.ndarray], run: np.ndarray, short_side: np.ndarray, l
         i = x[np.repeat(lo[at:stop] - (np.cumsum(count) - count), count) + np.arange(len(j))]
         once = (n[i] < n[j]) | (i < j) | ~(short_side[j] & long_side[i] & (n[j] - pos[j] >= least_overlap(n[i], n[j])))
         i, j = i[once], j[once]
-        ok = _near_enough(c, sig, i, j)
-        yield i[ok], j[ok]
+        ok, far = _near_enough(c, sig, i, j)
+        yield i[ok], j[ok], far
         at = stop
 
 
@@ -189,7 +222,7 @@ def _hub_pairs(c: list[np.ndarray], run: np.ndarray, wide: np.ndarray, sig: np.n
         count = (hi - lo)[k : k + at_once // HUBS]
         j = np.repeat(at[k : k + at_once // HUBS], count)
         i = hub[np.repeat(lo[k : k + at_once // HUBS] - (np.cumsum(count) - count), count) + np.arange(len(j))]
-        ok = _near_enough(c, sig, i, j)
+        ok, _ = _near_enough(c, sig, i, j)
         i, j = i[ok], j[ok]
         # stable: hubs stay in their order
         order = np.argsort(j, kind="stable")
@@ -198,11 +231,12 @@ def _hub_pairs(c: list[np.ndarray], run: np.ndarray, wide: np.ndarray, sig: np.n
         yield i[ok], j[ok]
 
 
-def candidate_pairs(c: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Items of pairs (earlier, later), and the entries of runs in which some entry had more partners than it may name."""
+def candidate_pairs(c: list[np.ndarray], ordered: bool = False) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+    """Items of pairs (earlier, later); the entries of runs in which some entry had more partners than it may name; and which
+    of them had. An entry counts its shorter partners, or if ordered its earlier ones."""
     c, run = _sorted_runs(c)
     if not len(run):
-        return run, run, c
+        return run, run, c, run
     every, sig = np.ones(len(run), bool), _signatures(c)
     size = np.bincount(run)
     _, y, _, many = windows(c, run, every, every)
@@ -216,57 +250,84 @@ def candidate_pairs(c: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[n
 
     for i, j in _hub_pairs(c, run, wide, sig):
         name(i, j)
-    for i, j in window_pairs(c, run, ~wide, ~wide, sig):
-        order = np.lexsort((c[1][i], c[5][i], c[3][i], c[2][i], j))  # of each longer set, the earliest partners
+    ever = wide.copy()
+    for i, j, far in window_pairs(c, run, ~wide, ~wide, sig):
+        if ordered:
+            i, j = _by_place(c, i, j)
+        order = np.lexsort((c[1][i], c[5][i], c[3][i], c[2][i], far, j))  # of each set, the likeliest and then the earliest partners
         i, j = i[order], j[order]
         few = _first_of(j, MOST)
         over[run[j[~few]]] = True
         crowded = np.zeros(len(c[0]), bool)
         crowded[j[~few]] = True
+        ever |= crowded
         ok = _first_of(j, np.where(crowded[j], EARLIEST, MOST))
         name(i[ok], j[ok])
     pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-    return pairs[0], pairs[1], [x[over[run]] for x in c]
-
-
-def _reduce(batches):
-    """Buckets to pairs (kind 0) and entries of long runs (kind 1)."""
-    held: dict[int, list[bytes]] = {}
+    kept = over[run]
+    return pairs[0], pairs[1], [x[kept] for x in c], ever[kept]
+
+
+def _reduce(ordered: bool):
+    """Blobs sorted by bucket to pairs (kind 0), the asking entries of long runs as item and token (1), and these runs: how many
+    entries, token and all entries as a blob (2). One bucket is held at a time."""
+
+    def settle(blobs):
+        parts = [unpack(x, *ENTRY) for x in blobs]
+        a, b, long, asks = candidate_pairs([np.concatenate([p[k] for p in parts]) for k in range(len(ENTRY))], ordered)
+        asks = asks.astype(bool)
+        token, edge = long[0].view(np.int64), np.flatnonzero(np.r_[True, long[0][1:] != long[0][:-1], True]) if len(long[0]) else [0]
+        runs = [pack(*[x[lo:hi] for x in long[1:]]) for lo, hi in zip(edge[:-1], edge[1:])]
+        for kind, x, y, z in ((0, a, b, [None] * len(a)), (1, long[1][asks], token[asks], [None] * int(asks.sum())), (2, np.diff(edge), token[edge[:-1]], runs)):
+            yield pa.record_batch([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(y), pa.array(z, pa.binary())], ["kind", "a", "b", "blob"])
+
+    def run(batches):
+        now, blobs = None, []
+        for b in batches:
+            for bucket, blob in zip(b["bucket"].to_pylist(), b["blob"]):
+                if bucket != now and blobs:
+                    yield from settle(blobs)
+                    blobs = []
+                now = bucket
+                blobs.append(blob.as_py())
+        if blobs:
+            yield from settle(blobs)
+
+    return lambda batches: give_back(run(batches))
+
+
+def _entries(batches):
+    """Blobs of runs to their entries."""
+    names = ["a", "b", "doc", "line", "n", "pos", "s0", "s1", "s2", "s3"]
     for b in batches:
-        for bucket, blob in zip(b["bucket"].to_pylist(), b["blob"].to_pylist()):
-            held.setdefault(bucket, []).append(blob)
-    for bucket in list(held):
-        parts = [unpack(x, *ENTRY) for x in held.pop(bucket)]
-        a, b, long = candidate_pairs([np.concatenate([p[k] for p in parts]) for k in range(len(ENTRY))])
-        z = np.zeros(len(a), np.int64)
-        yield pa.record_batch([pa.array(np.zeros(len(a), np.int32)), *map(pa.array, (a, b, z, z, z, z, z, z))], NAMES)
-        cols = [x.view(np.int64) if x.dtype.itemsize == 8 else x.astype(np.int64) for x in long]
-        yield pa.record_batch([pa.array(np.ones(len(cols[0]), np.int32)), *[pa.array(cols[k]) for k in (1, 0, 2, 3, 4, 5, 6, 7)]], NAMES)
+        for token, blob in zip(b["b"].to_pylist(), b["blob"]):
+            x = unpack(blob.as_py(), *ENTRY[1:])
+            yield pa.record_batch([pa.array(k.view(np.int64) if k.dtype.itemsize == 8 else k.astype(np.int64)) for k in (x[0], np.full(len(x[0]), token), *x[1:])], names)
 
 
-NAMES = ["kind", "a", "b", "doc", "line", "n", "pos", "s0", "s1"]
-SCHEMA = "kind int, a long, b long, doc long, line long, n long, pos long, s0 long, s1 long"
+def entries(runs: DataFrame) -> DataFrame:
+    return runs.select("b", "blob").mapInArrow(_entries, "a long, b long, doc long, line long, n long, pos long, s0 long, s1 long, s2 long, s3 long")
 
 
 def _settle(ordered: bool):
-    """Entries of crowded runs again, dealt by token: every pair that the filters leave and that isn't settled.
+    """Entries of crowded runs again, sorted by token and pair of blocks: every pair that the filters leave and that isn't
+    settled.
 
     ordered: a pair is owed if its later item asks; otherwise if its parts differ, and then the largest part of a run
     needs no pairs of its own.
     """
 
-    def run_(batches):
-        parts = [b for b in batches if b.num_rows]
-        if not parts:
-            return
-        t = pa.Table.from_batches(parts)
+    def settle(t):
         get = lambda k: t[k].to_numpy()
-        c = [get("b").view("<u8"), get("a"), get("doc"), get("line"), get("n"), get("pos"), get("s0").view("<u8"), get("s1").view("<u8")]
-        order = np.lexsort((c[1], c[4], c[0]))
-        c = [x[order] for x in c]
+        token, mine, at, to = get("b").view("<u8"), get("mine"), get("i"), get("j")
+        new = np.r_[False, (token[1:] != token[:-1]) | (at[1:] != at[:-1]) | (to[1:] != to[:-1])]
+        run = np.cumsum(new)
+        c = [run.astype("<u8"), get("a"), get("doc"), get("line"), get("n"), get("pos"), *[get(f"s{k}").view("<u8") for k in range(4)]]
+        order = np.lexsort((c[1], c[4], run))
+        c, run, mine = [x[order] for x in c], run[order], mine[order]
+        across = (at != to)[order]
         part, asks = get("part")[order], get("asks")[order].astype(bool)
         sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint64).reshape(len(order), -1)[order] if "sig" in t.column_names else _signatures(c)
-        run = np.cumsum(np.r_[False, c[0][1:] != c[0][:-1]])
         if not ordered:
             by = np.lexsort((part, run))
             new = np.r_[True, (run[by][1:] != run[by][:-1]) | (part[by][1:] != part[by][:-1])]
@@ -279,43 +340,91 @@ def _settle(ordered: bool):
             asks = part != main[run]
         every = np.ones(len(run), bool)
         for short_side, long_side in ((every, asks), (asks, ~asks)):
-            for i, j in window_pairs(c, run, short_side, long_side, sig):
+            for i, j, _ in window_pairs(c, run, short_side, long_side, sig):
                 i, j = _by_place(c, i, j)
-                owed = asks[j] if ordered else part[i] != part[j]
+                # one place twice (texts that share an id): either may be the later one
+                same = (c[2][i] == c[2][j]) & (c[3][i] == c[3][j])
+                owed = (asks[j] | (same & asks[i]) if ordered else part[i] != part[j]) & (~across[i] | (mine[i] != mine[j]))
                 pairs = np.unique(np.stack([c[1][i[owed]], c[1][j[owed]]]), axis=1)
                 yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
-    return run_
-
-
-def candidates(posted: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """posted (bucket, blob) to distinct pairs (a, b), and entries of long runs."""
-    spark = posted.sparkSession
-    out = keep(posted.repartition(partitions(spark), "bucket").mapInArrow(_reduce, SCHEMA), "join_found")
-    return out.where("kind = 0").select("a", "b").distinct(), out.where("kind = 1").drop("kind")
-
-
-def unsettled(long: DataFrame, state: DataFrame, signatures: DataFrame | None = None) -> DataFrame:
-    """Pairs that long runs still owe. state: (item, part, asks): pairs within a part, or whose later item doesn't ask, are
-    settled. With first_doc and first_line, these say which item is the later one. signatures: (item, sig), for every item."""
-    spark = long.sparkSession
-    own = "first_doc" in state.columns
-    s = state.select(F.col("item").alias("_i"), "part", "asks", *(["first_doc", "first_line"] if own else []))
-    place = [F.coalesce(f"first_{k}", k).alias(k) if own else F.col(k) for k in ("doc", "line")]
-    rows = long.join(s, long["a"] == s["_i"], "left").select("a", "b", *place, "n", "pos", "s0", "s1", F.coalesce("part", "a").alias("part"), F.coalesce("asks", F.lit(1)).alias("asks"))
-    if signatures is not None:
-        met = signatures.join(long.select(F.col("a").alias("item")).distinct(), "item", "left_semi").dropDuplicates(["item"])
-        rows = rows.join(met.withColumnRenamed("item", "_i"), rows["a"] == F.col("_i")).drop("_i")
-    rows = keep(rows, "join_long")
-    open_ = rows.groupBy(F.col("b").alias("_b")).agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max("asks").alias("any")).where("lo < hi and any = 1").select("_b")
-    return rows.join(open_, rows["b"] == open_["_b"], "left_semi").repartition(partitions(spark), "b").mapInArrow(_settle(own), "a long, b long").distinct()
+    def run_(batches):
+        held, rows = [], 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append(b)
+            rows += b.num_rows
+            if rows > 2 * RUN_BLOCK:
+                t = pa.Table.from_batches(held).combine_chunks()
+                last = [t[k][-1].as_py() for k in ("b", "i", "j")]
+                tail = (t["b"].to_numpy() == last[0]) & (t["i"].to_numpy() == last[1]) & (t["j"].to_numpy() == last[2])
+                cut = int(tail.argmax())  # the last group may go on
+                if cut:
+                    yield from settle(t.slice(0, cut).combine_chunks())
+                held = t.slice(cut).to_batches()
+                rows = t.num_rows - cut
+        if held:
+            yield from settle(pa.Table.from_batches(held).combine_chunks())
+
+    return lambda batches: give_back(run_(batches))
+
+
+def candidates(posted: DataFrame, buckets: int, ordered: bool = False) -> tuple[DataFrame, DataFrame]:
+    """posted (bucket, blob) to distinct pairs (a, b), and the written table that also holds the long runs."""
+    tasks = max(partitions(posted.sparkSession), buckets // 2)
+    out = keep(posted.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(_reduce(ordered), "kind int, a long, b long, blob binary"), "join_found", "kind")
+    return out.where("kind = 0").select("a", "b").distinct(), out
+
+
+def _met(rows: DataFrame, runs: DataFrame, ordered: bool) -> DataFrame:
+    """Pairs of the entries of runs (b, m: how many entries), long runs in blocks."""
+    runs = runs.select(F.col("b").alias("_b"), F.ceil(F.col("m") / RUN_BLOCK).cast("int").alias("blocks"))
+    dealt = rows.join(runs, rows["b"] == runs["_b"]).drop("_b").withColumn("mine", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("mine", "o"), "j": F.greatest("mine", "o")}).drop("o", "blocks")
+    dealt = dealt.repartition(partitions(rows.sparkSession), "b", "i", "j").sortWithinPartitions("b", "i", "j")
+    return dealt.mapInArrow(_settle(ordered), "a long, b long").distinct()
+
+
+def unsettled(found: DataFrame, state: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Pairs that long runs still owe, those within a part being settled. state: (item, part); signatures: (item, sig), for
+    every item."""
+    s = state.select(F.col("item").alias("_i"), "part")
+    long = entries(found.where("kind = 2"))
+    rows = long.join(s, long["a"] == s["_i"], "left").select(*long.columns, F.coalesce("part", "a").alias("part"), F.lit(0).alias("asks"))
+    met = signatures.join(long.select(F.col("a").alias("item")).distinct(), "item", "left_semi").dropDuplicates(["item"])
+    rows = keep(rows.join(met.withColumnRenamed("item", "_i"), rows["a"] == F.col("_i")).drop("_i"), "join_long")
+    runs = rows.groupBy("b").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("m")).where("lo < hi")
+    return _met(rows, runs, False)
+
+
+def unsettled_later(found: DataFrame, gone: DataFrame) -> DataFrame | None:
+    """Pairs that long runs still owe to entries that had more earlier partners than they named and aren't gone (item); None if there are none."""
+    settled = small_side(gone.select(F.col("item").alias("_g")))
+    asking = keep(found.where("kind = 1").join(settled, F.col("a") == F.col("_g"), "left_anti").select("a", "b"), "join_asking")
+    if not asking.limit(1).count():
+        forget(asking)
+        return None
+    open_ = small_side(keep(asking.groupBy(F.col("b").alias("_b")).agg(F.count("*").alias("n")), "join_open"))
+    rows = entries(found.where("kind = 2").join(open_, F.col("b") == F.col("_b"), "left_semi"))
+    mark = asking.select(F.col("a").alias("_a"), F.col("b").alias("_b"), F.lit(1).alias("asks"))
+    rows = rows.join(mark, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left").drop("_a", "_b").withColumn("asks", F.coalesce("asks", F.lit(0)))
+    rows = keep(rows.withColumn("part", F.col("a")), "join_long")
+    return _met(rows, rows.groupBy("b").agg(F.count("*").alias("m")), True)
+
+
+def binaries(column: pa.Array) -> list[np.ndarray]:
+    """Views of the rows of a binary column as arrays of 64-bit numbers, without copies."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].tolist()
+    data = column.buffers()[2] or b""
+    return [np.frombuffer(data, "<u8", (hi - lo) // 8, lo) for lo, hi in zip(offsets, offsets[1:])]
 
 
 def _verify(batches):
     for b in batches:
         keep_ = []
-        for x, y in zip(b["set_a"].to_pylist(), b["set_b"].to_pylist()):
-            p, q = sorted((np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")), key=len)
+        for x, y in zip(binaries(b["set_a"]), binaries(b["set_b"])):
+            p, q = (x, y) if len(x) <= len(y) else (y, x)
             both = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
             keep_.append(DEN * both >= NUM * (len(p) + len(q) - both))
         yield pa.record_batch([b["a"].filter(pa.array(keep_, pa.bool_())), b["b"].filter(pa.array(keep_, pa.bool_()))], ["a", "b"])
@@ -331,27 +440,29 @@ def verified(pairs: DataFrame, sets: Callable[[DataFrame], DataFrame]) -> DataFr
     b = got.select(F.col("item").alias("_b"), F.col("set").alias("set_b"))
     met = pairs.join(a, pairs["a"] == a["_a"]).drop("_a")
     met = met.join(b, met["b"] == b["_b"]).select("a", "b", "set_a", "set_b")
-    return keep(met.mapInArrow(_verify, "a long, b long"), "join_links")
+    links = keep(met.mapInArrow(_verify, "a long, b long"), "join_links")
+    forget(pairs)
+    return links
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(item, part): the least item of each component, by alternating large and small stars, each round a written table."""
+def components(edges: DataFrame) -> DataFrame:
+    """(item, part): the least item of each component, by alternating large and small stars, each round a written table that
+    replaces the one before. Rounds go on until nothing changes: each moves a node to a lesser neighbour, so they end."""
     e = keep(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "stars")
     seen = None
-    for _ in range(most_rounds):
+    while True:
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy(F.col("u").alias("_u")).agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(low, both["u"] == low["_u"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy(F.col("u").alias("_u")).agg(F.min("v").alias("m"))
         met = large.join(low, large["u"] == low["_u"])
         small = met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select(F.col("_u").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct()
-        e = keep(small, "stars")
+        old, e = e, keep(small, "stars")
+        forget(old)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError("components did not settle")
     return e.select(F.col("u").alias("item"), F.col("v").alias("part")).unionAll(e.select(F.col("v").alias("item"), F.col("v").alias("part")).distinct())
 
 
