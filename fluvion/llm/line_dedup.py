@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SLOTS, count_into, forget, gather_sketch, give_back, keep, levels, mix, order_key, partitions, ship, sketch_rows, small_side, sorted_within, word_chunks
-from .setjoin import ENTRY, LONG_SET, NUM, DEN, Poster, bucket_count, candidates, unsettled_later, verified
+from .setjoin import DEN, ENTRY, LONG_SET, NUM, SHORT_SET, Poster, bucket_count, candidates, unsettled_later, verified
 
 LAST = 2**63 - 1
 
@@ -84,9 +84,9 @@ def _post(level, buckets: int):
                 item = item_names(h, n, start)
                 word, part = np.uint64(1) << ((h >> np.uint64(56)) & np.uint64(63)), (h >> np.uint64(62)).astype(np.int8)
                 sig = [np.bitwise_xor.reduceat(np.where(part == k, word, np.uint64(0)), start) for k in range(4)]
-                for k in (0, 1):
-                    sig[k] = np.where(n <= LONG_SET, sig[k] ^ sig[k + 2], sig[k])
-                    sig[k + 2] = np.where(n <= LONG_SET, np.uint64(0), sig[k + 2])
+                for k, to, most in ((2, 0, LONG_SET), (3, 1, LONG_SET), (1, 0, SHORT_SET)):
+                    sig[to] = np.where(n <= most, sig[to] ^ sig[k], sig[to])
+                    sig[k] = np.where(n <= most, np.uint64(0), sig[k])
                 key = order_key(h, level.value)
                 key = key[sorted_within(line, key)]  # lines keep their places, tokens of a line now stand by rarity
                 pos = np.arange(len(key)) - start[line]

@@ -28,8 +28,11 @@ NUM, DEN = 3, 4
 #: A set names up to MOST partners in a run; where it has more, the EARLIEST of the likeliest ones, and the run is kept aside.
 MOST, EARLIEST = 4, 2
 ENTRY = ("<u8", "<i8", "<i8", "<u4", "<u4", "<u4", "<u8", "<u8", "<u8", "<u8")  # key, item, doc, line, n, pos, signature
-#: Sets of more tokens have a parity signature of 256 bits, others of 128, which the former folds into.
-LONG_SET = 128
+#: Sets of more tokens than the second have a parity signature of 256 bits, of more than the first 128, others 64; the longer fold
+#: into the shorter.
+SHORT_SET, LONG_SET = 40, 128
+#: What is posted of a key: its rarity and 32 bits of hash. Tokens that share it share a run, so pairs only grow.
+POSTED = np.uint64(0xFFFFFFFFFF000000)
 #: Entries that a map task holds before it deals them, and that a bucket has on average.
 FLUSH, BUCKET = 250_000, 400_000
 #: Entries of a run's block in the second pass; a task holds two blocks, or as many entries of shorter runs.
@@ -84,7 +87,7 @@ class Poster:
         if not self.held:
             return
         columns = [np.concatenate([b[k] for b in self.blocks]) for k in range(len(ENTRY))]
-        key = columns[0]
+        key = columns[0] = columns[0] & POSTED
         bucket = (mix(key) % np.uint64(self.buckets)).astype(np.int64)
         bits = self.buckets.bit_length()
         order = np.argsort((bucket.astype(np.uint64) << np.uint64(64 - bits)) | (key >> np.uint64(bits)))  # by bucket and, mostly, key
@@ -112,7 +115,7 @@ def _sorted_runs(c: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     if again.any():
         several = np.flatnonzero(np.r_[again, False] | np.r_[False, again])
         x = by[several]
-        by[several] = x[np.lexsort((c[3][x], c[2][x], c[1][x], of[several]))]
+        by[several] = x[np.lexsort((c[5][x], c[3][x], c[2][x], c[1][x], of[several]))]  # of one place, the lower position
         again = (c[0][by][1:] == c[0][by][:-1]) & (c[1][by][1:] == c[1][by][:-1])
     by = by[np.r_[True, ~again]] if len(by) else by
     c = [x[by] for x in c]
@@ -166,9 +169,11 @@ def _near_enough(c: list[np.ndarray], sig: np.ndarray | None, i: np.ndarray, j:
         at = np.flatnonzero(ok)
         x = sig[i[at]] ^ sig[j[at]]
         if x.shape[1] == 4:
-            fold = (n[i[at]] <= LONG_SET) | (n[j[at]] <= LONG_SET)
-            x[fold, :2] ^= x[fold, 2:]
-            x[fold, 2:] = 0
+            least = np.minimum(n[i[at]], n[j[at]])
+            for most, half in ((LONG_SET, 2), (SHORT_SET, 1)):
+                fold = least <= most
+                x[fold, :half] ^= x[fold, half : 2 * half]
+                x[fold, half : 2 * half] = 0
         apart = np.bitwise_count(x).sum(axis=1, dtype=np.int64)
         ok[at] = apart <= n[i[at]] + n[j[at]] - 2 * need[at]
         far = apart[ok[at]]
