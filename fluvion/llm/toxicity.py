@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_text, ship, worker_cache
+from .common import crc_text, give_back, ship, worker_cache
 
 #: Bounds of the training sample.
 MOST_TOXIC, MOST_CLEAN, MOST_WORDS = 1200, 2000, 800
@@ -367,7 +367,7 @@ def _score(model):
         for b in batches:
             yield pa.record_batch([b["_id"], pa.array(_scores(model, b["_t"].to_pylist()))], ["_id", "score"])
 
-    return run
+    return lambda batches: give_back(run(batches))
 
 
 def _keep(model, text_place: int, threshold: float):
@@ -375,7 +375,7 @@ def _keep(model, text_place: int, threshold: float):
         for b in batches:
             yield b.filter(pa.array(_scores(model, b.column(text_place).to_pylist()) < threshold))
 
-    return run
+    return lambda batches: give_back(run(batches))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
