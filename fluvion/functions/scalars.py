@@ -50,10 +50,10 @@ def centre(r: Column, c: Column, x0: float, dx: float, y0: float, dy: float) ->
 
 
 def metres_per_degree(lat: Column) -> tuple[Column, Column]:
-    """Series for a degree of latitude and of longitude."""
+    """Metres of a degree of latitude and of longitude: the first terms of the usual series (fixed values)."""
     p = F.radians(lat)
-    north = 111132.92 - 559.82 * F.cos(2 * p) + 1.175 * F.cos(4 * p) - 0.0023 * F.cos(6 * p)
-    east = 111412.84 * F.cos(p) - 93.5 * F.cos(3 * p) + 0.118 * F.cos(5 * p)
+    north = 111132.92 - 559.82 * F.cos(2 * p) + 1.175 * F.cos(4 * p)
+    east = 111412.84 * F.cos(p) - 93.5 * F.cos(3 * p)
     return north, east
 
 

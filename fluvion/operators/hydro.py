@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import fixpoint as fx
-from .grid import flow_direction, level_cells, neighbours, pointers
+from .grid import CELL, flow_direction, level_cells, neighbours
 
 
 def fill(cells: DataFrame) -> DataFrame:
@@ -18,16 +18,16 @@ def fill(cells: DataFrame) -> DataFrame:
 
     Rounds grow with path length; fill_kernel does one grid a task, this is the form that any engine can check.
     """
-    cells = fx.settle(cells.where("z is not null").select("r", "c", "z"))
+    cells = fx.settle(cells.where("z is not null").select(*CELL, "z"))
     top = 2**53
-    inner = neighbours(cells).groupBy("r", "c").agg(F.count("*").alias("n"))
-    start = cells.join(inner, ["r", "c"], "left").select("r", "c", "z", F.when(F.coalesce("n", F.lit(0)) < 8, F.col("z")).otherwise(F.lit(top)).alias("w"))
+    inner = neighbours(cells).groupBy(*CELL).agg(F.count("*").alias("n"))
+    start = cells.join(inner, CELL, "left").select(*CELL, "z", F.when(F.coalesce("n", F.lit(0)) < 8, F.col("z")).otherwise(F.lit(top)).alias("w"))
 
     def step(s: DataFrame) -> DataFrame:
-        low = neighbours(s.select("r", "c", F.col("w").alias("z"))).groupBy("r", "c").agg(F.min("zn").alias("low"))
-        return s.join(low, ["r", "c"], "left").select("r", "c", "z", F.greatest("z", F.least("w", "low")).alias("w"))
+        low = neighbours(s.select(*CELL, F.col("w").alias("z"))).groupBy(*CELL).agg(F.min("zn").alias("low"))
+        return s.join(low, CELL, "left").select(*CELL, "z", F.greatest("z", F.least("w", "low")).alias("w"))
 
-    return fx.fixpoint(start, step, F.sum("w")).select("r", "c", "z", F.col("w").alias("filled"))
+    return fx.fixpoint(start, step, F.sum("w")).select(*CELL, "z", F.col("w").alias("filled"))
 
 
 def fill_array(z: np.ndarray) -> np.ndarray:
@@ -60,78 +60,104 @@ def fill_kernel(cells: DataFrame) -> DataFrame:
         z[pdf.r - r0, pdf.c - c0] = pdf.z
         return pdf.assign(filled=fill_array(z)[pdf.r - r0, pdf.c - c0])
 
-    return cells.groupBy("dem_id").applyInPandas(run, "dem_id string, r int, c int, z double, filled double")
+    return cells.where("z is not null").select(*CELL, F.col("z").cast("double").alias("z")).groupBy("dem_id").applyInPandas(run, f"dem_id {cells.schema['dem_id'].dataType.simpleString()}, r int, c int, z double, filled double")
 
 
-def label(cells: DataFrame, ncols: int) -> DataFrame:
-    """(r, c, label): 8-connected patches of a set of cells; the label is the least flat index."""
-    flat = lambda r, c: (F.col(r) * ncols + F.col(c)).cast("long")
-    near = neighbours(cells.select("r", "c", F.lit(1).alias("z")), self_too=True)
-    labels = fx.components(near.select(flat("r", "c").alias("a"), flat("rn", "cn").alias("b")))
-    return cells.select("r", "c", flat("r", "c").alias("_i")).join(labels, F.col("_i") == F.col("id")).select("r", "c", "label")
+def label(cells: DataFrame) -> DataFrame:
+    """(dem_id, r, c, label): 8-connected patches of a set of cells; the label is the first cell by row and column."""
+    near = neighbours(cells.select(*CELL, F.lit(1).alias("z")), self_too=True)
+    labels = fx.components(near.select(F.struct(*CELL).alias("a"), F.struct("dem_id", F.col("rn").alias("r"), F.col("cn").alias("c")).alias("b")))
+    return labels.select("id.dem_id", "id.r", "id.c", "label")
 
 
-def flat_cells(cells: DataFrame, ncols: int, more_than: int = 6) -> DataFrame:
+def flat_cells(cells: DataFrame, more_than: int = 6) -> DataFrame:
     """Level cells in patches of more than six."""
-    patches = label(level_cells(cells), ncols)
+    patches = label(level_cells(cells))
     large = patches.groupBy("label").agg(F.count("*").alias("n")).where(F.col("n") > more_than)
-    return patches.join(large, "label", "left_semi").select("r", "c")
+    return patches.join(large, "label", "left_semi").select(*CELL)
 
 
-def patch_sizes(cells: DataFrame, ncols: int) -> DataFrame:
-    return label(cells, ncols).groupBy("label").agg(F.count("*").alias("cells"))
+def patch_sizes(cells: DataFrame) -> DataFrame:
+    """(dem_id, r, c, cells): each patch by its first cell."""
+    return label(cells).groupBy("label").agg(F.count("*").alias("cells")).select("label.dem_id", "label.r", "label.c", "cells")
 
 
-def touching(cells: DataFrame, seeds: DataFrame, ncols: int) -> DataFrame:
+def touching(cells: DataFrame, seeds: DataFrame) -> DataFrame:
     """Cells of the patches that have a seed within a step."""
-    patches = label(cells, ncols)
-    near = neighbours(seeds.select("r", "c", F.lit(1).alias("z")).unionByName(cells.select("r", "c", F.lit(1).alias("z"))).distinct(), self_too=True)
-    by_seed = near.join(seeds.select("r", "c"), ["r", "c"], "left_semi").select(F.col("rn").alias("r"), F.col("cn").alias("c")).distinct()
-    good = patches.join(by_seed, ["r", "c"], "left_semi").select("label").distinct()
-    return patches.join(good, "label", "left_semi").select("r", "c")
-
-
-def flow_accumulation(cells: DataFrame, ncols: int) -> DataFrame:
-    """(id, total): cells that drain through each cell, itself included."""
-    p = pointers(flow_direction(cells), ncols)
-    return fx.accumulate(p.withColumn("w", F.lit(1)))
+    patches = label(cells)
+    near = neighbours(seeds.select(*CELL, F.lit(1).alias("z")).unionByName(cells.select(*CELL, F.lit(1).alias("z"))).distinct(), self_too=True)
+    by_seed = near.join(seeds.select(*CELL), CELL, "left_semi").select("dem_id", F.col("rn").alias("r"), F.col("cn").alias("c")).distinct()
+    good = patches.join(by_seed, CELL, "left_semi").select("label").distinct()
+    return patches.join(good, "label", "left_semi").select(*CELL)
+
+
+def one_cell_wide(mask: DataFrame, streams: DataFrame, lakes: DataFrame, narrow: float = 0.5) -> DataFrame:
+    """The mask without water patches that touch only narrow reaches and no lake. streams: (dem_id, r, c, reach). A reach is narrow
+    if more than a share of its cells has no water but stream cells within a step."""
+    water = fx.settle(mask.select(*CELL).join(streams.select(*CELL), CELL, "left_anti"))
+    beside = grown(water).join(streams, CELL, "left_semi").withColumn("_b", F.lit(1))
+    on = fx.settle(streams.join(beside, CELL, "left").select(*CELL, "reach", F.coalesce("_b", F.lit(0)).alias("b")))
+    wide = on.groupBy("dem_id", "reach").agg(F.avg("b").alias("s")).where(F.col("s") >= 1 - narrow)
+    wide = on.join(wide, ["dem_id", "reach"], "left_semi").select(*CELL)
+    kept = touching(water, wide)
+    in_lakes = label(water)
+    some = in_lakes.join(lakes.select(*CELL), CELL, "left_semi").select("label").distinct()
+    kept = kept.unionAll(in_lakes.join(some, "label", "left_semi").select(*CELL)).distinct()
+    return mask.select(*CELL).join(streams.select(*CELL), CELL, "left_semi").unionAll(kept)
+
+
+def grown(cells: DataFrame) -> DataFrame:
+    """A set of cells and all within a step of it, on or off any grid."""
+    one = F.array(*[F.lit(k) for k in (-1, 0, 1)])
+    wide = cells.select("dem_id", "r", "c", F.explode(one).alias("i")).select("dem_id", (F.col("r") + F.col("i")).alias("r"), "c", F.explode(one).alias("j"))
+    return wide.select("dem_id", "r", (F.col("c") + F.col("j")).alias("c")).distinct()
+
+
+def flow_accumulation(down: DataFrame, weight: str) -> DataFrame:
+    """(dem_id, r, c, total) of pointers (dem_id, r, c, rd, cd) with a weight for each cell: that of all that drain through a cell,
+    itself included. Cells on a cycle drain nowhere."""
+    to = F.when(F.col("rd").isNotNull(), F.struct("dem_id", F.col("rd").alias("r"), F.col("cd").alias("c")))
+    return fx.accumulate(down.select(F.struct(*CELL).alias("id"), to.alias("down"), F.col(weight).alias("w"))).select("id.dem_id", "id.r", "id.c", "total")
 
 
 def flat_gradient(cells: DataFrame) -> DataFrame:
-    """(r, c, steps): on flats of a filled grid, the gradient of Barnes et al. (2014) in steps, 0 off them.
+    """(dem_id, r, c, steps): on flats of a filled grid, the gradient of Barnes et al. (2014) in steps, 0 off them.
 
     A cell drains if a neighbour is lower, or off the grid or no data; flats are patches of one level whose other cells
     reach one that drains, a low edge. Steps are twice those from the low edges (which are 1), plus, where higher
     ground is reached through the flat, the most steps away from it in the flat less the cell's own. Integers, so that
     directions on flats compare as pairs (height, steps) and no height is ever nudged.
     """
-    cells = fx.settle(cells.select("r", "c", "z"))
+    cells = fx.settle(cells.select(*CELL, "z"))
     near = fx.settle(neighbours(cells))
-    around = near.groupBy("r", "c").agg(F.count("*").alias("n"), F.min("zn").alias("low"), F.max("zn").alias("high"))
+    around = near.groupBy(*CELL).agg(F.count("*").alias("n"), F.min("zn").alias("low"), F.max("zn").alias("high"))
     closed = (F.coalesce("n", F.lit(0)) == 8) & (F.col("low") >= F.col("z"))
-    kinds = fx.settle(cells.join(around, ["r", "c"], "left").select("r", "c", F.coalesce(closed, F.lit(False)).alias("flat"), (F.col("high") > F.col("z")).alias("beside")))
-    level = near.where("z = zn").select("r", "c", "rn", "cn")
-    links = fx.settle(level.join(kinds.where("flat").select("r", "c"), ["r", "c"], "left_semi"))  # into flat cells only
-    edge = links.select(F.col("rn").alias("r"), F.col("cn").alias("c")).distinct().withColumn("met", F.lit(True))
-    start = kinds.join(edge, ["r", "c"], "left").select("r", "c", F.when(~F.col("flat") & F.col("met"), 1).alias("toward"), F.when(F.col("flat") & F.col("beside"), 1).alias("away"))
+    kinds = fx.settle(cells.join(around, CELL, "left").select(*CELL, F.coalesce(closed, F.lit(False)).alias("flat"), (F.col("high") > F.col("z")).alias("beside")))
+    level = near.where("z = zn").select(*CELL, "rn", "cn")
+    links = fx.settle(level.join(kinds.where("flat").select(*CELL), CELL, "left_semi"))  # into flat cells only
+    edge = links.select("dem_id", F.col("rn").alias("r"), F.col("cn").alias("c")).distinct().withColumn("met", F.lit(True))
+    start = kinds.join(edge, CELL, "left").select(*CELL, F.when(~F.col("flat") & F.col("met"), 1).alias("toward"), F.when(F.col("flat") & F.col("beside"), 1).alias("away"))
 
     def step(s: DataFrame) -> DataFrame:
-        there = s.select(F.col("r").alias("_r"), F.col("c").alias("_c"), F.col("toward").alias("t"), F.col("away").alias("a"))
-        low = links.join(there, (F.col("rn") == F.col("_r")) & (F.col("cn") == F.col("_c"))).groupBy("r", "c").agg(F.min("t").alias("t"), F.min("a").alias("a"))
-        return s.join(low, ["r", "c"], "left").select("r", "c", F.least("toward", F.col("t") + 1).alias("toward"), F.least("away", F.col("a") + 1).alias("away"))
+        there = s.select("dem_id", F.col("r").alias("rn"), F.col("c").alias("cn"), F.col("toward").alias("t"), F.col("away").alias("a"))
+        low = links.join(there, ["dem_id", "rn", "cn"]).groupBy(*CELL).agg(F.min("t").alias("t"), F.min("a").alias("a"))
+        return s.join(low, CELL, "left").select(*CELL, F.least("toward", F.col("t") + 1).alias("toward"), F.least("away", F.col("a") + 1).alias("away"))
 
     far = fx.fixpoint(start, step, F.struct(F.count("toward"), F.sum("toward"), F.count("away"), F.sum("away")))
-    box = cells.agg(F.min("r"), F.min("c"), F.max("c")).first()
-    r0, c0, wide = (box[0], box[1], box[2] - box[1] + 1) if box[0] is not None else (0, 0, 1)
-    flat = lambda r, c: ((F.col(r) - r0).cast("long") * wide + F.col(c) - c0).cast("long")
-    labels = fx.components(level.select(flat("r", "c").alias("a"), flat("rn", "cn").alias("b")))
-    met = far.withColumn("_i", flat("r", "c")).join(labels, F.col("_i") == F.col("id"), "left")
+    labels = fx.components(level.select(F.struct(*CELL).alias("a"), F.struct("dem_id", F.col("rn").alias("r"), F.col("cn").alias("c")).alias("b")))
+    met = far.withColumn("_i", F.struct(*CELL)).join(labels, F.col("_i") == F.col("id"), "left")
     height = met.groupBy(F.col("label").alias("_l")).agg(F.max("away").alias("height"))
     met = met.join(height, F.col("label") == F.col("_l"), "left")
-    return met.select("r", "c", F.coalesce(2 * F.col("toward") + F.coalesce(F.col("height") - F.col("away"), F.lit(0)), F.lit(0)).cast("int").alias("steps"))
+    return met.select(*CELL, F.coalesce(2 * F.col("toward") + F.coalesce(F.col("height") - F.col("away"), F.lit(0)), F.lit(0)).cast("int").alias("steps"))
+
+
+def drained(filled: DataFrame, space: DataFrame) -> DataFrame:
+    """(dem_id, r, c, code): directions on a filled grid (dem_id, r, c, z), flats resolved by their gradient."""
+    steps = flat_gradient(filled)
+    return flow_direction(filled.join(steps, CELL), space, "steps")
 
 
-def water_mask(streams: DataFrame, water: DataFrame, ocean: DataFrame, ncols: int) -> DataFrame:
+def water_mask(streams: DataFrame, water: DataFrame, ocean: DataFrame) -> DataFrame:
     """Streams, and water patches that touch them, without the ocean."""
-    wet = streams.select("r", "c").unionAll(water.select("r", "c")).distinct().join(ocean, ["r", "c"], "left_anti")
-    return touching(wet, streams, ncols)
+    wet = streams.select(*CELL).unionAll(water.select(*CELL)).distinct().join(ocean, CELL, "left_anti")
+    return touching(wet, streams)

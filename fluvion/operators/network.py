@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.fixpoint import accumulate, depth, downstream_closure, fixpoint, settle
+from ..plans.fixpoint import accumulate, components, depth, downstream_closure, fixpoint, on_cycles, path_sums, settle
 
 
 def nodes(net: DataFrame) -> DataFrame:
@@ -24,7 +26,11 @@ def drop_reaches(net: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def orders_between(net: DataFrame, low: int | None, high: int | None) -> DataFrame:
-    """Stream orders within bounds, inclusive; None bounds nothing; an order that is no number drops out."""
+    """Stream orders within bounds, inclusive; None bounds nothing; an order that is no number drops out. Without a column of
+    orders nothing is filtered, with a warning."""
+    if "ord" not in net.columns:
+        warnings.warn("the network has no stream orders: none are filtered", stacklevel=2)
+        return net
     order = F.col("ord").cast("string").try_cast("double")
     keep = order.isNotNull()
     keep = keep & (order >= low) if low is not None else keep
@@ -96,7 +102,9 @@ def downstream_closure_counts(n: DataFrame) -> DataFrame:
     """(id, dry_below): dry reaches on the way down, by doubling."""
     ahead = n.select(F.col("id").alias("_a"), F.col("w").alias("w2"))
     state = settle(n.join(ahead, F.col("down") == F.col("_a"), "left").select("id", F.col("down").alias("jump"), F.coalesce("w2", F.lit(0)).cast("long").alias("dry_below")))
-    while state.where("jump is not null").limit(1).count():
+    for _ in range(state.count().bit_length() + 1):
+        if not state.where("jump is not null").limit(1).count():
+            break
         far = state.select(F.col("id").alias("_a"), F.col("jump").alias("next"), F.col("dry_below").alias("more"))
         state = settle(state.join(far, F.col("jump") == F.col("_a"), "left").select("id", F.col("next").alias("jump"), (F.col("dry_below") + F.coalesce("more", F.lit(0))).alias("dry_below")))
     return state.select("id", "dry_below")
@@ -128,11 +136,35 @@ def outranked(net: DataFrame) -> DataFrame:
 
 
 def tour(net: DataFrame) -> DataFrame:
-    """Related pairs: every reach with those below it, as the ancestor table; depth bounds it, n * depth rows."""
-    n = nodes(net)
-    pairs, front = None, settle(n.where("down is not null").select(F.col("id").alias("reach"), F.col("down").alias("below")))
-    step = settle(n.select(F.col("id").alias("_i"), "down"))
-    while front.limit(1).count():
-        pairs = front if pairs is None else pairs.unionAll(front)
-        front = settle(front.join(step, F.col("below") == F.col("_i")).where("down is not null").select("reach", F.col("down").alias("below")))
-    return pairs if pairs is not None else front
+    """(reach, root, tin, tout, depth): numbers in each tree so that b is a or below it exactly when both have one root and
+    b.tin <= a.tin <= b.tout. One row a reach: from the sizes of subtrees, those of earlier feeders, and sums on the way down."""
+    n = settle(nodes(net))
+    size = accumulate(n.withColumn("w", F.lit(1)))
+    before = F.sum("total").over(Window.partitionBy("down").orderBy("id").rowsBetween(Window.unboundedPreceding, -1))
+    offset = n.where("down is not null").join(size, "id").select("id", (1 + F.coalesce(before, F.lit(0))).alias("w"))
+    sums = path_sums(n.join(offset, "id", "left").select("id", "down", F.coalesce("w", F.lit(0)).cast("long").alias("w")))
+    return sums.join(size.withColumnRenamed("total", "size"), "id").select(F.col("id").alias("reach"), "root", F.col("total").alias("tin"), (F.col("total") + F.col("size") - 1).alias("tout"), "depth")
+
+
+def related(pairs: DataFrame, net: DataFrame) -> DataFrame:
+    """pairs (reach, other) of which the other is the reach or below it, or drains into the same reach."""
+    t = settle(tour(net).join(net.select("reach", "ds"), "reach"))
+    a = t.select("reach", F.col("root").alias("_r"), F.col("tin").alias("_t"), F.col("ds").alias("_s"))
+    b = t.select(F.col("reach").alias("other"), "root", "tin", "tout", "ds")
+    below = (F.col("_r") == F.col("root")) & (F.col("tin") <= F.col("_t")) & (F.col("_t") <= F.col("tout"))
+    return pairs.join(a, "reach").join(b, "other").where(below | (F.col("_s") > 0) & (F.col("_s") == F.col("ds"))).select("reach", "other")
+
+
+def break_cycles(net: DataFrame) -> DataFrame:
+    """The network with one reach of each cycle, and every reach that drains into itself, ending. It is the one that closes the cycle
+    for a walk from the least id that leads there."""
+    net = net.withColumn("ds", F.when(F.col("ds") == F.col("reach"), -1).otherwise(F.col("ds")))
+    n = settle(nodes(net))
+    loop = settle(n.join(on_cycles(n), "id"))
+    if not loop.limit(1).count():
+        return net
+    cycle = components(loop.select(F.col("id").alias("a"), F.col("down").alias("b")))
+    ends = n.join(loop.select(F.col("id").alias("_l")), F.col("id") == F.col("_l"), "left").select("id", F.when(F.col("_l").isNull(), F.col("down")).alias("down"))
+    entry = depth(ends).join(cycle.withColumnRenamed("id", "root"), "root").groupBy("label").agg(F.min_by("root", "id").alias("first"))
+    closing = loop.join(entry, F.col("down") == F.col("first")).select(F.col("id").alias("_x"))
+    return net.join(closing, F.col("reach") == F.col("_x"), "left").withColumn("ds", F.when(F.col("_x").isNull(), F.col("ds")).otherwise(-1)).drop("_x")

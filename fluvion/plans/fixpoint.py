@@ -25,58 +25,90 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def fixpoint(df: DataFrame, step: Callable[[DataFrame], DataFrame], measure, most: int = 10_000) -> DataFrame:
-    """Applies step until measure (an aggregate Column) stops changing; more than `most` rounds is an error."""
+def fixpoint(df: DataFrame, step: Callable[[DataFrame], DataFrame], measure) -> DataFrame:
+    """Applies step until measure (an aggregate Column) stops changing; steps must only ever move one way."""
     df = settle(df)
     was = df.agg(measure.alias("m")).first()["m"]
-    for _ in range(most):
+    while True:
         df = settle(step(df))
         now = df.agg(measure.alias("m")).first()["m"]
         if now == was:
             return df
         was = now
-    raise RuntimeError("no fixpoint: is the input cyclic?")
+
+
+def _reset(nodes: DataFrame) -> DataFrame:
+    """nodes (id, down, w) to (id, jump, total); sums of integers are long."""
+    whole = nodes.schema["w"].dataType.typeName() in ("byte", "short", "integer", "long")
+    return settle(nodes.select("id", F.col("down").alias("jump"), F.col("w").cast("long" if whole else "double").alias("total")))
+
+
+def _ends(state: DataFrame) -> bool:
+    return not state.where("jump is not null").limit(1).count()
+
+
+def on_cycles(nodes: DataFrame) -> DataFrame:
+    """(id) of the nodes on cycles: where any way down of at least as many steps as there are nodes ends."""
+    state = settle(nodes.select("id", F.col("down").alias("jump")))
+    for _ in range(state.count().bit_length() + 1):
+        if _ends(state):
+            break
+        ahead = state.select(F.col("id").alias("_a"), F.col("jump").alias("next"))
+        state = settle(state.join(ahead, F.col("jump") == F.col("_a"), "left").select("id", F.col("next").alias("jump")))
+    return settle(state.where("jump is not null").select(F.col("jump").alias("id")).distinct())
+
+
+def cut_cycles(nodes: DataFrame) -> DataFrame:
+    """nodes whose cycles are cut loose: a node on one drains nowhere."""
+    loop = on_cycles(nodes).select(F.col("id").alias("_c"))
+    return nodes.join(loop, F.col("id") == F.col("_c"), "left").withColumn("down", F.when(F.col("_c").isNull(), F.col("down"))).drop("_c")
 
 
 def accumulate(nodes: DataFrame) -> DataFrame:
     """(id, down, w) to (id, total): w summed over everything upstream, itself included, in log2(depth) joins.
 
-    S[k+1](c) = S[k](c) + sum of S[k](u) over u whose 2^k-th node downstream is c.
+    S[k+1](c) = S[k](c) + sum of S[k](u) over u whose 2^k-th node downstream is c. Nodes on cycles are cut loose first.
     """
-    state = settle(nodes.select("id", F.col("down").alias("jump"), F.col("w").cast("long").alias("total")))
+    state = _reset(nodes)
     for _ in range(state.count().bit_length() + 1):  # a longer way down than there are nodes is a cycle
-        if not state.where("jump is not null").limit(1).count():
+        if _ends(state):
             return state.select("id", "total")
         sent = state.where("jump is not null").groupBy(F.col("jump").alias("_j")).agg(F.sum("total").alias("more"))
         ahead = state.select(F.col("id").alias("_a"), F.col("jump").alias("next"))
         state = settle(
             state.join(sent, F.col("id") == F.col("_j"), "left").join(ahead, F.col("jump") == F.col("_a"), "left").select("id", F.col("next").alias("jump"), (F.col("total") + F.coalesce("more", F.lit(0))).alias("total"))
         )
-    raise RuntimeError("the network has a cycle")
+    return accumulate(cut_cycles(nodes))
+
+
+def path_sums(nodes: DataFrame) -> DataFrame:
+    """(id, down, w) to (id, root, depth, total): on the way to the outlet its end, how many steps there are, and w summed over
+    all nodes but the end. Nodes on cycles are cut loose first."""
+    state = _reset(nodes).withColumns({"root": F.coalesce("jump", "id"), "depth": F.when(F.col("jump").isNull(), 0).otherwise(1), "total": F.when(F.col("jump").isNull(), F.col("total") * 0).otherwise(F.col("total"))})
+    for _ in range(state.count().bit_length() + 1):
+        if _ends(state):
+            return state.select("id", "root", "depth", "total")
+        ahead = state.select(F.col("id").alias("_a"), F.col("jump").alias("next"), F.col("root").alias("r2"), F.col("depth").alias("d2"), F.col("total").alias("t2"))
+        met = state.join(ahead, F.col("jump") == F.col("_a"), "left")
+        state = settle(met.select("id", F.col("next").alias("jump"), (F.col("total") + F.coalesce("t2", F.lit(0))).alias("total"), F.coalesce("r2", "root").alias("root"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth")))
+    return path_sums(cut_cycles(nodes))
 
 
 def depth(nodes: DataFrame) -> DataFrame:
     """(id, down) to (id, depth, root): steps to the outlet and the outlet itself, by doubling."""
-    state = settle(nodes.select("id", F.col("down").alias("jump"), F.when(F.col("down").isNull(), 0).otherwise(1).alias("depth"), F.coalesce("down", "id").alias("root")))
-    for _ in range(state.count().bit_length() + 1):  # a longer way down than there are nodes is a cycle
-        if not state.where("jump is not null").limit(1).count():
-            return state.select("id", "depth", "root")
-        ahead = state.select(F.col("id").alias("_a"), F.col("jump").alias("next"), F.col("depth").alias("d2"), F.col("root").alias("r2"))
-        state = settle(state.join(ahead, F.col("jump") == F.col("_a"), "left").select("id", F.col("next").alias("jump"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"), F.coalesce("r2", "root").alias("root")))
-    raise RuntimeError("the network has a cycle")
+    return path_sums(nodes.withColumn("w", F.lit(0))).select("id", "depth", "root")
 
 
 def downstream_closure(start: DataFrame, nodes: DataFrame) -> DataFrame:
-    """start (id) and everything below, by doubling the jumps: (id)."""
+    """start (id) and everything below, by doubling the jumps: (id). Cycles do no harm: after log2(nodes) rounds all is reached."""
     reached, jumps = settle(start.select("id").distinct()), settle(nodes.where("down is not null").select("id", "down"))
-    for _ in range(nodes.count().bit_length() + 2):
-        grown = settle(reached.unionAll(reached.join(jumps, "id").select(F.col("down").alias("id"))).distinct())
-        if grown.count() == reached.count() and not jumps.limit(1).count():
-            return grown
+    for _ in range(nodes.count().bit_length() + 1):
+        reached = settle(reached.unionAll(reached.join(jumps, "id").select(F.col("down").alias("id"))).distinct())
+        if not jumps.limit(1).count():
+            break
         ahead = jumps.select(F.col("id").alias("_a"), F.col("down").alias("next"))
         jumps = settle(jumps.join(ahead, F.col("down") == F.col("_a")).select("id", F.col("next").alias("down")))
-        reached = grown
-    raise RuntimeError("the network has a cycle")
+    return reached
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -91,4 +123,4 @@ def components(edges: DataFrame) -> DataFrame:
         jump = low.select(F.col("id").alias("_j"), F.col("label").alias("far"))
         return low.join(jump, low["label"] == jump["_j"], "left").select("id", F.least("label", "far").alias("label"))
 
-    return fixpoint(label, step, F.sum("label"))
+    return fixpoint(label, step, F.bit_xor(F.xxhash64("id", "label")))

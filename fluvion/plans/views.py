@@ -41,17 +41,37 @@ NETWORK = """areas AS (SELECT o_custkey AS k, CAST(sum(CAST(round(o_totalprice *
 network AS (SELECT c_custkey + 1 AS reach, CASE WHEN c_custkey = 0 THEN -1 ELSE (c_custkey + 1) // 2 END AS ds, CAST(c_nationkey % 7 + 1 AS INTEGER) AS ord, coalesce(cents, 0) AS area, c_mktsegment AS segment FROM customer LEFT JOIN areas ON k = c_custkey)"""
 
 
+def _cells(spark, d, z):
+    """Grids of 16 by 16 cells, one for each supplier, so that there are more of them as the table grows; some cells are no data."""
+    return table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("dem_id"), (F.col("l_orderkey") % 16).cast("int").alias("r"), (F.col("l_partkey") % 16).cast("int").alias("c")).agg(z.alias("z"))
+
+
+_CELLS = "SELECT l_suppkey AS dem_id, CAST(l_orderkey % 16 AS INTEGER) AS r, CAST(l_partkey % 16 AS INTEGER) AS c"
+
+
 def grid(spark, d):
-    """A 40 by 40 grid of whole cents."""
-    return table(spark, d, "lineitem").groupBy((F.col("l_partkey") % 40).cast("int").alias("r"), (F.col("l_suppkey") % 40).cast("int").alias("c")).agg(F.min(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("z"))
+    """Grids of whole cents."""
+    return _cells(spark, d, F.min(F.round(F.col("l_extendedprice") * 100).cast("long")))
 
 
-GRID = "grid AS (SELECT CAST(l_partkey % 40 AS INTEGER) AS r, CAST(l_suppkey % 40 AS INTEGER) AS c, min(CAST(round(l_extendedprice * 100) AS BIGINT)) AS z FROM lineitem GROUP BY 1, 2)"
+GRID = f"grid AS ({_CELLS}, min(CAST(round(l_extendedprice * 100) AS BIGINT)) AS z FROM lineitem GROUP BY 1, 2, 3)"
 
 
 def small_grid(spark, d):
-    """A 16 by 16 grid of few levels."""
-    return table(spark, d, "lineitem").groupBy((F.col("l_partkey") % 16).cast("int").alias("r"), (F.col("l_suppkey") % 16).cast("int").alias("c")).agg((F.min(F.floor("l_extendedprice")) % 10).cast("long").alias("z"))
+    """Grids of few levels."""
+    return _cells(spark, d, (F.min(F.floor("l_extendedprice")) % 10).cast("long"))
+
+
+SMALL = f"small AS ({_CELLS}, CAST(min(floor(l_extendedprice)) AS BIGINT) % 10 AS z FROM lineitem GROUP BY 1, 2, 3)"
+
+
+def grids(spark, d):
+    """What is known of each grid: every other one is in degrees."""
+    return table(spark, d, "supplier").selectExpr("s_suppkey dem_id", "20.0D + s_suppkey % 40 y0", "if(s_suppkey % 2 = 0, 0.001D, 30.0D) cell_x", "if(s_suppkey % 2 = 0, 0.002D, 20.0D) cell_y", "16 nrows", "s_suppkey % 2 = 0 degrees")
 
 
-SMALL = "small AS (SELECT CAST(l_partkey % 16 AS INTEGER) AS r, CAST(l_suppkey % 16 AS INTEGER) AS c, CAST(min(floor(l_extendedprice)) AS BIGINT) % 10 AS z FROM lineitem GROUP BY 1, 2)"
+SPACE = """rows16 AS (SELECT unnest(range(0, 16)) AS r),
+space AS (SELECT s_suppkey AS dem_id, CAST(r AS INTEGER) AS r,
+ CASE WHEN s_suppkey % 2 = 0 THEN 0.001::DOUBLE * (111412.84::DOUBLE * cos(radians(20 + s_suppkey % 40 - (r + 0.5::DOUBLE) * 0.002::DOUBLE)) - 93.5::DOUBLE * cos(3 * radians(20 + s_suppkey % 40 - (r + 0.5::DOUBLE) * 0.002::DOUBLE))) ELSE 30.0::DOUBLE END AS dx,
+ CASE WHEN s_suppkey % 2 = 0 THEN 0.002::DOUBLE * (111132.92::DOUBLE - 559.82::DOUBLE * cos(2 * radians(20 + s_suppkey % 40 - 8.5::DOUBLE * 0.002::DOUBLE)) + 1.175::DOUBLE * cos(4 * radians(20 + s_suppkey % 40 - 8.5::DOUBLE * 0.002::DOUBLE))) ELSE 20.0::DOUBLE END AS dy
+ FROM supplier, rows16)"""

@@ -23,13 +23,33 @@ def query(sql: str | None = None):
     return add
 
 
-D8 = "d8(k, code, dr, dc, len) AS (VALUES (0, 64, -1, -1, sqrt(2.0)), (1, 128, -1, 0, 1.0), (2, 1, -1, 1, sqrt(2.0)), (3, 32, 0, -1, 1.0), (4, 2, 0, 1, 1.0), (5, 16, 1, -1, sqrt(2.0)), (6, 8, 1, 0, 1.0), (7, 4, 1, 1, sqrt(2.0)))"
-CODES = f"""{v.GRID}, {D8},
-slopes AS (SELECT a.r, a.c, k, code, (a.z - b.z) / len AS slope FROM grid a, d8 JOIN grid b ON b.r = a.r + dr AND b.c = a.c + dc),
-best AS (SELECT r, c, code FROM (SELECT *, row_number() OVER (PARTITION BY r, c ORDER BY slope DESC, k) AS n FROM slopes WHERE slope > 0) WHERE n = 1),
-codes AS (SELECT grid.r, grid.c, CAST(coalesce(code, 0) AS INTEGER) AS code FROM grid LEFT JOIN best ON grid.r = best.r AND grid.c = best.c)"""
-POINTERS = f"""{CODES}, pointers AS (SELECT CAST(a.r * 40 + a.c AS BIGINT) AS id, CAST(b.r * 40 + b.c AS BIGINT) AS down FROM codes a LEFT JOIN d8 ON d8.code = a.code LEFT JOIN codes b ON b.r = a.r + dr AND b.c = a.c + dc)"""
-NEAR_SMALL = f"{v.SMALL}, {D8}, near AS (SELECT a.r, a.c, a.z, k, b.r AS rn, b.c AS cn, b.z AS zn FROM small a, d8 JOIN small b ON b.r = a.r + dr AND b.c = a.c + dc)"
+D8 = "d8(k, code, dr, dc) AS (VALUES (0, 64, -1, -1), (1, 128, -1, 0), (2, 1, -1, 1), (3, 32, 0, -1), (4, 2, 0, 1), (5, 16, 1, -1), (6, 8, 1, 0), (7, 4, 1, 1))"
+#: Flat number of a cell, unique over grids, and back.
+ID = "dem_id * 256 + r * 16 + c"
+BACK = "CAST(id // 256 AS BIGINT) AS dem_id, CAST(id % 256 // 16 AS INTEGER) AS r, CAST(id % 16 AS INTEGER) AS c"
+
+
+def _near(t: str) -> str:
+    return f"near AS (SELECT a.dem_id, a.r, a.c, a.z, a.dem_id * 256 + a.r * 16 + a.c AS id, k, code, dr, dc, b.r AS rn, b.c AS cn, b.z AS zn, b.dem_id * 256 + b.r * 16 + b.c AS idn FROM {t} a CROSS JOIN d8 JOIN {t} b ON b.dem_id = a.dem_id AND b.r = a.r + dr AND b.c = a.c + dc)"
+
+
+CODES = f"""{v.GRID}, {v.SPACE}, {D8}, {_near("grid")},
+slopes AS (SELECT near.*, (z - zn) / sqrt(dx * dc * (dx * dc) + dy * dr * (dy * dr)) AS slope FROM near JOIN space USING (dem_id, r)),
+best AS (SELECT id, code FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY slope DESC, k) AS n FROM slopes WHERE slope > 0) WHERE n = 1),
+codes AS (SELECT dem_id, r, c, {ID} AS id, CAST(coalesce(code, 0) AS INTEGER) AS code FROM grid LEFT JOIN best ON best.id = {ID})"""
+POINTERS = f"{CODES}, pointers AS (SELECT a.*, b.r AS rd, b.c AS cd, b.id AS down FROM codes a LEFT JOIN d8 ON d8.code = a.code LEFT JOIN codes b ON b.dem_id = a.dem_id AND b.r = a.r + dr AND b.c = a.c + dc)"
+AREAS = f"{POINTERS}, walk(id, pt) AS (SELECT id, id FROM pointers UNION ALL SELECT walk.id, down FROM walk JOIN pointers ON pointers.id = walk.pt WHERE down IS NOT NULL), areas AS (SELECT pt AS id, sum(dx * dy / 1000000) AS total FROM walk JOIN pointers ON pointers.id = walk.id JOIN space USING (dem_id, r) GROUP BY 1)"
+NEAR_SMALL = f"{v.SMALL}, {D8}, {_near('small')}"
+
+
+def _patches(cells: str, of: str = "near") -> str:
+    """Patches of a set of cells: lab (id, label)."""
+    return f"link AS (SELECT n.id AS a, n.idn AS b FROM {of} n JOIN {cells} x ON x.id = n.id JOIN {cells} y ON y.id = n.idn), reach(a, b) AS (SELECT id, id FROM {cells} UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b), lab AS (SELECT a AS id, min(b) AS label FROM reach GROUP BY 1)"
+
+
+def _spread(cells: str, seeds: str) -> str:
+    """Cells of patches with a seed within a step: hit (id)."""
+    return f"link AS (SELECT n.id AS a, n.idn AS b FROM near n JOIN {cells} x ON x.id = n.id JOIN {cells} y ON y.id = n.idn), hit(id) AS (SELECT w.id FROM {cells} w JOIN {seeds} s ON w.dem_id = s.dem_id AND abs(w.r - s.r) <= 1 AND abs(w.c - s.c) <= 1 UNION SELECT link.b FROM hit JOIN link ON link.a = hit.id)"
 
 
 # ---------------------------------------------------------------- flow tables
@@ -219,133 +239,218 @@ def g10_in_the_sea(spark, d):
     return network.in_the_sea(n, n.where("reach % 4 < 3 and reach > 500"))
 
 
-@query(f"WITH RECURSIVE {v.NETWORK}, down(reach, below) AS (SELECT reach, ds FROM network WHERE ds > 0 UNION ALL SELECT down.reach, ds FROM down JOIN network ON network.reach = down.below WHERE ds > 0) SELECT reach, below FROM down")
-def g3_g20_ancestors(spark, d):
+TOUR = f"{v.NETWORK}, down(reach, pt) AS (SELECT reach, reach FROM network UNION ALL SELECT down.reach, ds FROM down JOIN network ON network.reach = down.pt WHERE ds > 0), size AS (SELECT pt AS reach, count(*) AS m FROM down GROUP BY 1), off AS (SELECT reach, CASE WHEN ds > 0 THEN 1 + coalesce(sum(m) OVER (PARTITION BY ds ORDER BY reach ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) ELSE 0 END AS o FROM network JOIN size USING (reach)), tin AS (SELECT down.reach, CAST(sum(o) AS BIGINT) AS tin, CAST(count(*) - 1 AS INTEGER) AS depth, min(pt) AS root FROM down JOIN off ON off.reach = pt GROUP BY 1)"
+
+
+@query(f"WITH RECURSIVE {TOUR} SELECT reach, root, tin, CAST(tin + m - 1 AS BIGINT) AS tout, depth FROM tin JOIN size USING (reach)")
+def g3_tour(spark, d):
     return network.tour(v.network(spark, d))
 
 
+PAIRS = "pairs AS (SELECT DISTINCT o_custkey + 1 AS reach, o_orderkey % (SELECT count(*) FROM customer) // 4 + 1 AS other FROM orders)"
+
+
+@query(f"WITH RECURSIVE {TOUR}, {PAIRS} SELECT reach, other FROM pairs WHERE reach IN (SELECT reach FROM network) AND other IN (SELECT reach FROM network) AND (EXISTS (SELECT 1 FROM down WHERE down.reach = pairs.reach AND pt = other) OR EXISTS (SELECT 1 FROM network a JOIN network b USING (ds) WHERE ds > 0 AND a.reach = pairs.reach AND b.reach = other))")
+def g20_related(spark, d):
+    many = v.table(spark, d, "customer").agg(F.count("*").alias("m"))
+    pairs = v.table(spark, d, "orders").join(F.broadcast(many)).select((F.col("o_custkey") + 1).alias("reach"), F.expr("o_orderkey % m div 4 + 1").alias("other")).distinct()
+    return network.related(pairs, v.network(spark, d))
+
+
+@query("WITH n AS (SELECT c_custkey AS reach, CASE c_custkey % 4 WHEN 3 THEN c_custkey - 3 WHEN 2 THEN c_custkey + 1 WHEN 1 THEN c_custkey ELSE c_custkey + 2 END AS ds FROM customer) SELECT reach, CASE WHEN reach % 4 IN (1, 3) AND (reach % 4 = 1 OR reach - 3 IN (SELECT reach FROM n)) THEN -1 ELSE ds END AS ds FROM n WHERE reach > 3 AND reach // 4 < (SELECT max(reach) FROM n) // 4")
+def g7_break_cycles(spark, d):
+    n = v.table(spark, d, "customer").select(F.col("c_custkey").alias("reach"), F.expr("case c_custkey % 4 when 3 then c_custkey - 3 when 2 then c_custkey + 1 when 1 then c_custkey else c_custkey + 2 end").alias("ds"))
+    whole = n.agg(F.max("reach").alias("m"))  # rings of three and a reach that drains into itself, the last group left out as it may be cut off
+    n = n.join(F.broadcast(whole)).where("reach > 3 and reach div 4 < m div 4").drop("m")
+    return network.break_cycles(n)
+
+
 # ---------------------------------------------------------------- grids
 
 
-@query(f"WITH {CODES} SELECT r, c, code FROM codes")
+def _space(spark, d):
+    return grid.spacing(v.grids(spark, d))
+
+
+def _down(spark, d):
+    return grid.pointers(grid.flow_direction(v.grid(spark, d), _space(spark, d)))
+
+
+def _areas(spark, d):
+    down = _down(spark, d).join(_space(spark, d).withColumn("km2", F.col("dx") * F.col("dy") / 1e6), ["dem_id", "r"])
+    return hydro.flow_accumulation(down, "km2")
+
+
+@query(f"WITH {v.SPACE} SELECT dem_id, r, round(dx, 6) AS dx, round(dy, 6) AS dy FROM space")
+def g19_spacing(spark, d):
+    return _space(spark, d).select("dem_id", "r", F.round("dx", 6).alias("dx"), F.round("dy", 6).alias("dy"))
+
+
+@query(f"WITH {CODES} SELECT dem_id, r, c, code FROM codes")
 def r25_w6_flow_direction(spark, d):
-    return grid.flow_direction(v.grid(spark, d))
+    return grid.flow_direction(v.grid(spark, d), _space(spark, d))
 
 
-@query(f"WITH {POINTERS} SELECT id, down FROM pointers")
+@query(f"WITH {POINTERS} SELECT dem_id, r, c, rd, cd FROM pointers")
 def g1_pointers(spark, d):
-    return grid.pointers(grid.flow_direction(v.grid(spark, d)), 40)
+    return _down(spark, d)
 
 
-@query(f"WITH RECURSIVE {POINTERS}, walk(id, pt) AS (SELECT id, id FROM pointers UNION ALL SELECT walk.id, down FROM walk JOIN pointers ON pointers.id = walk.pt WHERE down IS NOT NULL) SELECT pt AS id, count(*) AS total FROM walk GROUP BY 1")
+@query(f"WITH {POINTERS} SELECT dem_id, r, c, round(coalesce(sqrt((cd - c) * dx * ((cd - c) * dx) + (rd - r) * dy * ((rd - r) * dy)), 0), 6) AS metres FROM pointers JOIN space USING (dem_id, r)")
+def g4_step_lengths(spark, d):
+    return grid.step_lengths(_down(spark, d), _space(spark, d)).withColumn("metres", F.round("metres", 6))
+
+
+@query(f"WITH RECURSIVE {AREAS} SELECT {BACK}, round(total, 8) AS total FROM areas")
 def g2_accumulation(spark, d):
-    return hydro.flow_accumulation(v.grid(spark, d), 40)
+    return _areas(spark, d).withColumn("total", F.round("total", 8))
 
 
-@query(f"WITH RECURSIVE {POINTERS}, walk(id, pt) AS (SELECT id, id FROM pointers UNION ALL SELECT walk.id, down FROM walk JOIN pointers ON pointers.id = walk.pt WHERE down IS NOT NULL), acc AS (SELECT pt AS id, count(*) AS total FROM walk GROUP BY 1) SELECT id, total, CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS node FROM acc WHERE total >= 8")
+@query(f"WITH RECURSIVE {AREAS} SELECT {BACK}, CAST(row_number() OVER (PARTITION BY id // 256 ORDER BY id) - 1 AS INTEGER) AS node FROM areas WHERE total >= 0.01")
 def g6_channel_network(spark, d):
-    from pyspark.sql import Window
+    return grid.channels(_areas(spark, d), 0.01).select("dem_id", "r", "c", "node")
 
-    net = hydro.flow_accumulation(v.grid(spark, d), 40).where("total >= 8")
-    # cells of one grid are numbered; grids are the partitions where there are several
-    return net.withColumn("node", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("id")) - 1)
+
+@query(f"WITH RECURSIVE {AREAS}, p AS (SELECT c_custkey AS point, c_custkey % (SELECT count(*) FROM supplier) + 1 AS dem_id, CAST(c_custkey % 19 - 1 AS INTEGER) AS r, CAST(c_custkey % 23 - 3 AS INTEGER) AS c FROM customer) SELECT point, round(coalesce(max(total), 0), 8) AS area FROM p LEFT JOIN (SELECT {BACK}, total FROM areas) a ON a.dem_id = p.dem_id AND abs(a.r - p.r) <= 2 AND abs(a.c - p.c) <= 2 GROUP BY 1")
+def g21_largest_near(spark, d):
+    many = v.table(spark, d, "supplier").agg(F.count("*").alias("m"))
+    p = v.table(spark, d, "customer").join(F.broadcast(many)).select(F.col("c_custkey").alias("point"), (F.col("c_custkey") % F.col("m") + 1).alias("dem_id"), (F.col("c_custkey") % 19 - 1).cast("int").alias("r"), (F.col("c_custkey") % 23 - 3).cast("int").alias("c"))
+    return grid.area_near(p, _areas(spark, d)).withColumn("area", F.round("area", 8))
 
 
-@query(f"WITH {NEAR_SMALL} SELECT r, c FROM near GROUP BY r, c HAVING count(*) FILTER (WHERE zn = z) >= 2")
+@query(f"WITH {NEAR_SMALL} SELECT dem_id, r, c FROM near GROUP BY 1, 2, 3 HAVING count(*) FILTER (WHERE zn = z) >= 2")
 def r9_level_cells(spark, d):
     return grid.level_cells(v.small_grid(spark, d))
 
 
-@query(f"WITH RECURSIVE {NEAR_SMALL}, lev AS (SELECT r, c FROM near GROUP BY r, c HAVING count(*) FILTER (WHERE zn = z) >= 2), link AS (SELECT n.r * 16 + n.c AS a, n.rn * 16 + n.cn AS b FROM near n JOIN lev x ON x.r = n.r AND x.c = n.c JOIN lev y ON y.r = n.rn AND y.c = n.cn), reach(a, b) AS (SELECT r * 16 + c, r * 16 + c FROM lev UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b), lab AS (SELECT a, min(b) AS label FROM reach GROUP BY 1) SELECT CAST(label AS BIGINT) AS label, count(*) AS cells FROM lab GROUP BY 1")
+LEVEL = f"{NEAR_SMALL}, lev AS (SELECT id FROM near GROUP BY id HAVING count(*) FILTER (WHERE zn = z) >= 2), {_patches('lev')}"
+
+
+@query(f"WITH RECURSIVE {LEVEL} SELECT {BACK}, n AS cells FROM (SELECT label AS id, count(*) AS n FROM lab GROUP BY 1)")
 def r30_a17_patch_sizes(spark, d):
-    return hydro.patch_sizes(grid.level_cells(v.small_grid(spark, d)), 16)
+    return hydro.patch_sizes(grid.level_cells(v.small_grid(spark, d)))
 
 
-@query(f"WITH RECURSIVE {NEAR_SMALL}, lev AS (SELECT r, c FROM near GROUP BY r, c HAVING count(*) FILTER (WHERE zn = z) >= 2), link AS (SELECT n.r * 16 + n.c AS a, n.rn * 16 + n.cn AS b FROM near n JOIN lev x ON x.r = n.r AND x.c = n.c JOIN lev y ON y.r = n.rn AND y.c = n.cn), reach(a, b) AS (SELECT r * 16 + c, r * 16 + c FROM lev UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b), lab AS (SELECT a, min(b) AS label FROM reach GROUP BY 1) SELECT CAST(a // 16 AS INTEGER) AS r, CAST(a % 16 AS INTEGER) AS c FROM lab WHERE label IN (SELECT label FROM lab GROUP BY 1 HAVING count(*) > 6)")
+@query(f"WITH RECURSIVE {LEVEL} SELECT {BACK} FROM lab WHERE label IN (SELECT label FROM lab GROUP BY 1 HAVING count(*) > 6)")
 def r10_flat_cells(spark, d):
-    return hydro.flat_cells(v.small_grid(spark, d), 16)
+    return hydro.flat_cells(v.small_grid(spark, d))
 
 
-@query(f"WITH RECURSIVE {NEAR_SMALL}, wet AS (SELECT r, c FROM small WHERE z <= 4), link AS (SELECT n.r * 16 + n.c AS a, n.rn * 16 + n.cn AS b FROM near n JOIN wet x ON x.r = n.r AND x.c = n.c JOIN wet y ON y.r = n.rn AND y.c = n.cn), hit(a) AS (SELECT w.r * 16 + w.c FROM wet w JOIN (SELECT r, c FROM small WHERE r = c AND r % 5 = 0) s ON abs(w.r - s.r) <= 1 AND abs(w.c - s.c) <= 1 UNION SELECT link.b FROM hit JOIN link ON link.a = hit.a) SELECT CAST(a // 16 AS INTEGER) AS r, CAST(a % 16 AS INTEGER) AS c FROM hit")
+@query(f"WITH RECURSIVE {NEAR_SMALL}, wet AS (SELECT *, {ID} AS id FROM small WHERE z <= 4), seed AS (SELECT * FROM small WHERE r = c AND r % 5 = 0), {_spread('wet', 'seed')} SELECT {BACK} FROM hit")
 def r11_touching_streams(spark, d):
     g = v.small_grid(spark, d)
-    return hydro.touching(g.where("z <= 4").select("r", "c"), g.where("r = c and r % 5 = 0").select("r", "c"), 16)
+    return hydro.touching(g.where("z <= 4"), g.where("r = c and r % 5 = 0"))
 
 
-@query(f"WITH {v.SMALL}, wet AS (SELECT r, c FROM small WHERE z <= 2) SELECT DISTINCT s.r, s.c FROM small s JOIN wet w ON abs(s.r - w.r) <= 1 AND abs(s.c - w.c) <= 1")
+@query(f"WITH {v.SMALL}, wet AS (SELECT * FROM small WHERE z <= 2) SELECT DISTINCT s.dem_id, s.r, s.c FROM small s JOIN wet w ON s.dem_id = w.dem_id AND abs(s.r - w.r) <= 1 AND abs(s.c - w.c) <= 1")
 def r31_dilate(spark, d):
     g = v.small_grid(spark, d)
     return grid.dilate(g.where("z <= 2"), g)
 
 
-@query(f"WITH {v.GRID} SELECT a.r, a.c FROM grid a WHERE " + " OR ".join(f"((SELECT coalesce(max(z), 9007199254740992) FROM grid b WHERE b.r = a.r + {dr} AND b.c = a.c + {dc}) - a.z >= 30000 AND (SELECT coalesce(max(z), 9007199254740992) FROM grid b WHERE b.r = a.r - {dr} AND b.c = a.c - {dc}) - a.z >= 30000)" for dr, dc in ((0, 2), (2, 0), (2, 2), (2, -2))))
+@query(f"WITH {v.GRID}, axes(a, dr, dc) AS (VALUES (0, 0, 2), (1, 2, 0), (2, 2, 2), (3, 2, -2)), e AS (SELECT g.dem_id, g.r, g.c, g.z, a, least(coalesce(x.z, 'inf'::DOUBLE), coalesce(y.z, 'inf'::DOUBLE)) AS low FROM grid g CROSS JOIN axes LEFT JOIN grid x ON x.dem_id = g.dem_id AND x.r = g.r + dr AND x.c = g.c + dc LEFT JOIN grid y ON y.dem_id = g.dem_id AND y.r = g.r - dr AND y.c = g.c - dc WHERE g.z % 7 <> 0) SELECT dem_id, r, c FROM e GROUP BY 1, 2, 3, z HAVING z <= max(low) - 30000")
 def r28_incised(spark, d):
-    return grid.incised(v.grid(spark, d), 30000)
+    g = v.grid(spark, d)
+    return grid.incised(g.withColumn("filled", F.when(F.col("z") % 7 == 0, F.col("z") + 1).otherwise(F.col("z"))), 30000)
+
+
+FILLED = f"{NEAR_SMALL}, level(t) AS (SELECT DISTINCT z FROM small), rim AS (SELECT s.dem_id, s.r, s.c, s.z FROM small s LEFT JOIN near USING (dem_id, r, c) GROUP BY 1, 2, 3, 4 HAVING count(idn) < 8), open(id, t) AS (SELECT {ID}, t FROM rim, level WHERE z <= t UNION SELECT near.idn, open.t FROM open JOIN near ON near.id = open.id WHERE near.zn <= open.t), filled AS (SELECT {BACK}, id, min(t) AS z FROM open GROUP BY id)"
 
 
-@query(f"WITH RECURSIVE {NEAR_SMALL}, level(t) AS (SELECT DISTINCT z FROM small), open(r, c, t) AS (SELECT r, c, t FROM small, level WHERE z <= t AND (SELECT count(*) FROM near n WHERE n.r = small.r AND n.c = small.c) < 8 UNION SELECT near.rn, near.cn, open.t FROM open JOIN near ON near.r = open.r AND near.c = open.c WHERE near.zn <= open.t) SELECT small.r, small.c, small.z, min(t) AS filled FROM small JOIN open ON small.r = open.r AND small.c = open.c GROUP BY 1, 2, 3")
+@query(f"WITH RECURSIVE {FILLED} SELECT s.dem_id, s.r, s.c, s.z, f.z AS filled FROM small s JOIN filled f USING (dem_id, r, c)")
 def r21_fill(spark, d):
     return hydro.fill(v.small_grid(spark, d))
 
 
-@query()
+@query(f"WITH RECURSIVE {FILLED} SELECT s.dem_id, s.r, s.c, CAST(s.z AS DOUBLE) AS z, CAST(f.z AS DOUBLE) AS filled FROM small s JOIN filled f USING (dem_id, r, c)")
 def r21_fill_kernel(spark, d):
-    g = v.small_grid(spark, d).select(F.lit("a").alias("dem_id"), "r", "c", F.col("z").cast("double").alias("z"))
-    return hydro.fill_kernel(g)
+    return hydro.fill_kernel(v.small_grid(spark, d))
 
 
-@query()
+# breadth first by UNION over (id, steps), bounded by the number of a grid's cells: the least steps count
+STEPS = f"""{FILLED}, fn AS (SELECT a.id, a.z, b.id AS idn, b.z AS zn FROM filled a CROSS JOIN d8 JOIN filled b ON b.dem_id = a.dem_id AND b.r = a.r + dr AND b.c = a.c + dc),
+flat AS (SELECT id, bool_or(zn > z) AS beside FROM fn GROUP BY id HAVING count(*) = 8 AND min(zn) >= min(z)),
+into_flat AS (SELECT fn.id, fn.idn FROM fn JOIN flat ON flat.id = fn.idn WHERE z = zn),
+tw(id, n) AS (SELECT DISTINCT id, 1 FROM into_flat WHERE id NOT IN (SELECT id FROM flat) UNION SELECT idn, n + 1 FROM tw JOIN into_flat USING (id) WHERE n < 40),
+aw(id, n) AS (SELECT id, 1 FROM flat WHERE beside UNION SELECT idn, n + 1 FROM aw JOIN into_flat USING (id) JOIN flat f ON f.id = aw.id WHERE n < 40),
+toward AS (SELECT id, min(n) AS t FROM tw GROUP BY 1), away AS (SELECT id, min(n) AS a FROM aw WHERE id IN (SELECT id FROM flat) GROUP BY 1),
+same(a, b) AS (SELECT id, id FROM filled UNION SELECT same.a, fn.idn FROM same JOIN fn ON fn.id = same.b AND fn.z = fn.zn), lab AS (SELECT a AS id, min(b) AS label FROM same GROUP BY 1),
+height AS (SELECT label, max(a) AS h FROM away JOIN lab USING (id) GROUP BY 1),
+steps AS (SELECT filled.id, CAST(coalesce(2 * t + coalesce(h - a, 0), 0) AS INTEGER) AS steps FROM filled LEFT JOIN toward USING (id) LEFT JOIN away USING (id) LEFT JOIN lab USING (id) LEFT JOIN height USING (label))"""
+
+
+@query(f"WITH RECURSIVE {STEPS} SELECT {BACK}, steps FROM steps")
 def r23_flat_gradient(spark, d):
-    g = hydro.fill(v.small_grid(spark, d)).select("r", "c", F.col("filled").alias("z"))
+    g = hydro.fill(v.small_grid(spark, d)).select("dem_id", "r", "c", F.col("filled").alias("z"))
     return hydro.flat_gradient(g)
 
 
-@query(f"WITH {v.GRID} SELECT r - 5 AS r, c - 7 AS c, z FROM grid WHERE r BETWEEN 5 AND 24 AND c BETWEEN 7 AND 16")
+@query(f"WITH RECURSIVE {STEPS}, {v.SPACE}, e AS (SELECT a.dem_id, a.r, a.c, k, code, (a.z - b.z) / sqrt(dx * dc * (dx * dc) + dy * dr * (dy * dr)) AS slope, (s.steps - t.steps) / sqrt(dx * dc * (dx * dc) + dy * dr * (dy * dr)) AS ease FROM filled a CROSS JOIN d8 JOIN filled b ON b.dem_id = a.dem_id AND b.r = a.r + dr AND b.c = a.c + dc JOIN steps s ON s.id = a.id JOIN steps t ON t.id = b.id JOIN space ON space.dem_id = a.dem_id AND space.r = a.r), best AS (SELECT dem_id, r, c, code FROM (SELECT *, row_number() OVER (PARTITION BY dem_id, r, c ORDER BY slope DESC, ease DESC, k) AS n FROM e WHERE slope > 0 OR slope = 0 AND ease > 0) WHERE n = 1) SELECT f.dem_id, f.r, f.c, CAST(coalesce(code, 0) AS INTEGER) AS code FROM filled f LEFT JOIN best USING (dem_id, r, c)")
+def r24_r26_drained(spark, d):
+    g = hydro.fill(v.small_grid(spark, d)).select("dem_id", "r", "c", F.col("filled").alias("z"))
+    return hydro.drained(g, _space(spark, d))
+
+
+@query(f"WITH {v.GRID} SELECT dem_id, r - 5 AS r, c - 7 AS c, z FROM grid WHERE r BETWEEN 5 AND 12 AND c BETWEEN 7 AND 12")
 def r5_crop(spark, d):
-    return grid.crop(v.grid(spark, d), 5, 7, 20, 10)
+    return grid.crop(v.grid(spark, d), 5, 7, 8, 6)
 
 
-@query("WITH x AS (SELECT CAST(l_partkey % 40 AS INTEGER) AS r, CAST(l_suppkey % 40 AS INTEGER) AS c, l_orderkey AS src, max(l_linenumber) AS v FROM lineitem GROUP BY 1, 2, 3) SELECT r, c, max_by(v, src) AS v FROM x GROUP BY 1, 2")
+@query("WITH x AS (SELECT l_suppkey AS dem_id, CAST(l_orderkey % 16 AS INTEGER) AS r, CAST(l_partkey % 16 AS INTEGER) AS c, l_orderkey AS src, max(l_linenumber) AS v FROM lineitem GROUP BY 1, 2, 3, 4) SELECT dem_id, r, c, max_by(v, src) AS v FROM x GROUP BY 1, 2, 3")
 def r1_w8_mosaic(spark, d):
-    x = v.table(spark, d, "lineitem").groupBy((F.col("l_partkey") % 40).cast("int").alias("r"), (F.col("l_suppkey") % 40).cast("int").alias("c"), F.col("l_orderkey").alias("src")).agg(F.max("l_linenumber").alias("v"))
+    x = v.table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("dem_id"), (F.col("l_orderkey") % 16).cast("int").alias("r"), (F.col("l_partkey") % 16).cast("int").alias("c"), F.col("l_orderkey").alias("src")).agg(F.max("l_linenumber").alias("v"))
     return grid.mosaic(x, "src", "v")
 
 
-@query(f"WITH {v.GRID}, n AS (SELECT CAST(r // 4 AS INTEGER) AS r, CAST(c // 4 AS INTEGER) AS c, z % 5 AS k, count(*) AS m FROM grid GROUP BY 1, 2, 3) SELECT r, c, k FROM (SELECT *, row_number() OVER (PARTITION BY r, c ORDER BY m DESC, k) AS i FROM n) WHERE i = 1")
+@query(f"WITH {v.GRID}, n AS (SELECT dem_id, CAST(r // 4 AS INTEGER) AS r, CAST(c // 4 AS INTEGER) AS c, z % 5 AS k, count(*) AS m FROM grid GROUP BY 1, 2, 3, 4) SELECT dem_id, r, c, k FROM (SELECT *, row_number() OVER (PARTITION BY dem_id, r, c ORDER BY m DESC, k) AS i FROM n) WHERE i = 1")
 def r4_land_cover_mode(spark, d):
-    return grid.mode_resample(v.grid(spark, d).select("r", "c", (F.col("z") % 5).alias("k")), 4, "k", 10)
+    return grid.mode_resample(v.grid(spark, d).select("dem_id", "r", "c", (F.col("z") % 5).alias("k")), 4, "k", 10)
+
 
+def _zones(g):
+    return g.select("dem_id", "r", "c", F.expr("cast(r div 4 * 10 + c div 4 as bigint)").alias("reach"))
 
-@query(f"WITH {v.GRID} SELECT CAST(r // 4 * 10 + c // 4 AS BIGINT) AS reach, min(z) AS low, greatest(max(z), 0) AS high, count(*) AS cells FROM grid GROUP BY 1")
+
+@query(f"WITH {v.GRID} SELECT dem_id, CAST(r // 4 * 10 + c // 4 AS BIGINT) AS reach, min(z) AS low, greatest(max(z), 0) AS high, count(*) AS cells FROM grid GROUP BY 1, 2")
 def a13_j12_zonal(spark, d):
     g = v.grid(spark, d)
-    return grid.zonal(g, g.select("r", "c", F.expr("cast(r div 4 * 10 + c div 4 as bigint)").alias("reach")))
+    return grid.zonal(g, _zones(g))
 
 
-@query(f"WITH {v.GRID}, s AS (SELECT CAST(r // 4 * 10 + c // 4 AS BIGINT) AS reach, quantile_cont(z, [0.1, 0.9]) AS q, count(*) AS n FROM grid GROUP BY 1) SELECT reach, round(greatest(q[2] - q[1], 0) / n, 6) AS slope FROM s")
+@query(f"WITH {v.GRID}, s AS (SELECT dem_id, CAST(r // 4 * 10 + c // 4 AS BIGINT) AS reach, quantile_cont(z, [0.1, 0.9]) AS q, count(*) AS n FROM grid GROUP BY 1, 2) SELECT dem_id, reach, round(greatest(q[2] - q[1], 0) / n, 6) AS slope FROM s")
 def a14_reach_slope(spark, d):
     g = v.grid(spark, d)
-    return grid.reach_slope(g, g.select("r", "c", F.expr("cast(r div 4 * 10 + c div 4 as bigint)").alias("reach")))
+    return grid.reach_slope(g, _zones(g))
+
+
+METRES = f"{v.GRID}, m AS (SELECT dem_id, CAST(CASE dem_id % 4 WHEN 0 THEN z // 100 WHEN 1 THEN z // 10 / 10.0 WHEN 2 THEN z / 100.0 ELSE z / 700.0 END AS FLOAT) AS z FROM grid)"
+
 
+def _metres(spark, d):
+    z = F.col("z")
+    k = F.col("dem_id") % 4
+    m = F.when(k == 0, F.floor(z / 100).cast("double")).when(k == 1, F.floor(z / 10) / 10.0).when(k == 2, z / 100.0).otherwise(z / 700.0)
+    return v.grid(spark, d).withColumn("z", m.cast("float"))
 
-@query(f"WITH {v.GRID} SELECT CAST(CASE WHEN avg((z % 1000 = 0)::INT) >= 0.9 THEN 1000 WHEN avg((z % 100 = 0)::INT) >= 0.9 THEN 100 WHEN avg((z % 10 = 0)::INT) >= 0.9 THEN 10 WHEN avg((z % 1 = 0)::INT) >= 0.9 THEN 1 ELSE 0 END AS INTEGER) AS step FROM grid")
+
+@query(f"WITH {METRES}, s AS (SELECT dem_id, " + ", ".join(f"avg(CASE WHEN CAST(round_even(CAST(z AS DOUBLE) / {x}::DOUBLE, 0) * {x}::DOUBLE AS FLOAT) = z THEN 1 ELSE 0 END) AS s{k}" for k, x in enumerate(("1.0", "0.1", "0.01", "0.001"))) + " FROM m GROUP BY 1) SELECT dem_id, CAST(CASE WHEN s0 >= 0.9 THEN 1 WHEN s1 >= 0.9 THEN 0.1 WHEN s2 >= 0.9 THEN 0.01 WHEN s3 >= 0.9 THEN 0.001 ELSE 0 END AS DOUBLE) AS step FROM s")
 def a15_height_step(spark, d):
-    return grid.height_step(v.grid(spark, d))
+    return grid.height_step(_metres(spark, d))
 
 
-@query(f"WITH {v.GRID} SELECT round(avg((z % 50 = 0)::INT), 6) AS share FROM grid")
+@query(f"WITH {METRES}, s AS (SELECT dem_id, avg(CASE WHEN z::DOUBLE * 2 = round_even(z::DOUBLE * 2, 0) THEN 1 ELSE 0 END) AS s FROM m GROUP BY 1) SELECT dem_id, round(s, 6) AS share, s >= 0.3 AS flattened FROM s")
 def a16_half_step_share(spark, d):
-    return grid.half_step_share(v.grid(spark, d), 50)
+    return grid.half_metres(_metres(spark, d))
 
 
-@query(f"WITH {v.SMALL}, wet AS (SELECT r, c FROM small WHERE z <= 1), x AS (SELECT s.r // 4 AS reach, max(CASE WHEN w.r IS NULL THEN 0 ELSE 1 END) AS b FROM small s LEFT JOIN wet w ON abs(s.r - w.r) <= 1 AND abs(s.c - w.c) <= 1 GROUP BY s.r, s.c) SELECT CAST(reach AS BIGINT) AS reach, round(avg(b), 6) AS beside, avg(b) < 0.5 AS narrow FROM x GROUP BY 1")
+@query(f"WITH {v.SMALL}, wet AS (SELECT * FROM small WHERE z <= 1), x AS (SELECT s.dem_id, s.r // 4 AS reach, max(CASE WHEN w.r IS NULL THEN 0 ELSE 1 END) AS b FROM small s LEFT JOIN wet w ON s.dem_id = w.dem_id AND abs(s.r - w.r) <= 1 AND abs(s.c - w.c) <= 1 GROUP BY s.dem_id, s.r, s.c) SELECT dem_id, CAST(reach AS BIGINT) AS reach, round(avg(b), 6) AS beside, avg(b) < 0.5 AS narrow FROM x GROUP BY 1, 2")
 def a18_beside_share(spark, d):
     g = v.small_grid(spark, d)
-    return grid.beside_share(g, g.select("r", "c", F.expr("cast(r div 4 as bigint)").alias("reach")), g.where("z <= 1"))
+    return grid.beside_share(g, g.select("dem_id", "r", "c", F.expr("cast(r div 4 as bigint)").alias("reach")), g.where("z <= 1"))
 
 
 def _near_sql(k: int) -> str:
-    return f"WITH {v.GRID}, f AS (SELECT r AS fr, c AS fc FROM grid WHERE z % 17 = 0), m AS (SELECT r, c, fr, fc, (r - fr) * (r - fr) + (c - fc) * (c - fc) AS d2 FROM grid, f) SELECT r, c, CAST(n AS INTEGER) AS rank, fr, fc, d2 FROM (SELECT *, row_number() OVER (PARTITION BY r, c ORDER BY d2, fr, fc) AS n FROM m WHERE d2 <= 36) WHERE n <= {k}"
+    return f"WITH {v.GRID}, f AS (SELECT dem_id, r AS fr, c AS fc FROM grid WHERE z % 17 = 0), m AS (SELECT dem_id, r, c, fr, fc, (r - fr) * (r - fr) + (c - fc) * (c - fc) AS d2 FROM grid JOIN f USING (dem_id)) SELECT dem_id, r, c, CAST(n AS INTEGER) AS rank, fr, fc, d2 FROM (SELECT *, row_number() OVER (PARTITION BY dem_id, r, c ORDER BY d2, fr, fc) AS n FROM m WHERE d2 <= 36) WHERE n <= {k}"
 
 
 @query(_near_sql(1))
@@ -360,48 +465,59 @@ def j9_w10_candidates(spark, d):
     return grid.nearest(g, g.where("z % 17 = 0"), 6, 16)
 
 
-@query(f"WITH {v.SMALL}, s AS (SELECT r AS fr, c AS fc, z + 3 AS wse FROM small WHERE z <= 3), m AS (SELECT r, c, z, wse, CAST((r - fr) * (r - fr) + (c - fc) * (c - fc) AS DOUBLE) AS d2 FROM small, s), g AS (SELECT r, c, z, coalesce(max(wse) FILTER (WHERE d2 = 0), sum(wse / d2) FILTER (WHERE d2 > 0) / sum(1 / d2) FILTER (WHERE d2 > 0)) AS level FROM m WHERE d2 <= 16 GROUP BY 1, 2, 3) SELECT r, c, round(level, 6) AS level, round(level, 6) > z AS flooded FROM g")
+@query(f"WITH {v.SMALL}, s AS (SELECT dem_id, r AS fr, c AS fc, z + 3 AS wse FROM small WHERE z <= 3), m AS (SELECT dem_id, r, c, z, wse, CAST((r - fr) * (r - fr) + (c - fc) * (c - fc) AS DOUBLE) AS d2 FROM small JOIN s USING (dem_id)), g AS (SELECT dem_id, r, c, z, coalesce(max(wse) FILTER (WHERE d2 = 0), sum(wse / d2) FILTER (WHERE d2 > 0) / sum(1 / d2) FILTER (WHERE d2 > 0)) AS level FROM m WHERE d2 <= 16 GROUP BY 1, 2, 3, 4) SELECT dem_id, r, c, round(level, 6) AS level, round(level, 6) > z AS flooded FROM g")
 def r20_set_depth(spark, d):
     g = v.small_grid(spark, d)
-    return grid.inverse_distance(g, g.where("z <= 3").select("r", "c", (F.col("z") + 3).alias("wse")), 4)
+    return grid.inverse_distance(g, g.where("z <= 3").select("dem_id", "r", "c", (F.col("z") + 3).alias("wse")), 4)
 
 
-@query(f"WITH {v.GRID} SELECT r, c FROM grid WHERE r + 0.5 > 4 AND c + 0.5 > 6 AND r + 0.5 < 20 AND c + 0.5 < 6 + (r + 0.5 - 4)")
+@query(f"WITH {v.GRID} SELECT dem_id, r, c FROM grid WHERE r + 0.5 > 2 AND c + 0.5 > 3 AND r + 0.5 < 14 AND c + 0.5 < 3 + (r + 0.5 - 2)")
 def r7_polygon_cells(spark, d):
-    edges = spark.createDataFrame([(6.0, 4.0, 22.0, 20.0), (22.0, 20.0, 6.0, 20.0), (6.0, 20.0, 6.0, 4.0)], "x1 double, y1 double, x2 double, y2 double")
-    return grid.in_polygon(v.grid(spark, d), edges)
+    g = v.grid(spark, d)
+    edges = g.select("dem_id").distinct().select("dem_id", F.inline(F.expr("array(named_struct('x1', 3.0D, 'y1', 2.0D, 'x2', 15.0D, 'y2', 14.0D), named_struct('x1', 15.0D, 'y1', 14.0D, 'x2', 3.0D, 'y2', 14.0D), named_struct('x1', 3.0D, 'y1', 14.0D, 'x2', 3.0D, 'y2', 2.0D))")))
+    return grid.in_polygon(g, edges)
 
 
-@query(f"WITH {v.GRID} SELECT r, c, (c * 50.0 <= 1500) AND ((z % 2 = 0 AND c * 50.0 <= greatest(2 * (r * 2.0), 60) AND z % 7 <= 2) OR (z % 7 <= 1 AND r * 2.0 > 0 AND c * 50.0 <= 1.5 * (r * 2.0))) AS channel FROM grid")
+@query(f"WITH {v.GRID} SELECT dem_id, r, c, (c * 50.0 <= 1500) AND ((z % 2 = 0 AND c * 50.0 <= greatest(2 * (r * 2.0), 60) AND z % 7 <= 2) OR (z % 7 <= 1 AND r * 2.0 > 0 AND c * 50.0 <= 1.5 * (r * 2.0))) AS channel FROM grid")
 def r13_channel_rule(spark, d):
-    g = v.grid(spark, d).select("r", "c", (F.col("c") * 50.0).alias("d"), (F.col("z") % 7).alias("rise"), (F.col("r") * 2.0).alias("width"), (F.col("z") % 2 == 0).alias("flat"))
-    return g.select("r", "c", grid.channel_rule("d", "rise", "width", "flat").alias("channel"))
+    g = v.grid(spark, d).select("dem_id", "r", "c", (F.col("c") * 50.0).alias("d"), (F.col("z") % 7).alias("rise"), (F.col("r") * 2.0).alias("width"), (F.col("z") % 2 == 0).alias("flat"))
+    return g.select("dem_id", "r", "c", grid.channel_rule("d", "rise", "width", "flat").alias("channel"))
 
 
-@query(f"WITH {v.NETWORK} SELECT CAST(reach % 12 AS INTEGER) AS r, CAST(reach % 7 AS INTEGER) AS c, max_by(reach, (ord, area, reach)) AS reach FROM network GROUP BY 1, 2")
+@query(f"WITH {v.NETWORK} SELECT CAST(ord AS BIGINT) AS dem_id, CAST(reach % 12 AS INTEGER) AS r, CAST(reach % 7 AS INTEGER) AS c, max_by(reach, (ord, area, reach)) AS reach FROM network GROUP BY 1, 2, 3")
 def r6_w7_stream_winner(spark, d):
-    n = v.network(spark, d).select((F.col("reach") % 12).cast("int").alias("r"), (F.col("reach") % 7).cast("int").alias("c"), "reach", "ord", "area")
+    n = v.network(spark, d).select(F.col("ord").cast("long").alias("dem_id"), (F.col("reach") % 12).cast("int").alias("r"), (F.col("reach") % 7).cast("int").alias("c"), "reach", "ord", "area")
     return grid.stream_winner(n)
 
 
-@query(f"WITH RECURSIVE {NEAR_SMALL}, seeds AS (SELECT r, c FROM small WHERE r = c AND z < 9), wet AS (SELECT * FROM (SELECT r, c FROM seeds UNION SELECT r, c FROM small WHERE z <= 3) WHERE NOT (r >= 12 AND c >= 12)), link AS (SELECT n.r * 16 + n.c AS a, n.rn * 16 + n.cn AS b FROM near n JOIN wet x ON x.r = n.r AND x.c = n.c JOIN wet y ON y.r = n.rn AND y.c = n.cn), hit(a) AS (SELECT w.r * 16 + w.c FROM wet w JOIN seeds s ON abs(w.r - s.r) <= 1 AND abs(w.c - s.c) <= 1 UNION SELECT link.b FROM hit JOIN link ON link.a = hit.a) SELECT CAST(a // 16 AS INTEGER) AS r, CAST(a % 16 AS INTEGER) AS c FROM hit")
+@query(f"WITH RECURSIVE {NEAR_SMALL}, seeds AS (SELECT dem_id, r, c FROM small WHERE r = c AND z < 9), wet AS (SELECT *, {ID} AS id FROM (SELECT dem_id, r, c FROM seeds UNION SELECT dem_id, r, c FROM small WHERE z <= 3) WHERE NOT (r >= 12 AND c >= 12)), {_spread('wet', 'seeds')} SELECT {BACK} FROM hit")
 def r17_water_mask(spark, d):
     g = v.small_grid(spark, d)
-    return hydro.water_mask(g.where("r = c and z < 9").select("r", "c"), g.where("z <= 3"), g.where("r >= 12 and c >= 12").select("r", "c"), 16)
+    return hydro.water_mask(g.where("r = c and z < 9"), g.where("z <= 3"), g.where("r >= 12 and c >= 12").select("dem_id", "r", "c"))
 
 
-@query(f"WITH {v.GRID} SELECT a.r, a.c, CAST(coalesce(max(b.z), 0) AS BIGINT) AS most FROM grid a LEFT JOIN grid b ON abs(a.r - b.r) <= 2 AND abs(a.c - b.c) <= 2 AND NOT (a.r = b.r AND a.c = b.c) GROUP BY 1, 2")
-def g21_largest_near(spark, d):
-    g = v.grid(spark, d)
-    near = grid.neighbours(g, 2).groupBy("r", "c").agg(F.max("zn").alias("most"))
-    return g.select("r", "c").join(near, ["r", "c"], "left").select("r", "c", F.coalesce("most", F.lit(0)).alias("most"))
+@query(f"WITH RECURSIVE {NEAR_SMALL}, streams AS (SELECT dem_id, r, c, r // 4 AS reach FROM small WHERE r = c), mask AS (SELECT dem_id, r, c FROM small WHERE z <= 4 OR r = c), water AS (SELECT *, {ID} AS id FROM mask WHERE r <> c), beside AS (SELECT s.dem_id, s.r, s.c, s.reach, max(CASE WHEN w.r IS NULL THEN 0 ELSE 1 END) AS b FROM streams s LEFT JOIN water w ON s.dem_id = w.dem_id AND abs(s.r - w.r) <= 1 AND abs(s.c - w.c) <= 1 GROUP BY 1, 2, 3, 4), wide AS (SELECT dem_id, r, c FROM beside JOIN (SELECT dem_id, reach FROM beside GROUP BY 1, 2 HAVING avg(b) >= 0.5) USING (dem_id, reach)), {_patches('water')}, kept AS (SELECT DISTINCT label FROM lab JOIN water USING (id) LEFT JOIN wide x ON x.dem_id = water.dem_id AND abs(x.r - water.r) <= 1 AND abs(x.c - water.c) <= 1 WHERE x.r IS NOT NULL OR water.r = 15) SELECT dem_id, r, c FROM streams UNION ALL SELECT {BACK} FROM lab WHERE label IN (SELECT label FROM kept)")
+def r18_one_cell_wide(spark, d):
+    g = v.small_grid(spark, d)
+    streams = g.where("r = c").select("dem_id", "r", "c", F.expr("r div 4").alias("reach"))
+    return hydro.one_cell_wide(g.where("z <= 4 or r = c"), streams, g.where("r = 15"))
 
 
-@query(f"WITH {v.GRID} SELECT r, c, CAST(row_number() OVER (PARTITION BY r ORDER BY c) AS INTEGER) AS nth FROM grid WHERE z % 3 = 0")
+@query(f"WITH {v.GRID} SELECT dem_id, r, c, CAST(row_number() OVER (PARTITION BY dem_id ORDER BY r, c) AS INTEGER) AS nth FROM grid WHERE z % 3 = 0")
 def w13_nth_valid(spark, d):
-    from pyspark.sql import Window
+    return grid.nth_valid(v.grid(spark, d).where("z % 3 = 0")).select("dem_id", "r", "c", "nth")
+
+
+@query(f"WITH {v.GRID} SELECT dem_id, r, c, z - 2000000.5::DOUBLE AS z FROM grid WHERE z - 2000000.5 >= -1000 AND NOT (r = 3 AND c > 9)")
+def p13_p14_valid_cells(spark, d):
+    g = v.grid(spark, d).withColumn("z", F.col("z") - 2000000.5)
+    return grid.valid(g, g.where("r = 3 and c > 9"))
+
 
-    return v.grid(spark, d).where("z % 3 = 0").select("r", "c", F.row_number().over(Window.partitionBy("r").orderBy("c")).alias("nth"))
+@query("WITH p AS (SELECT o_custkey AS path, o_orderkey AS pos, CAST(o_orderkey % 13 AS INTEGER) AS r, CAST(o_orderkey // 3 % 11 AS INTEGER) AS c FROM orders), x AS (SELECT *, lead(r) OVER w AS r2, lead(c) OVER w AS c2 FROM p WINDOW w AS (PARTITION BY path ORDER BY pos)), y AS (SELECT *, coalesce(greatest(abs(r2 - r), abs(c2 - c), 1), 1) AS n FROM x), z AS (SELECT *, unnest(range(0, n)) AS k FROM y) SELECT path, pos, CAST(k AS INTEGER) AS k, CASE WHEN k = 0 THEN r ELSE CAST(round_even(r + (r2 - r) * k / n, 0) AS INTEGER) END AS r, CASE WHEN k = 0 THEN c ELSE CAST(round_even(c + (c2 - c) * k / n, 0) AS INTEGER) END AS c FROM z")
+def m20_fill_gaps(spark, d):
+    o = v.table(spark, d, "orders").select(F.col("o_custkey").alias("path"), F.col("o_orderkey").alias("pos"), (F.col("o_orderkey") % 13).cast("int").alias("r"), F.expr("cast(o_orderkey div 3 % 11 as int)").alias("c"))
+    return grid.fill_gaps(o)
 
 
 # ---------------------------------------------------------------- exchange between tiles
@@ -454,7 +570,7 @@ def f8_f9_f17_f19_scalars(spark, d):
     return p.select(F.col("p_partkey").alias("id"), fn.half_floor(F.col("p_retailprice") / 7).cast("double").alias("half"), F.round(fn.feet(F.col("p_retailprice")), 6).alias("feet"), fn.reflected(F.col("p_partkey") - 700, 10).alias("mirror"), col.alias("col"))
 
 
-@query("SELECT s_suppkey AS id, round(111132.92 - 559.82 * cos(2 * radians(s_suppkey % 80)) + 1.175 * cos(4 * radians(s_suppkey % 80)) - 0.0023 * cos(6 * radians(s_suppkey % 80)), 4) AS north, round(111412.84 * cos(radians(s_suppkey % 80)) - 93.5 * cos(3 * radians(s_suppkey % 80)) + 0.118 * cos(5 * radians(s_suppkey % 80)), 4) AS east FROM supplier")
+@query("SELECT s_suppkey AS id, round(111132.92 - 559.82 * cos(2 * radians(s_suppkey % 80)) + 1.175 * cos(4 * radians(s_suppkey % 80)), 4) AS north, round(111412.84 * cos(radians(s_suppkey % 80)) - 93.5 * cos(3 * radians(s_suppkey % 80)), 4) AS east FROM supplier")
 def f6_metres_per_degree(spark, d):
     north, east = fn.metres_per_degree(F.col("s_suppkey") % 80)
     return v.table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.round(north, 4).alias("north"), F.round(east, 4).alias("east"))
@@ -478,7 +594,7 @@ def k13_expired(spark, d):
     return tables.expired(names, "2024-02-01", 20, "dem1")
 
 
-@query(f"WITH {v.SMALL}, m(k, n) AS (VALUES (10, 0.12), (20, 0.05), (30, 0.03), (40, 0.035), (50, 0.075), (60, 0.03), (70, 0.03), (80, 0.03), (90, 0.1), (95, 0.1), (100, 0.1)) SELECT r, c, CAST(n AS DOUBLE) AS n FROM small JOIN m ON k = (z + 1) * 10")
+@query(f"WITH {v.SMALL}, m(k, n) AS (VALUES (10, 0.12), (20, 0.05), (30, 0.03), (40, 0.035), (50, 0.075), (60, 0.03), (70, 0.03), (80, 0.03), (90, 0.1), (95, 0.1), (100, 0.1)) SELECT dem_id, r, c, CAST(n AS DOUBLE) AS n FROM small JOIN m ON k = (z + 1) * 10")
 def k12_roughness(spark, d):
-    g = v.small_grid(spark, d).select("r", "c", ((F.col("z") + 1) * 10).alias("k"))
-    return g.join(F.broadcast(tables.manning(spark)), F.col("k") == F.col("lc_id")).select("r", "c", "n")
+    g = v.small_grid(spark, d).select("dem_id", "r", "c", ((F.col("z") + 1) * 10).alias("k"))
+    return g.join(F.broadcast(tables.manning(spark)), F.col("k") == F.col("lc_id")).select("dem_id", "r", "c", "n")
