@@ -29,12 +29,26 @@ def crosses(x1: str, y1: str, x2: str, y2: str, at: float, lo: float, hi: float)
     return (F.least(x1, x2) <= at) & (F.greatest(x1, x2) >= at) & F.coalesce(y.between(lo, hi), (F.least(y1, y2) <= hi) & (F.greatest(y1, y2) >= lo))
 
 
-def crossing_reaches(segments: DataFrame, at: float, lo: float, hi: float) -> DataFrame:
-    return segments.where(crosses("x1", "y1", "x2", "y2", at, lo, hi)).select("reach").distinct()
+def crossing_reaches(segments: DataFrame, xmin: float, ymin: float, xmax: float, ymax: float, distance: float) -> DataFrame:
+    """Reaches that meet one of four lines, each inside an edge of a box by a distance and as long as the box."""
+    upright = [crosses("x1", "y1", "x2", "y2", x, ymin, ymax) for x in (xmin + distance, xmax - distance)]
+    level = [crosses("y1", "x1", "y2", "x2", y, xmin, xmax) for y in (ymin + distance, ymax - distance)]
+    return segments.where(upright[0] | upright[1] | level[0] | level[1]).select("reach").distinct()
 
 
-def boundary_water(vdt: DataFrame, crossing: DataFrame) -> DataFrame:
-    """Long rows (reach, flow, wse) of the rating curves of crossing reaches, nulls dropped."""
+#: Cells past the lines that still count as the boundary's.
+EDGE_CELLS = 3
+
+
+def near_edge(x: str, y: str, xmin: float, ymin: float, xmax: float, ymax: float, distance: float, cell: float) -> Column:
+    """Inside a box and no further in than a distance and a few cells."""
+    inward = F.least(F.col(x) - xmin, xmax - F.col(x), F.col(y) - ymin, ymax - F.col(y))
+    return (inward >= 0) & (inward <= distance + EDGE_CELLS * cell)
+
+
+def boundary_water(vdt: DataFrame, crossing: DataFrame, edge: Column | None = None) -> DataFrame:
+    """Long rows (reach, flow, wse) of the rating curves of crossing reaches, near the edge if that is given, nulls dropped."""
+    vdt = vdt if edge is None else vdt.where(edge)
     rows = vdt.join(crossing, "reach", "left_semi").select("reach", F.explode(F.arrays_zip("q", "wse")).alias("p"))
     return rows.select("reach", F.col("p.q").alias("flow"), F.col("p.wse").alias("wse")).where("flow is not null and wse is not null")
 

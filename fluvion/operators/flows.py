@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +20,9 @@ def ensemble_peak(flows: DataFrame, digits: int | None = 2) -> DataFrame:
 
 
 def single_value(flows: DataFrame) -> DataFrame:
-    """The latest flow as median, least and greatest."""
+    """The latest flow as median, least and greatest; nothing but nulls is an error."""
+    if not flows.where("qout is not null").limit(1).count():
+        raise ValueError("the forecast holds no flows")
     q = F.bround(F.max_by("qout", F.struct("time", "qout")), 2)
     return flows.groupBy("rivid").agg(q.alias("median")).select("rivid", "median", F.col("median").alias("min"), F.col("median").alias("max"))
 
@@ -36,10 +40,114 @@ def clean_periods(flows: DataFrame) -> DataFrame:
     return flows.where(f.isNotNull() & (f != 0) & ~F.isnan(f.cast("double")) & (f.cast("double") != float("inf")))
 
 
-def pivot_periods(flows: DataFrame, periods=tuple(RETURN_PERIODS)) -> DataFrame:
-    """A column rp<n> for each period, the mean of duplicates; the list of periods is fixed, so no extra job finds it."""
-    wide = clean_periods(flows).groupBy("river_id").pivot("rp", list(periods)).agg(F.round(F.avg("flow"), 3))
-    return wide.select("river_id", *[F.col(str(p)).alias(f"rp{p}") for p in periods])
+def pivot_periods(flows: DataFrame, periods=tuple(RETURN_PERIODS), wanted: DataFrame | None = None) -> DataFrame:
+    """A column rp<n> for each period: the mean of duplicates, of flows rounded to three digits and then cleaned. If none is left,
+    zeros for the wanted rivers (river_id). The list of periods is fixed, so no extra job finds it."""
+    clean = clean_periods(flows.withColumn("flow", F.bround("flow", 3)))
+    wide = clean.groupBy("river_id").pivot("rp", list(periods)).agg(F.avg("flow"))
+    wide = wide.select("river_id", *[F.col(str(p)).alias(f"rp{p}") for p in periods])
+    if wanted is None or clean.limit(1).count():
+        return wide
+    return wanted.select("river_id").distinct().select("river_id", *[F.lit(0.0).alias(f"rp{p}") for p in periods])
+
+
+def duration_variable(variables: list[str], chosen: str | None = None) -> str:
+    """Which of a table's curves counts: the one chosen, the annual one of hourly flows, or the only one."""
+    name = chosen or ("hourly_annual" if "hourly_annual" in variables else variables[0] if len(variables) == 1 else None)
+    if name not in variables:
+        raise ValueError(f"no flow-duration curve {name!r}: choose one of {sorted(variables)}")
+    return name
+
+
+def pivot_duration(flows: DataFrame, chosen: str | None = None, levels=tuple(EXCEEDANCE)) -> DataFrame:
+    """(river_id, p_exceed, one column for each curve) to a column p_exceed_<n> for each level, the mean of duplicates. A level that no
+    row has is an error."""
+    name = duration_variable([c for c in flows.columns if c not in ("river_id", "p_exceed")], chosen)
+    here = {float(r[0]) for r in flows.select("p_exceed").where(F.col("p_exceed").cast("double").isin([float(x) for x in levels])).distinct().collect()}  # at most the levels
+    missing = [x for x in levels if float(x) not in here]
+    if missing:
+        raise ValueError(f"no flows for exceedances of {missing} %")
+    wide = flows.groupBy("river_id").agg(*[F.avg(F.when(F.col("p_exceed") == x, F.col(name))).alias(f"p_exceed_{x}") for x in levels])
+    return wide
+
+
+def rounded(table: DataFrame, key: str, digits: int = 3) -> DataFrame:
+    """Every column but the key to three digits, halves to even."""
+    return table.select(key, *[F.bround(F.col(c), digits).alias(c) for c in table.columns if c != key])
+
+
+class NoStreams(ValueError):
+    """Nothing is left to work on."""
+
+
+def flow_table(periods: DataFrame, curves: DataFrame | None, wanted: DataFrame, high: str, low: str | None = None, least: float | None = None, drop_missing: bool = True, levels=tuple(EXCEEDANCE)) -> DataFrame:
+    """The table of flow statistics (COMID, p_exceed_<n>, rp<n>, premium columns) of the wanted rivers (river_id): missing rivers are
+    dropped or an error, periods and curves pivoted and put side by side, high flows raised, and reaches whose low flow is
+    below the least one left out. An empty table, or one whose mean high flow isn't positive, is an error."""
+    wanted = wanted.select("river_id").where("river_id is not null").distinct()
+    periods = check_rivers(periods, wanted, drop_missing)
+    wide = pivot_periods(periods, wanted=wanted.join(periods.select("river_id"), "river_id", "left_semi"))
+    if curves is not None:
+        wide = full_outer(pivot_duration(check_rivers(curves, wanted, drop_missing), levels=levels), wide, "river_id")
+    for name in ("p_exceed_0", "rp100"):
+        if name in wide.columns:
+            wide = wide.withColumn(f"{name}_premium", premium(name))
+    if not (wide.agg(F.avg(high)).first()[0] or 0) > 0:
+        raise NoStreams("no streamflow for these rivers")
+    if least and low not in wide.columns:
+        warnings.warn(f"no column {low!r}: the least baseflow is not applied", stacklevel=2)
+    elif least:
+        wide = baseflow_between(wide, low, least)
+        if not wide.limit(1).count():
+            raise NoStreams("no river has the least baseflow")
+    return rounded(wide.withColumnRenamed("river_id", "COMID"), "COMID")
+
+
+def check_coefficients(frames: list[DataFrame], weight: str = "Cross_Section_Count", key: str = "COMID") -> DataFrame:
+    """The union of coefficient tables that are fit to be averaged: the same columns, a key in every row, positive whole counts."""
+    if not frames:
+        raise ValueError("no coefficients were given")
+    names = frames[0].columns
+    if not {key, weight} <= set(names) or len(names) < 3:
+        raise ValueError(f"coefficients need {key}, {weight} and a column more")
+    if any(set(f.columns) != set(names) for f in frames):
+        raise ValueError("coefficient tables differ in their columns")
+    whole = frames[0]
+    for f in frames[1:]:
+        whole = whole.unionByName(f)
+    n = F.col(weight).cast("double")
+    bad = whole.where(F.col(key).isNull() | n.isNull() | F.isnan(n) | (n <= 0) | (n % 1 != 0) | (n == float("inf")))
+    if bad.limit(1).count():
+        raise ValueError(f"every row needs a {key} and a positive whole {weight}")
+    return whole.withColumn(weight, n.cast("long"))
+
+
+def peaks_of_members(members: list[DataFrame], digits: int | None = 2) -> DataFrame:
+    """ensemble_peak over members that stand in tables of their own."""
+    whole = members[0]
+    for m in members[1:]:
+        whole = whole.unionByName(m)
+    return ensemble_peak(whole, digits)
+
+
+def river_ids(table: DataFrame, column: str) -> DataFrame:
+    """Distinct whole ids that aren't null."""
+    return table.select(F.col(column).try_cast("long").alias("river_id")).where("river_id is not null").distinct()
+
+
+def time_span(flows: DataFrame) -> DataFrame:
+    return flows.agg(F.min("time").alias("first"), F.max("time").alias("last"))
+
+
+def numeric_columns(table: DataFrame) -> list[str]:
+    """All but the first column that hold numbers."""
+    numbers = ("byte", "short", "integer", "long", "float", "double", "decimal")
+    return [f.name for f in table.schema.fields[1:] if f.dataType.typeName() in numbers]
+
+
+def median_rise(rises: DataFrame, key: str, value: str) -> DataFrame:
+    """The median of each key's values, those that are null or not a number left out."""
+    return rises.groupBy(key).agg(F.median(F.when(~F.isnan(value), F.col(value))).alias("median"), F.count_if(~F.isnan(value) & F.col(value).isNotNull()).alias("n"))
 
 
 def unpivot(wide: DataFrame, key: str, prefix: str) -> DataFrame:
@@ -88,8 +196,13 @@ def look_up(flows: DataFrame, wanted: DataFrame) -> DataFrame:
     return wanted.join(flows, "river_id").select("pos", "river_id", "flow")
 
 
+def widest(reaches: DataFrame) -> DataFrame:
+    """The greatest mean top width of any reach."""
+    return reaches.agg(F.max("top_width").alias("top_width"))
+
+
 def power_law(curves: DataFrame, flows: DataFrame, fraction: float = 0.1) -> DataFrame:
-    """Mean top width and depth of each reach at a fraction of its flow; only curves whose four numbers are positive."""
+    """Mean top width and depth of each reach at a fraction of its flow, 0 where it has none; only curves whose four numbers are positive."""
     good = curves.where("depth_a > 0 and depth_b > 0 and tw_a > 0 and tw_b > 0")
     q = F.col("q") * fraction
     met = good.join(flows, "comid").groupBy("comid").agg(F.round(F.avg(F.col("tw_a") * F.pow(q, F.col("tw_b"))), 6).alias("top_width"), F.round(F.avg(F.col("depth_a") * F.pow(q, F.col("depth_b"))), 6).alias("depth"))

@@ -198,7 +198,7 @@ def inverse_distance(cells: DataFrame, sources: DataFrame, radius: int) -> DataF
     own = F.max(F.when(F.col("d2") == 0, F.col("wse")))
     w = F.when(F.col("d2") > 0, 1 / F.col("d2"))
     g = met.groupBy(*CELL, "z").agg(F.coalesce(own, F.sum(F.col("wse") * w) / F.sum(w)).alias("level"))
-    return g.select(*CELL, F.round("level", 6).alias("level"), (F.round("level", 6) > F.col("z")).alias("flooded"))
+    return g.select(*CELL, F.round("level", 11).alias("level"), (F.round("level", 11) > F.col("z")).alias("flooded"))
 
 
 def in_polygon(cells: DataFrame, edges: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def fill(cells: DataFrame) -> DataFrame:
         low = neighbours(s.select(*CELL, F.col("w").alias("z"))).groupBy(*CELL).agg(F.min("zn").alias("low"))
         return s.join(low, CELL, "left").select(*CELL, "z", F.greatest("z", F.least("w", "low")).alias("w"))
 
-    return fx.fixpoint(start, step, F.sum("w")).select(*CELL, "z", F.col("w").alias("filled"))
+    return fx.fixpoint(start, step, F.bit_xor(F.xxhash64(*CELL, "w"))).select(*CELL, "z", F.col("w").alias("filled"))
 
 
 def fill_array(z: np.ndarray) -> np.ndarray:
@@ -63,11 +63,59 @@ def fill_kernel(cells: DataFrame) -> DataFrame:
     return cells.where("z is not null").select(*CELL, F.col("z").cast("double").alias("z")).groupBy("dem_id").applyInPandas(run, f"dem_id {cells.schema['dem_id'].dataType.simpleString()}, r int, c int, z double, filled double")
 
 
-def label(cells: DataFrame) -> DataFrame:
-    """(dem_id, r, c, label): 8-connected patches of a set of cells; the label is the first cell by row and column."""
-    near = neighbours(cells.select(*CELL, F.lit(1).alias("z")), self_too=True)
-    labels = fx.components(near.select(F.struct(*CELL).alias("a"), F.struct("dem_id", F.col("rn").alias("r"), F.col("cn").alias("c")).alias("b")))
-    return labels.select("id.dem_id", "id.r", "id.c", "label")
+#: Rows and columns of a tile, which is what a task labels at once.
+TILE = 256
+
+
+def label_array(on: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """The flat index of the first cell of each cell's patch: 8-connected cells that are on and of one height; -1 off them."""
+    rows, cols = on.shape
+    free = rows * cols
+    lab = np.full((rows + 2, cols + 2), free, np.int64)
+    inner = lab[1:-1, 1:-1]
+    inner[on] = np.flatnonzero(on.ravel())
+    high = np.full((rows + 2, cols + 2), np.nan)
+    high[1:-1, 1:-1] = z
+    while True:
+        best = inner.copy()
+        for i in (0, 1, 2):
+            for j in (0, 1, 2):
+                near = lab[i : i + rows, j : j + cols]
+                best = np.where((high[i : i + rows, j : j + cols] == z) & (near < best), near, best)
+        best[~on] = free
+        best[on] = np.r_[best.ravel(), free][best[on]]  # to the label of the cell that the label names
+        if (best == inner).all():
+            return np.where(on, best, -1)
+        inner[:] = best
+
+
+def label(cells: DataFrame, value: str | None = None) -> DataFrame:
+    """(dem_id, r, c, label): 8-connected patches of a set of cells, with `value` only of equal values; the label is the first cell
+    by row and column. Tiles are labelled by themselves, and then patches that meet across tiles are joined."""
+    tile = lambda x: F.floor(F.col(x) / TILE)
+    cells = cells.select(*CELL, (F.col(value) if value else F.lit(0)).cast("double").alias("z"))
+    kind = cells.schema["dem_id"].dataType.simpleString()
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        r0, c0 = pdf.r.min(), pdf.c.min()
+        z = np.full((pdf.r.max() - r0 + 1, pdf.c.max() - c0 + 1), np.nan)
+        z[pdf.r - r0, pdf.c - c0] = pdf.z
+        of = label_array(~np.isnan(z), z)[pdf.r - r0, pdf.c - c0]
+        return pdf[["dem_id", "r", "c", "z"]].assign(lr=(r0 + of // z.shape[1]).astype("int32"), lc=(c0 + of % z.shape[1]).astype("int32"))
+
+    tiled = cells.groupBy("dem_id", tile("r").alias("tr"), tile("c").alias("tc")).applyInPandas(run, f"dem_id {kind}, r int, c int, z double, lr int, lc int")
+    tiled = fx.settle(tiled.select(*CELL, "z", F.struct("dem_id", F.col("lr").alias("r"), F.col("lc").alias("c")).alias("own")))
+    at_edge = lambda x: F.pmod(F.col(x), F.lit(TILE)).isin(0, TILE - 1)
+    rim = tiled.where(at_edge("r") | at_edge("c"))
+    there = rim.select(F.col("dem_id").alias("_d"), F.col("r").alias("rn"), F.col("c").alias("cn"), F.col("z").alias("_z"), F.col("own").alias("b"))
+    met = neighbours(rim).withColumnsRenamed({"rn": "_rn", "cn": "_cn"})
+    met = met.join(there, (met["dem_id"] == there["_d"]) & (met["_rn"] == there["rn"]) & (met["_cn"] == there["cn"]))
+    across = (tile("r") != tile("rn")) | (tile("c") != tile("cn"))
+    edges = fx.settle(met.where(across & (F.col("z") == F.col("_z"))).select(F.col("own").alias("a"), "b").distinct())
+    if not edges.limit(1).count():
+        return tiled.select(*CELL, F.col("own").alias("label"))
+    whole = fx.components(edges)
+    return tiled.join(whole, F.col("own") == F.col("id"), "left").select(*CELL, F.coalesce("label", "own").alias("label"))
 
 
 def flat_cells(cells: DataFrame, more_than: int = 6) -> DataFrame:
@@ -85,9 +133,7 @@ def patch_sizes(cells: DataFrame) -> DataFrame:
 def touching(cells: DataFrame, seeds: DataFrame) -> DataFrame:
     """Cells of the patches that have a seed within a step."""
     patches = label(cells)
-    near = neighbours(seeds.select(*CELL, F.lit(1).alias("z")).unionByName(cells.select(*CELL, F.lit(1).alias("z"))).distinct(), self_too=True)
-    by_seed = near.join(seeds.select(*CELL), CELL, "left_semi").select("dem_id", F.col("rn").alias("r"), F.col("cn").alias("c")).distinct()
-    good = patches.join(by_seed, CELL, "left_semi").select("label").distinct()
+    good = patches.join(grown(seeds), CELL, "left_semi").select("label").distinct()
     return patches.join(good, "label", "left_semi").select(*CELL)
 
 
@@ -99,10 +145,10 @@ def one_cell_wide(mask: DataFrame, streams: DataFrame, lakes: DataFrame, narrow:
     on = fx.settle(streams.join(beside, CELL, "left").select(*CELL, "reach", F.coalesce("_b", F.lit(0)).alias("b")))
     wide = on.groupBy("dem_id", "reach").agg(F.avg("b").alias("s")).where(F.col("s") >= 1 - narrow)
     wide = on.join(wide, ["dem_id", "reach"], "left_semi").select(*CELL)
-    kept = touching(water, wide)
-    in_lakes = label(water)
-    some = in_lakes.join(lakes.select(*CELL), CELL, "left_semi").select("label").distinct()
-    kept = kept.unionAll(in_lakes.join(some, "label", "left_semi").select(*CELL)).distinct()
+    patches = fx.settle(label(water))
+    seeds = grown(wide).unionAll(lakes.select(*CELL)).distinct()
+    good = patches.join(seeds, CELL, "left_semi").select("label").distinct()
+    kept = patches.join(good, "label", "left_semi").select(*CELL)
     return mask.select(*CELL).join(streams.select(*CELL), CELL, "left_semi").unionAll(kept)
 
 
@@ -144,8 +190,7 @@ def flat_gradient(cells: DataFrame) -> DataFrame:
         return s.join(low, CELL, "left").select(*CELL, F.least("toward", F.col("t") + 1).alias("toward"), F.least("away", F.col("a") + 1).alias("away"))
 
     far = fx.fixpoint(start, step, F.struct(F.count("toward"), F.sum("toward"), F.count("away"), F.sum("away")))
-    labels = fx.components(level.select(F.struct(*CELL).alias("a"), F.struct("dem_id", F.col("rn").alias("r"), F.col("cn").alias("c")).alias("b")))
-    met = far.withColumn("_i", F.struct(*CELL)).join(labels, F.col("_i") == F.col("id"), "left")
+    met = far.join(label(cells, "z"), CELL)
     height = met.groupBy(F.col("label").alias("_l")).agg(F.max("away").alias("height"))
     met = met.join(height, F.col("label") == F.col("_l"), "left")
     return met.select(*CELL, F.coalesce(2 * F.col("toward") + F.coalesce(F.col("height") - F.col("away"), F.lit(0)), F.lit(0)).cast("int").alias("steps"))

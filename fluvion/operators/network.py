@@ -168,3 +168,27 @@ def break_cycles(net: DataFrame) -> DataFrame:
     entry = depth(ends).join(cycle.withColumnRenamed("id", "root"), "root").groupBy("label").agg(F.min_by("root", "id").alias("first"))
     closing = loop.join(entry, F.col("down") == F.col("first")).select(F.col("id").alias("_x"))
     return net.join(closing, F.col("reach") == F.col("_x"), "left").withColumn("ds", F.when(F.col("_x").isNull(), F.col("ds")).otherwise(-1)).drop("_x")
+
+
+def with_attributes(moved: DataFrame, source: DataFrame, columns: list[str], order: str) -> DataFrame:
+    """Moved reaches with attributes of the source's first row for each id, null where it has none."""
+    first = source.groupBy("reach").agg(*[F.min_by(c, order).alias(c) for c in columns])
+    return moved.join(first, "reach", "left")
+
+
+def bounded_orders(net: DataFrame, cells: DataFrame, low: int | None, high: int | None) -> tuple[DataFrame, DataFrame]:
+    """Reaches within bounds of order, and the raster cells (with a column reach) that are theirs."""
+    kept = orders_between(net, low, high)
+    return mend_outlets(kept), cells.join(kept.select("reach"), "reach", "left_semi")
+
+
+def changed_ids(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(reach, change): ids that came and that went."""
+    went = before.select("reach").distinct().join(after.select("reach"), "reach", "left_anti").withColumn("change", F.lit("went"))
+    return went.unionAll(after.select("reach").distinct().join(before.select("reach"), "reach", "left_anti").withColumn("change", F.lit("came")))
+
+
+def warning_places(flagged: DataFrame, reaches: DataFrame) -> DataFrame:
+    """(lat, lon): whole degrees, towards 0, of the reaches (reach, lat, lon) with a return period flagged (reach, ret_per > 0)."""
+    hit = flagged.where("ret_per > 0").select("reach").distinct()
+    return reaches.join(hit, "reach", "left_semi").select(F.col("lat").cast("int").alias("lat"), F.col("lon").cast("int").alias("lon")).distinct()

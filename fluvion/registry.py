@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .functions import scalars as fn
-from .operators import exchange, flows, grid, hydro, network
+from .operators import exchange, flows, grid, hydro, lines, network
 from .plans import views as v
 from .sources import tables
 
@@ -75,9 +75,68 @@ def a5_flow_duration(spark, d):
     return flows.flow_duration(v.ensemble(spark, d).select(F.col("rivid").alias("river_id"), F.col("qout").alias("flow")))
 
 
-@query(f"WITH {v.RP} SELECT river_id, " + ", ".join(f"round(avg(flow) FILTER (WHERE rp = {p} AND flow <> 0), 3) AS rp{p}" for p in (2, 5, 10, 25, 50, 100)) + " FROM rp WHERE flow <> 0 GROUP BY 1")
+@query(f"WITH {v.RP} SELECT river_id, " + ", ".join(f"CAST(round_even(avg(flow) FILTER (WHERE rp = {p} AND flow <> 0), 3) AS DOUBLE) AS rp{p}" for p in (2, 5, 10, 25, 50, 100)) + " FROM rp WHERE flow <> 0 GROUP BY 1")
 def a7_return_periods(spark, d):
-    return flows.pivot_periods(v.return_periods(spark, d))
+    return flows.rounded(flows.pivot_periods(v.return_periods(spark, d)), "river_id")
+
+
+@query(f"WITH {v.RP} SELECT DISTINCT river_id, " + ", ".join(f"0.0::DOUBLE AS rp{p}" for p in (2, 5, 10, 25, 50, 100)) + " FROM rp")
+def a7_no_return_periods(spark, d):
+    """Nothing but zeros and nulls: a zero for every wanted river."""
+    rp = v.return_periods(spark, d)
+    return flows.pivot_periods(rp.withColumn("flow", F.when(F.col("rp") > 5, 0)), wanted=rp)
+
+
+def _curves(spark, d):
+    level = F.element_at(F.array(*map(F.lit, (0, 5, 50, 100))), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    return v.table(spark, d, "orders").select(F.col("o_custkey").alias("river_id"), level.alias("p_exceed"), F.floor("o_totalprice").alias("hourly_annual"), F.lit(1.0).alias("other"))
+
+
+CURVES = "curves AS (SELECT o_custkey AS river_id, [0, 5, 50, 100][o_orderkey % 4 + 1] AS p_exceed, CAST(floor(o_totalprice) AS BIGINT) AS q FROM orders)"
+
+
+@query(f"WITH {CURVES} SELECT river_id, " + ", ".join(f"round(avg(q) FILTER (WHERE p_exceed = {p}), 4) AS p_exceed_{p}" for p in (0, 5, 50, 100)) + " FROM curves GROUP BY 1")
+def a8_duration_pivot(spark, d):
+    wide = flows.pivot_duration(_curves(spark, d), levels=(0, 5, 50, 100))
+    return wide.select("river_id", *[F.round(f"p_exceed_{p}", 4).alias(f"p_exceed_{p}") for p in (0, 5, 50, 100)])
+
+
+@query(f"WITH {v.RP}, {CURVES}, w AS (SELECT DISTINCT o_custkey AS river_id FROM orders WHERE o_custkey % 3 > 0), p AS (SELECT river_id, " + ", ".join(f"avg(flow) FILTER (WHERE rp = {p}) AS rp{p}" for p in (2, 5, 10, 25, 50, 100)) + " FROM rp WHERE flow <> 0 AND river_id IN (SELECT river_id FROM w) GROUP BY 1), f AS (SELECT river_id, " + ", ".join(f"avg(q) FILTER (WHERE p_exceed = {p}) AS p_exceed_{p}" for p in (0, 5, 50, 100)) + " FROM curves WHERE river_id IN (SELECT river_id FROM w) GROUP BY 1) SELECT coalesce(f.river_id, p.river_id) AS comid, " + ", ".join(f"CAST(round_even({c}, 3) AS DOUBLE) AS {c}" for c in ("rp2", "rp5", "rp10", "rp25", "rp50", "rp100", "p_exceed_0", "p_exceed_5", "p_exceed_50", "p_exceed_100")) + ", CAST(round_even(1.5::DOUBLE * p_exceed_0 + 50, 3) AS DOUBLE) AS p_exceed_0_premium, CAST(round_even(1.5::DOUBLE * rp100 + 50, 3) AS DOUBLE) AS rp100_premium FROM f FULL JOIN p ON f.river_id = p.river_id WHERE p_exceed_50 >= 10000")
+def x6_flow_table(spark, d):
+    wanted = v.table(spark, d, "orders").where("o_custkey % 3 > 0").select(F.col("o_custkey").alias("river_id"))
+    t = flows.flow_table(v.return_periods(spark, d), _curves(spark, d), wanted, "rp2", "p_exceed_50", 10000, levels=(0, 5, 50, 100))
+    return t.withColumnRenamed("COMID", "comid")
+
+
+@query(f"WITH {v.ENSEMBLE}, peak AS (SELECT ensemble, rivid, max(round_even(qout, 2)) AS p FROM ensemble GROUP BY 1, 2) SELECT rivid, CAST(median(p) AS DOUBLE) AS median, CAST(min(p) AS DOUBLE) AS min, CAST(max(p) AS DOUBLE) AS max FROM peak GROUP BY 1")
+def a3_j14_members_apart(spark, d):
+    e = v.ensemble(spark, d)
+    names = [r[0] for r in e.select("ensemble").distinct().collect()]  # a handful of members
+    return flows.peaks_of_members([e.where(F.col("ensemble") == n) for n in names])
+
+
+@query("WITH x AS (SELECT o_custkey AS comid, o_orderkey % 9 + 1 AS n, o_orderkey % 1000 / 8.0 AS a FROM orders UNION ALL SELECT o_custkey, o_orderkey % 5 + 1, o_orderkey % 100 / 4.0 FROM orders WHERE o_orderkey % 2 = 0) SELECT comid, CAST(sum(n) AS BIGINT) AS n, round(CAST(sum(a * n) AS DOUBLE) / sum(n), 6) AS a FROM x GROUP BY 1")
+def a11_w11_coefficients(spark, d):
+    o = v.table(spark, d, "orders")
+    one = o.select(F.col("o_custkey").alias("comid"), (F.col("o_orderkey") % 9 + 1).alias("n"), (F.col("o_orderkey") % 1000 / 8).alias("a"))
+    two = o.where("o_orderkey % 2 = 0").select((F.col("o_orderkey") % 100 / 4).alias("a"), (F.col("o_orderkey") % 5 + 1).alias("n"), F.col("o_custkey").alias("comid"))
+    return flows.weighted_means(flows.check_coefficients([one, two], "n", "comid"), "comid", "n", ["a"])
+
+
+@query("SELECT o_custkey AS reach, median(CASE WHEN o_orderkey % 5 > 0 THEN o_totalprice END) AS median, count(*) FILTER (WHERE o_orderkey % 5 > 0) AS n FROM orders GROUP BY 1")
+def a23_median_rise(spark, d):
+    rise = F.when(F.col("o_orderkey") % 5 > 0, F.col("o_totalprice")).when(F.col("o_orderkey") % 10 == 0, F.lit(float("nan")))
+    return flows.median_rise(v.table(spark, d, "orders").select(F.col("o_custkey").alias("reach"), rise.alias("v")), "reach", "v")
+
+
+@query("SELECT DISTINCT CAST(k AS BIGINT) AS river_id FROM (SELECT json_extract_string(props, '$.k') AS k FROM events) WHERE try_cast(k AS BIGINT) IS NOT NULL")
+def a24_s29_river_ids(spark, d):
+    return flows.river_ids(v.table(spark, d, "events").select(F.get_json_object("props", "$.k").alias("k")), "k")
+
+
+@query("SELECT min(ts) AS first, max(ts) AS last FROM events")
+def s29_time_span(spark, d):
+    return flows.time_span(v.ensemble(spark, d))
 
 
 @query(f"WITH {v.RP}, w AS (SELECT river_id, " + ", ".join(f"max(flow) FILTER (WHERE rp = {p}) AS rp{p}" for p in (2, 5, 10, 25, 50)) + " FROM rp GROUP BY 1) SELECT river_id, round_even(greatest(rp2, rp5, rp10, rp25, rp50) / 1000.0, 3)::DOUBLE AS high FROM w")
@@ -103,6 +162,15 @@ def a10_weighted_means(spark, d):
 
 @query("WITH c AS (SELECT l_partkey AS comid, l_discount AS depth_a, l_tax AS depth_b, l_quantity AS tw_a, l_tax AS tw_b FROM lineitem), q AS (SELECT p_partkey AS comid, p_retailprice AS q FROM part), m AS (SELECT comid, round(avg(tw_a * pow(q * 0.1, tw_b)), 6) AS top_width, round(avg(depth_a * pow(q * 0.1, depth_b)), 6) AS depth FROM c JOIN q USING (comid) WHERE depth_a > 0 AND depth_b > 0 AND tw_a > 0 AND tw_b > 0 GROUP BY 1) SELECT comid, coalesce(top_width, 0) AS top_width, coalesce(depth, 0) AS depth FROM (SELECT DISTINCT comid FROM q) LEFT JOIN m USING (comid)")
 def a12_power_law(spark, d):
+    return _power_law(spark, d)
+
+
+@query("WITH c AS (SELECT l_partkey AS comid, l_discount AS depth_a, l_tax AS depth_b, l_quantity AS tw_a, l_tax AS tw_b FROM lineitem), m AS (SELECT comid, round(avg(tw_a * pow(p_retailprice * 0.1, tw_b)), 6) AS w FROM c JOIN part ON p_partkey = comid WHERE depth_a > 0 AND depth_b > 0 AND tw_a > 0 AND tw_b > 0 GROUP BY 1) SELECT coalesce(max(w), 0) AS top_width FROM m")
+def a12_widest(spark, d):
+    return flows.widest(_power_law(spark, d))
+
+
+def _power_law(spark, d):
     curves = v.table(spark, d, "lineitem").select(F.col("l_partkey").alias("comid"), F.col("l_discount").alias("depth_a"), F.col("l_tax").alias("depth_b"), F.col("l_quantity").alias("tw_a"), F.col("l_tax").alias("tw_b"))
     return flows.power_law(curves, v.table(spark, d, "part").select(F.col("p_partkey").alias("comid"), F.col("p_retailprice").alias("q")))
 
@@ -145,12 +213,26 @@ def w4_first_row(spark, d):
 
 @query("SELECT o_custkey AS river, o_orderkey AS pos, min(CAST(round(o_totalprice * 100) AS BIGINT)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS level, CAST(sum(CAST(round(o_totalprice) AS BIGINT)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS dist, CAST(round(o_totalprice * 100) AS BIGINT) - lag(CAST(round(o_totalprice * 100) AS BIGINT)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS step FROM orders")
 def w1_w2_w3_along_paths(spark, d):
-    from pyspark.sql import Window
-
     o = v.table(spark, d, "orders").select(F.col("o_custkey").alias("river"), F.col("o_orderkey").alias("pos"), F.round(F.col("o_totalprice") * 100).cast("long").alias("z"), F.round("o_totalprice").cast("long").alias("s"))
-    w = Window.partitionBy("river").orderBy("pos")
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    return o.select("river", "pos", F.min("z").over(run).alias("level"), F.sum("s").over(run).alias("dist"), (F.col("z") - F.lag("z").over(w)).alias("step"))
+    return lines.distance_along(lines.never_rising(o, "river", "pos", "z"), "river", "pos", "s").select("river", "pos", "level", "dist", "step")
+
+
+VERTICES = "vertices AS (SELECT o_custkey AS line, o_orderkey AS pos, CAST(o_orderkey % 37 AS DOUBLE) AS x, CAST(o_orderkey // 5 % 11 AS DOUBLE) AS y FROM orders)"
+SEGMENTS = f"{VERTICES}, seg AS (SELECT *, sqrt((x - x0) * (x - x0) + (y - y0) * (y - y0)) AS length FROM (SELECT *, lag(x) OVER w AS x0, lag(y) OVER w AS y0 FROM vertices WINDOW w AS (PARTITION BY line ORDER BY pos)) WHERE x0 IS NOT NULL), cum AS (SELECT *, sum(length) OVER (PARTITION BY line ORDER BY pos ROWS UNBOUNDED PRECEDING) - length AS before FROM seg)"
+
+
+def _vertices(spark, d):
+    return v.table(spark, d, "orders").select(F.col("o_custkey").alias("line"), F.col("o_orderkey").alias("pos"), (F.col("o_orderkey") % 37).cast("double").alias("x"), F.expr("cast(o_orderkey div 5 % 11 as double)").alias("y"))
+
+
+@query(f"WITH {SEGMENTS} SELECT line, pos, round(length, 6) AS length, round(before, 6) AS before FROM cum")
+def f10_segments(spark, d):
+    return lines.segments(_vertices(spark, d)).select("line", "pos", F.round("length", 6).alias("length"), F.round("before", 6).alias("before"))
+
+
+@query(f"WITH {SEGMENTS}, k AS (SELECT *, unnest(range(0, CAST(floor((before + length) / 7.3) AS BIGINT) + 2)) AS k FROM cum), inner_ AS (SELECT line, k * 7.3::DOUBLE AS along, x0 + (k * 7.3::DOUBLE - before) / length * (x - x0) AS x, y0 + (k * 7.3::DOUBLE - before) / length * (y - y0) AS y FROM k WHERE k > 0 AND length > 0 AND k * 7.3::DOUBLE > before - 1e-9 AND k * 7.3::DOUBLE <= before + length - 1e-9), ends AS (SELECT line, min_by(x0, pos) AS x0, min_by(y0, pos) AS y0, max_by(x, pos) AS x, max_by(y, pos) AS y, sum(length) AS total FROM cum GROUP BY 1), pts AS (SELECT line, 0.0::DOUBLE AS along, x0 AS x, y0 AS y FROM ends UNION ALL SELECT * FROM inner_ UNION ALL SELECT line, total, x, y FROM ends WHERE total > coalesce((SELECT max(along) FROM inner_ i WHERE i.line = ends.line), -1) + 1e-9) SELECT line, round(along, 5) AS along, round(x, 5) + 0.0 AS x, round(y, 5) + 0.0 AS y FROM pts")
+def m3_resample(spark, d):
+    return lines.resample(_vertices(spark, d), 7.3).select("line", F.round("along", 5).alias("along"), F.round("x", 5).alias("x"), F.round("y", 5).alias("y"))
 
 
 # ---------------------------------------------------------------- reach networks
@@ -167,6 +249,25 @@ def p3_orders_between(spark, d):
     return network.orders_between(v.network(spark, d), 3, 6).select("reach", "ord")
 
 
+@query(f"WITH {v.NETWORK} SELECT n.reach, n.ord, c_nationkey AS nation FROM network n LEFT JOIN customer ON c_custkey = n.reach AND c_custkey % 2 = 0")
+def j3_attributes(spark, d):
+    source = v.table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("reach"), F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("place"))
+    twice = source.unionAll(source.withColumns({"nation": F.col("nation") + 100, "place": F.col("place") + 1}))
+    return network.with_attributes(v.network(spark, d).select("reach", "ord"), twice, ["nation"], "place")
+
+
+@query(f"WITH {v.NETWORK} SELECT reach, CASE WHEN reach % 3 = 0 THEN 'went' ELSE 'came' END AS change FROM network WHERE (reach % 3 = 0) <> (reach % 2 = 0)")
+def w12_changed_ids(spark, d):
+    n = v.network(spark, d)
+    return network.changed_ids(n.where("reach % 3 = 0"), n.where("reach % 2 = 0"))
+
+
+@query(f"WITH {v.NETWORK} SELECT reach, CAST(reach % 12 AS INTEGER) AS r FROM network WHERE ord BETWEEN 2 AND 4")
+def p16_bounded_cells(spark, d):
+    n = v.network(spark, d)
+    return network.bounded_orders(n, n.select("reach", (F.col("reach") % 12).cast("int").alias("r")), 2, 4)[1].select("reach", "r")
+
+
 @query(f"WITH {v.NETWORK}, inside AS (SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS reach FROM events) SELECT reach, ds FROM network WHERE reach NOT IN (SELECT reach FROM inside WHERE reach IS NOT NULL)")
 def p2_lake_filter(spark, d):
     k = F.get_json_object("props", "$.k")
@@ -465,7 +566,7 @@ def j9_w10_candidates(spark, d):
     return grid.nearest(g, g.where("z % 17 = 0"), 6, 16)
 
 
-@query(f"WITH {v.SMALL}, s AS (SELECT dem_id, r AS fr, c AS fc, z + 3 AS wse FROM small WHERE z <= 3), m AS (SELECT dem_id, r, c, z, wse, CAST((r - fr) * (r - fr) + (c - fc) * (c - fc) AS DOUBLE) AS d2 FROM small JOIN s USING (dem_id)), g AS (SELECT dem_id, r, c, z, coalesce(max(wse) FILTER (WHERE d2 = 0), sum(wse / d2) FILTER (WHERE d2 > 0) / sum(1 / d2) FILTER (WHERE d2 > 0)) AS level FROM m WHERE d2 <= 16 GROUP BY 1, 2, 3, 4) SELECT dem_id, r, c, round(level, 6) AS level, round(level, 6) > z AS flooded FROM g")
+@query(f"WITH {v.SMALL}, s AS (SELECT dem_id, r AS fr, c AS fc, z + 3 AS wse FROM small WHERE z <= 3), m AS (SELECT dem_id, r, c, z, wse, CAST((r - fr) * (r - fr) + (c - fc) * (c - fc) AS DOUBLE) AS d2 FROM small JOIN s USING (dem_id)), g AS (SELECT dem_id, r, c, z, coalesce(max(wse) FILTER (WHERE d2 = 0), sum(wse / d2) FILTER (WHERE d2 > 0) / sum(1 / d2) FILTER (WHERE d2 > 0)) AS level FROM m WHERE d2 <= 16 GROUP BY 1, 2, 3, 4) SELECT dem_id, r, c, round(level, 11) AS level, round(level, 11) > z AS flooded FROM g")
 def r20_set_depth(spark, d):
     g = v.small_grid(spark, d)
     return grid.inverse_distance(g, g.where("z <= 3").select("dem_id", "r", "c", (F.col("z") + 3).alias("wse")), 4)
@@ -529,18 +630,18 @@ def j7_s27_neighbour_tiles(spark, d):
     return exchange.neighbour_tiles(t)
 
 
-@query("WITH s AS (SELECT o_custkey AS reach, o_orderkey % 37 * 1.0 AS x1, o_orderkey % 11 * 1.0 AS y1, o_orderkey % 37 + o_orderkey % 5 - 2.0 AS x2, o_orderkey % 11 + o_orderkey % 3 - 1.0 AS y2 FROM orders) SELECT DISTINCT reach FROM s WHERE least(x1, x2) <= 20 AND greatest(x1, x2) >= 20 AND CASE WHEN x1 = x2 THEN least(y1, y2) <= 6 AND greatest(y1, y2) >= 2 ELSE y1 + (20 - x1) * (y2 - y1) / (x2 - x1) BETWEEN 2 AND 6 END")
+@query("WITH s AS (SELECT o_custkey AS reach, o_orderkey % 37 * 1.0 AS x1, o_orderkey % 11 * 1.0 AS y1, o_orderkey % 37 + o_orderkey % 5 - 2.0 AS x2, o_orderkey % 11 + o_orderkey % 3 - 1.0 AS y2 FROM orders), u(p) AS (VALUES (23.0), (29.0)), w(p) AS (VALUES (5.0), (7.0)) SELECT DISTINCT reach FROM s, u WHERE least(x1, x2) <= p AND greatest(x1, x2) >= p AND CASE WHEN x1 = x2 THEN least(y1, y2) <= 9 AND greatest(y1, y2) >= 3 ELSE y1 + (p - x1) * (y2 - y1) / (x2 - x1) BETWEEN 3 AND 9 END UNION SELECT reach FROM s, w WHERE least(y1, y2) <= p AND greatest(y1, y2) >= p AND CASE WHEN y1 = y2 THEN least(x1, x2) <= 31 AND greatest(x1, x2) >= 21 ELSE x1 + (p - y1) * (x2 - x1) / (y2 - y1) BETWEEN 21 AND 31 END")
 def j5_crossing_reaches(spark, d):
     s = v.table(spark, d, "orders").selectExpr("o_custkey reach", "o_orderkey % 37 * 1.0D x1", "o_orderkey % 11 * 1.0D y1", "o_orderkey % 37 + o_orderkey % 5 - 2.0D x2", "o_orderkey % 11 + o_orderkey % 3 - 1.0D y2")
-    return exchange.crossing_reaches(s, 20, 2, 6)
+    return exchange.crossing_reaches(s, 21, 3, 31, 9, 2)
 
 
-@query("WITH x AS (SELECT vec_id AS reach, unnest(range(1, 65)) AS i, embedding FROM embeddings WHERE label % 2 = 0) SELECT reach, CAST(embedding[i] AS DOUBLE) AS flow, CAST(embedding[i] * 2 AS DOUBLE) AS wse FROM x WHERE embedding[i] > 0")
+@query("WITH x AS (SELECT vec_id AS reach, unnest(range(1, 65)) AS i, embedding FROM embeddings WHERE label % 2 = 0 AND least(vec_id % 50, 49 - vec_id % 50, vec_id % 31, 30 - vec_id % 31) <= 7) SELECT reach, CAST(embedding[i] AS DOUBLE) AS flow, CAST(embedding[i] * 2 AS DOUBLE) AS wse FROM x WHERE embedding[i] > 0")
 def x3_f14_boundary_water(spark, d):
     e = v.table(spark, d, "embeddings")
     up = F.transform("embedding", lambda x: F.when(x > 0, x.cast("double")))
-    vdt = e.select(F.col("vec_id").alias("reach"), up.alias("q"), F.transform("embedding", lambda x: (x * 2).cast("double")).alias("wse"))
-    return exchange.boundary_water(vdt, e.where("label % 2 = 0").select(F.col("vec_id").alias("reach")))
+    vdt = e.select(F.col("vec_id").alias("reach"), (F.col("vec_id") % 50).alias("x"), (F.col("vec_id") % 31).alias("y"), up.alias("q"), F.transform("embedding", lambda x: (x * 2).cast("double")).alias("wse"))
+    return exchange.boundary_water(vdt, e.where("label % 2 = 0").select(F.col("vec_id").alias("reach")), exchange.near_edge("x", "y", 0, 0, 49, 30, 4, 1))
 
 
 @query("SELECT c_custkey AS reach, c_nationkey AS tile, CAST(c_custkey % 50 AS DOUBLE) AS x, CAST(c_custkey % 31 AS DOUBLE) AS y FROM customer WHERE c_nationkey <> 3 AND c_custkey % 50 > 10 AND c_custkey % 50 < 30 AND c_custkey % 31 > 5 AND c_custkey % 31 < 20")
@@ -576,6 +677,37 @@ def f6_metres_per_degree(spark, d):
     return v.table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.round(north, 4).alias("north"), F.round(east, 4).alias("east"))
 
 
+@query("SELECT event_id, strftime(ts - INTERVAL 2 HOUR, '%Y%m%d') AS short_day, strftime(ts - INTERVAL 2 HOUR, '%H') AS short_hour, strftime(ts, '%Y%m%d') AS day, printf('%02d', CAST(hour(ts) // 6 * 6 AS INTEGER)) AS medium_hour, '00' AS long_hour, CAST(NULL AS VARCHAR) AS daily_hour FROM events")
+def f3_issues(spark, d):
+    e = v.table(spark, d, "events")
+    at = {k: fn.forecast_issue(F.col("ts"), k) for k in ("short", "medium", "long", "daily")}
+    return e.select("event_id", at["short"][0].alias("short_day"), at["short"][1].alias("short_hour"), at["medium"][0].alias("day"), at["medium"][1].alias("medium_hour"), at["long"][1].alias("long_hour"), at["daily"][1].alias("daily_hour"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 30 < 24 THEN printf('%02d', CAST(event_id % 30 AS INTEGER)) END AS hour, CASE event_id % 3 WHEN 2 THEN NULL ELSE CAST(ts AS DATE) END AS day, CASE WHEN event_id % 4 = 3 THEN event_type || chr(39) ELSE event_type END AS name FROM events")
+def f1_f2_text(spark, d):
+    e = v.table(spark, d, "events")
+    day = F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "yyyyMMdd")).when(F.col("event_id") % 3 == 1, F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))).otherwise("soon")
+    k, t = F.col("event_id") % 4, F.col("event_type")
+    name = F.when(k == 0, t).when(k == 1, F.concat(F.lit(" 'x\"").substr(1, 2), t, F.lit("' "))).when(k == 2, F.concat(F.lit("\"' '"), F.lit("'"), t, F.lit("'"), F.lit("' '\""))).otherwise(F.concat(t, F.lit("'")))
+    return e.select("event_id", fn.forecast_hour((F.col("event_id") % 30).cast("string")).alias("hour"), fn.forecast_day(day).alias("day"), fn.strip_quotes(name).alias("name"))
+
+
+BANDS = "bands(b, n0, n1, e0, e1) AS (VALUES " + ", ".join(f"({k}, {a[0]}::DOUBLE, {a[1]}::DOUBLE, {b[0]}::DOUBLE, {b[1]}::DOUBLE)" for k, (a, b) in enumerate(zip(fn.LATITUDE_KM, fn.LONGITUDE_KM))) + ")"
+
+
+@query(f"WITH {BANDS}, p AS (SELECT c_custkey AS id, c_custkey % 901 / 10.0::DOUBLE AS lat, CASE WHEN c_custkey % 7 = 0 THEN 30.0 ELSE 0.001 END::DOUBLE AS cell FROM customer), q AS (SELECT id, cell, n0 + (n1 - n0) * (lat - b * 10) / 10 AS n, e0 + (e1 - e0) * (lat - b * 10) / 10 AS e FROM p JOIN bands ON b = greatest(ceil(lat / 10) - 1, 0)) SELECT id, round(CASE WHEN cell > 0.5 THEN cell ELSE cell * e * 1000 END, 6) AS width, round(CASE WHEN cell > 0.5 THEN cell ELSE cell * n * 1000 END, 6) AS height, round(CASE WHEN cell > 0.5 THEN 1 ELSE 1000 * (n + e) / 2 END, 4) AS unit FROM q")
+def f7_banded_metres(spark, d):
+    c = v.table(spark, d, "customer")
+    w, h, u = fn.banded_metres(F.when(F.col("c_custkey") % 7 == 0, F.lit(30.0)).otherwise(F.lit(0.001)), -(F.col("c_custkey") % 901) / 10.0)
+    return c.select(F.col("c_custkey").alias("id"), F.round(w, 6).alias("width"), F.round(h, 6).alias("height"), F.round(u, 4).alias("unit"))
+
+
+@query("SELECT p_partkey AS id, round(p_size * pow(1e-6::DOUBLE, p_partkey % 3 / 2.0::DOUBLE), 9) AS scaled FROM part")
+def f11_power_scaled(spark, d):
+    return v.table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.round(fn.power_scaled(F.col("p_size"), F.col("p_partkey") % 3 / 2.0), 9).alias("scaled"))
+
+
 @query("SELECT CAST(m AS INTEGER) AS member, CAST(h AS INTEGER) AS hour FROM range(1, 8) a(m), range(6, 720, 6) b(h)")
 def s16_forecast_files(spark, d):
     return tables.forecast_files(spark, 7, 6, 720, 6)
@@ -583,15 +715,15 @@ def s16_forecast_files(spark, d):
 
 @query("SELECT DISTINCT CAST(trunc(c_custkey % 300 / 7.0 - 20) AS INTEGER) AS lat, CAST(trunc(c_custkey % 500 / 3.0 - 80) AS INTEGER) AS lon FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_totalprice > 100000")
 def s20_warning_tiles(spark, d):
-    flagged = v.table(spark, d, "orders").where("o_totalprice > 100000").select(F.col("o_custkey").alias("k")).distinct()
-    c = v.table(spark, d, "customer").join(flagged, F.col("c_custkey") == F.col("k"), "left_semi")
-    return c.select((F.col("c_custkey") % 300 / 7.0 - 20).cast("int").alias("lat"), (F.col("c_custkey") % 500 / 3.0 - 80).cast("int").alias("lon")).distinct()
+    flagged = v.table(spark, d, "orders").select(F.col("o_custkey").alias("reach"), F.when(F.col("o_totalprice") > 100000, 5).otherwise(0).alias("ret_per"))
+    return network.warning_places(flagged, v.table(spark, d, "customer").selectExpr("c_custkey reach", "c_custkey % 300 / 7.0 - 20 lat", "c_custkey % 500 / 3.0 - 80 lon"))
 
 
-@query("SELECT name FROM (SELECT 'dem' || event_id % 3 || '_Forecast_' || strftime(ts, '%Y%m%d') || '.csv' AS name, CAST(ts AS DATE) AS day, event_id FROM events) WHERE event_id % 3 = 1 AND date_diff('day', day, DATE '2024-02-01') >= 20")
+@query("SELECT name FROM (SELECT 'dem' || event_id % 12 || CASE WHEN event_id % 5 = 0 THEN '0' ELSE '' END || '_Forecast_' || strftime(ts, '%Y%m%d') || CASE WHEN event_id % 2 = 0 THEN '_06' ELSE '' END || '.csv' AS name, CAST(ts AS DATE) AS day, event_id FROM events) WHERE event_id % 12 = 1 AND event_id % 5 > 0 AND date_diff('day', day, DATE '2024-02-01') >= 20 AND day <> DATE '2024-01-05'")
 def k13_expired(spark, d):
-    names = v.table(spark, d, "events").select(F.concat(F.lit("dem"), (F.col("event_id") % 3).cast("string"), F.lit("_Forecast_"), F.date_format("ts", "yyyyMMdd"), F.lit(".csv")).alias("name"))
-    return tables.expired(names, "2024-02-01", 20, "dem1")
+    e = F.col("event_id")
+    names = v.table(spark, d, "events").select(F.concat(F.lit("dem"), (e % 12).cast("string"), F.when(e % 5 == 0, "0").otherwise(""), F.lit("_Forecast_"), F.date_format("ts", "yyyyMMdd"), F.when(e % 2 == 0, "_06").otherwise(""), F.lit(".csv")).alias("name"))
+    return tables.expired(names, "2024-02-01", 20, "dem1", "20240105")
 
 
 @query(f"WITH {v.SMALL}, m(k, n) AS (VALUES (10, 0.12), (20, 0.05), (30, 0.03), (40, 0.035), (50, 0.075), (60, 0.03), (70, 0.03), (80, 0.03), (90, 0.1), (95, 0.1), (100, 0.1)) SELECT dem_id, r, c, CAST(n AS DOUBLE) AS n FROM small JOIN m ON k = (z + 1) * 10")

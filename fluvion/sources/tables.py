@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,16 +28,34 @@ def bounds(df: DataFrame) -> DataFrame:
     return df.agg(F.min("bbox.xmin").alias("xmin"), F.min("bbox.ymin").alias("ymin"), F.max("bbox.xmax").alias("xmax"), F.max("bbox.ymax").alias("ymax"))
 
 
+def write_flow_table(table: DataFrame, path: str) -> None:
+    """Parquet or CSV by the path's suffix."""
+    writer = table.write.mode("overwrite")
+    writer.option("compression", "zstd").parquet(path) if path.endswith(".parquet") else writer.option("header", True).csv(path)
+
+
+def read_flow_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path) if path.endswith(".parquet") else spark.read.option("header", True).option("inferSchema", True).csv(path)
+
+
+def one_flow(table: DataFrame, flow: str) -> DataFrame:
+    """The key and one of the flows."""
+    return table.select("COMID", flow)
+
+
 def write_periods(wide: DataFrame, path: str, periods: list[int]) -> None:
     """One folder for each return period, by one partitioned write."""
-    long = wide.select("river_id", F.explode(F.map_from_arrays(F.array(*map(F.lit, periods)), F.array(*[F.col(f"rp{p}") for p in periods]))).alias("rp", "flow"))
+    long = wide.select("COMID", F.explode(F.map_from_arrays(F.array(*map(F.lit, periods)), F.array(*[F.col(f"rp{p}") for p in periods]))).alias("rp", "flow"))
     long.write.mode("overwrite").partitionBy("rp").parquet(path)
 
 
-def expired(names: DataFrame, today: str, days: int, dem: str) -> DataFrame:
-    """Forecast files of a DEM that were issued so many days ago or more; the caller unlinks them."""
+def expired(names: DataFrame, today: str, days: int, dem: str, current: str | None = None) -> DataFrame:
+    """Forecast files of a DEM that were issued so many days ago or more, but for the current forecast (yyyymmdd). A file is a DEM's
+    if its name is the DEM's, the forecast's date and hour, and then a dot or an underscore. The caller unlinks them."""
     issued = forecast_date(F.col("name"))
-    return names.where(F.col("name").startswith(dem) & (F.datediff(F.lit(today).cast("date"), issued) >= days))
+    own = F.col("name").rlike(f"^{re.escape(dem)}_Forecast_[0-9]{{8}}(_[0-9]{{2}})?[._]")
+    old = own & (F.datediff(F.lit(today).cast("date"), issued) >= days)
+    return names.where(old & (F.date_format(issued, "yyyyMMdd") != current) if current else old)
 
 
 def manning(spark: SparkSession) -> DataFrame:

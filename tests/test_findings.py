@@ -50,3 +50,16 @@ def test_flat_gradient(spark):
     # by hand: the outlet is 2, the cell before it has 1 step from higher ground of 3 at most
     got = brute_gradient(pit)
     assert got[6, 4] == 2 and got[5, 4] == 2 * 2 + 3 - 1 and got[3, 4] == 2 * 4 + 3 - 3
+
+
+def test_patches_across_tiles(spark, monkeypatch):
+    """Tiles of three by three cells give the same patches as one."""
+    rng = np.random.default_rng(5)
+    z = rng.integers(0, 2, (11, 13)).astype(float)
+    cells = cells_of(spark, z)
+    want = {(r.dem_id, r.r, r.c): r.label for r in hydro.label(cells, "z").collect()}
+    monkeypatch.setattr(hydro, "TILE", 3)
+    assert {(r.dem_id, r.r, r.c): r.label for r in hydro.label(cells, "z").collect()} == want
+    assert len(want) == 2 * z.size and len(set(want.values())) > 4
+    whole = spread([(0, 0)], {(r, c) for r in range(11) for c in range(13) if z[r, c] == z[0, 0]})
+    assert {x for x in want if want[x] == want[0, 0, 0]} == {(0, *x) for x in whole}
