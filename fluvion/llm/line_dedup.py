@@ -168,7 +168,9 @@ def find_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     goes = F.col("gone") | (F.col("doc") != F.col("first_doc")) | (F.col("line") != F.col("first_line")) | (F.col("th") != F.col("first_th"))
     removed = met.where(goes).groupBy("doc", "th").agg(F.sort_array(F.collect_set("line")).alias("lines"))
     many = signed.where("what = 2").groupBy("doc", "th").agg(F.max("line").alias("n_lines"))
-    return many.join(removed, ["doc", "th"], "left").select("doc", "th", F.coalesce("lines", F.array().cast("array<long>")).alias("lines"), "n_lines")
+    out = many.join(removed, ["doc", "th"], "left").select("doc", "th", F.coalesce("lines", F.array().cast("array<long>")).alias("lines"), "n_lines")
+    out._holds = [signed, first]
+    return out
 
 
 def with_lines(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -180,7 +182,9 @@ def with_lines(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_c
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with the text that stays, every other column as it was."""
-    found = keep(find_duplicate_lines(docs, id_col, text_col).where(F.size("lines") > 0), "lines_of")
+    every = find_duplicate_lines(docs, id_col, text_col)
+    found = keep(every.where(F.size("lines") > 0), "lines_of")
+    forget(*every._holds)
     met = with_lines(docs, found, id_col, text_col)
     kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains("__lines", i.cast("long"))), "\n")
     return met.withColumn(text_col, F.when(F.col("__lines").isNull(), F.col(text_col)).otherwise(kept)).select(*docs.columns)

@@ -30,7 +30,7 @@ MOST, EARLIEST = 4, 2
 ENTRY = ("<u8", "<i8", "<i8", "<u4", "<u4", "<u4", "<u8", "<u8", "<u8", "<u8")  # key, item, doc, line, n, pos, signature
 #: Sets of more tokens than the second have a parity signature of 256 bits, of more than the first 128, others 64; the longer fold
 #: into the shorter.
-SHORT_SET, LONG_SET = 40, 128
+SHORT_SET, LONG_SET = 64, 160
 #: What is posted of a key: its rarity and 32 bits of hash. Tokens that share it share a run, so pairs only grow.
 POSTED = np.uint64(0xFFFFFFFFFF000000)
 #: Entries that a map task holds before it deals them, and that a bucket has on average.
