@@ -177,7 +177,8 @@ def with_lines(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_c
     """Every row of docs with __lines and __n, what find_duplicate_lines says of its place, or nulls."""
     doc, th = _places(docs, id_col, text_col)
     found = found.select(F.col("doc").alias("__doc"), F.col("th").alias("__th"), F.col("lines").alias("__lines"), F.col("n_lines").alias("__n"))
-    return docs.join(found, (doc == F.col("__doc")) & (th == F.col("__th")), "left").drop("__doc", "__th")
+    placed = docs.withColumns({"__d": doc, "__t": th})  # as columns, so that a text no one asks for isn't dealt
+    return placed.join(found, (F.col("__d") == F.col("__doc")) & (F.col("__t") == F.col("__th")), "left").drop("__doc", "__th", "__d", "__t")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

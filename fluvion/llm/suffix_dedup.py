@@ -256,7 +256,8 @@ def with_passages(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", tex
     """Every row of docs with the spans found for its place, or nulls."""
     doc, th = _place(id_col, text_col)
     found = found.select(F.col("doc").alias("__doc"), F.col("th").alias("__th"), F.col("repeated").alias("__repeated"), F.col("removed").alias("__removed"))
-    return docs.join(found, (doc == F.col("__doc")) & (th == F.col("__th")), "left").drop("__doc", "__th")
+    placed = docs.withColumns({"__d": doc, "__t": th})  # as columns, so that a text no one asks for isn't dealt
+    return placed.join(found, (F.col("__d") == F.col("__doc")) & (F.col("__t") == F.col("__th")), "left").drop("__doc", "__th", "__d", "__t")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, prefix: int = PREFIX) -> DataFrame:
