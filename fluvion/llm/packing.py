@@ -14,8 +14,11 @@ place; very long texts are cut, only the first piece being shorter; an empty tab
 from __future__ import annotations
 
 import bisect
+import json
+import math
 import re
 import zlib
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -26,7 +29,10 @@ from pyspark.sql import functions as F
 from .common import keep, ship, worker_cache
 
 CAPACITY = 2048
-CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+# fixed value: how byte-level pre-tokenizers split a text
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The fast splitter steps back over white space and gives up on very long runs of it.
+LONG_SPACE = re.compile(r"\s{1000}")
 
 
 # ---------------------------------------------------------------- the plan
@@ -187,8 +193,48 @@ def best_plan(histogram: dict[int, int], capacity: int = CAPACITY, trials=tuple(
 # ---------------------------------------------------------------- on the executors
 
 
-def _encoder(path: str):
-    """Text to little-endian 32-bit ids. Chunks that white space bounds are encoded alone and remembered."""
+def byte_tokens(vocab: dict[str, int]) -> dict[bytes, int] | None:
+    """A byte-level vocabulary with tokens as the bytes they stand for; None if it isn't one."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; the others follow 255
+    byte = {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in set(shown))}
+    return None if any(c not in byte for t in vocab for c in t) else {bytes(byte[c] for c in t): i for t, i in vocab.items()}
+
+
+def ids_suffice(path: str) -> bool:
+    """Whether the file is a byte-level BPE that its tokens and their ids alone describe.
+
+    Merging by the least id of what a pair makes is the same as merging by the file's list if ids rise along the list and
+    every token's own bytes merge into it: a pair that makes a token spans just its bytes, whose ends were never merged
+    across, and so is the pair of the list.
+    """
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    model, split = file["model"], file.get("pre_tokenizer") or {}
+    odd = [model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")]
+    kind = [split.get(k) for k in ("type", "add_prefix_space", "use_regex")]
+    if model.get("type") != "BPE" or any(odd) or kind != ["ByteLevel", False, True] or file.get("normalizer") or file.get("truncation"):
+        return False
+    ranks = byte_tokens(model["vocab"])
+    if ranks is None:
+        return False
+    pairs = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    made = [model["vocab"].get(a + b, -1) for a, b in pairs]
+    order = {p: i for p, i in zip(pairs, made)}
+    single = [ranks.get(bytes([b]), -1) for b in range(256)]
+    if min(single) < 0 or sorted(set(made)) != made or max(single) >= min(made, default=256) or len(ranks) != 256 + len(made):
+        return False
+    for a, b in pairs:
+        parts = list(a + b)
+        while len(parts) > 1:
+            i, k = min((order.get(p, math.inf), k) for k, p in enumerate(zip(parts, parts[1:])))
+            if i is math.inf:
+                return False
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+    return True
+
+
+def _encoder(path: str, plain: bool):
+    """Text to little-endian 32-bit ids, as the tokenizer's file says. plain: its tokens and ids describe it (`ids_suffice`)."""
     held = worker_cache("tokenizers")
     if path not in held:
         import os
@@ -196,43 +242,36 @@ def _encoder(path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
-        held[path] = (Tokenizer.from_file(path), {})
-    model, seen = held[path]
-    special = [t.content for t in model.get_added_tokens_decoder().values()]
-
-    def whole(text: str) -> bytes:
-        return np.array(model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    batch = getattr(model, "encode_batch_fast", model.encode_batch)
-
-    def encode(texts: list[str]) -> list[bytes]:
-        parts = [None if any(s in t for s in special) else CHUNK.findall(t) for t in texts]
-        every = set().union(*[p for p in parts if p])
-        new = every.difference(seen)
-        if len(seen) + len(new) > 400_000:
-            seen.clear()
-            new = every
-        new = list(new)
-        for lo in range(0, len(new), 2000):
-            some = new[lo : lo + 2000]
-            for c, e in zip(some, batch(some, add_special_tokens=False)):
-                seen[c] = np.array(e.ids, "<u4").tobytes()
-        return [whole(t) if p is None else b"".join(map(seen.__getitem__, p)) for t, p in zip(texts, parts)]
+        model = Tokenizer.from_file(path)
+        fast = None
+        if plain:
+            import tiktoken
+
+            with open(path, encoding="utf-8") as f:
+                ranks = byte_tokens(json.load(f)["model"]["vocab"])
+            fast = tiktoken.Encoding("plain", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        held[path] = (model, fast, [t.content for t in model.get_added_tokens_decoder().values()])
+    model, fast, special = held[path]
+
+    def encode(text: str) -> bytes:
+        if fast and not any(s in text for s in special) and not LONG_SPACE.search(text):
+            ids = fast(text)
+        else:
+            ids = model.encode(text, add_special_tokens=False).ids
+        return np.array(array("I", ids), "<u4").tobytes()
 
     return encode
 
 
-def _cut(path: str, capacity: int):
+def _cut(path: str, capacity: int, plain: bool):
     def run(batches):
         from pyspark import TaskContext
 
-        encode, tag, met = _encoder(path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        encode, tag, met = _encoder(path, plain), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for b in batches:
             out: dict[str, list] = {k: [] for k in ("id", "piece", "start", "length", "ids_crc32", "rank")}
-            texts = b["_t"].to_pylist()
-            coded = (x for lo in range(0, len(texts), 256) for x in encode(texts[lo : lo + 256]))
-            for i, ids in zip(b["_id"].to_pylist(), coded):
-                ids += b"\0\0\0\0"
+            for i, text in zip(b["_id"].to_pylist(), b["_t"]):
+                ids = encode(text.as_py()) + b"\0\0\0\0"
                 n = len(ids) // 4
                 first = n if n <= capacity else n % capacity or capacity
                 at = piece = 0
@@ -264,7 +303,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     """One row for each piece of a document: what it holds, and the sequence and offset where it goes."""
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
-    pieces = keep(base.mapInArrow(_cut(tokenizer_path, capacity), f"_id {kind}, piece int, start long, length long, ids_crc32 long, rank long, tag long"), "pack_pieces")
+    pieces = keep(base.mapInArrow(_cut(tokenizer_path, capacity, ids_suffice(tokenizer_path)), f"_id {kind}, piece int, start long, length long, ids_crc32 long, rank long, tag long"), "pack_pieces")
     counts = pieces.groupBy("tag", "length").agg(F.count("*").alias("n"))
     # at most `capacity` rows reach the driver
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}

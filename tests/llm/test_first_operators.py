@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -119,6 +120,24 @@ def test_packing(docs):
     assert len(by) <= -(-sum(g["length"] for g in got) // 2048) + 2
 
 
+def test_encoder(tmp_path):
+    """The fast encoder against the tokenizer itself; files that ids alone don't describe are left to it."""
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(tokenizer_path())
+    assert packing.ids_suffice(tokenizer_path())
+    encode, rng = packing._encoder(tokenizer_path(), True), random.Random(3)
+    marks = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3400 or 0xF900 <= c < 0x20000 or c % 997 == 0)]
+    texts = [" ".join(f"x{chr(c)}y {chr(c)}1{chr(c)}{chr(c)}z" for c in marks[lo : lo + 500]) for lo in range(0, len(marks), 500)]
+    texts += ["", " ", "it's we'll I'M", "a<|endoftext|>b", " \n" * 200_000 + "x", "ab" * 50_000, "x" + " " * 3000, "".join(rng.choice("abcdefghij 019") for _ in range(20_000))]
+    for t in texts:
+        assert encode(t) == np.array(model.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    file = json.loads(open(tokenizer_path()).read())
+    for change in ({"merges": file["model"]["merges"][::-1]}, {"dropout": 0.1}, {"merges": file["model"]["merges"][1:]}):
+        (tmp_path / "t.json").write_text(json.dumps(file | {"model": file["model"] | change}))
+        assert not packing.ids_suffice(str(tmp_path / "t.json"))
+
+
 def test_packing_plans():
     rng = random.Random(5)
     for _ in range(30):
