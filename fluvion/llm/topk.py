@@ -1,15 +1,18 @@
 """Exact top-k inner products by an impact-ordered index, score at a time.
 
-Vectors are dealt to blocks. A block keeps, for each dimension, postings cut into segments by quantised impact (the
-magnitude of the component, in powers of two), and the norm of what lies below each level. Queries meet a block in
-batches: segments are processed from the highest impact down, for all queries of the batch at once; after each level,
-a query's score for a vector is known up to |query| * |rest of the vector|. A level is the last one once, for every
-query, fewer vectors than a small share can still reach the k-th best lower bound: that is the proof; these possible
-members are then scored exactly. Blocks give their own top k, and the best k of all blocks are the answer.
-
-Cases: vectors that are null, or hold null or non-finite components, take no part; vectors of another length than the
-query score over the dimensions both have; ties go to the smaller id; rows repeated with one id are separate candidates,
-and only a query's own row is left out; an empty table, or one vector, gives no rows.
+Vectors are dealt to blocks. A block is indexed in one task: each dimension's postings (vector, component) are cut into
+segments by quantised impact, the power of two below the component's magnitude; zeros have no posting. Queries stream
+past the block in batches. Segments are processed by descending impact times the batch's greatest weight for their
+dimension, each adding to the accumulators of its postings alone. What a vector has not yet shown has a known norm, so
+a score is known up to |query| * |rest|. Processing stops once few vectors can still reach a query's k-th best lower
+bound, which is the proof, or when no segment is left; the possible members are then scored exactly. Blocks give their
+own top k, and the best k of all blocks are the answer. A block and its postings cross the network once, a query once
+for each block.
+
+Cases: rows without id, and vectors that are null or hold null or non-finite components, take no part; vectors of another
+length than the query score over the dimensions both have; ties go to the smaller id; rows repeated with one id are
+separate candidates, and only a query's own row is left out; an empty table, or one vector, gives no rows; scores are
+64-bit integers and wrap beyond that.
 """
 
 from __future__ import annotations
@@ -19,113 +22,138 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep, ship
+from .common import give_back, keep, ship
 
-#: Vectors of a block and queries of a batch: what a task holds at once.
+#: Vectors of a block, on average, and queries of a batch: what a task holds at once.
 BLOCK, BATCH = 8192, 256
 
 
-def impact_levels(v: np.ndarray) -> list[int]:
-    """Lower edges of the impact levels, highest first: half the largest magnitude, a quarter, and so on down to 0."""
-    top = int(np.abs(v).max(initial=0))
-    out = []
-    while top > 1 and len(out) < 6:
-        top //= 2
-        out.append(top)
-    return [*out, 0]
-
-
-def search_block(q: np.ndarray, q_row: np.ndarray, v: np.ndarray, v_row: np.ndarray, v_id: np.ndarray, k: int, few: float = 0.02):
-    """(query, vector, score) places of each query's best k in the block, ties to the smaller id."""
-    n, d = v.shape
-    exact_in_double = np.abs(v).max(initial=0).astype(float) * np.abs(q).max(initial=0).astype(float) * max(d, 1) < 2.0**52
-    own = q_row[:, None] == v_row[None, :]
-    kk = min(k, n)
-    norm_q = np.sqrt((q.astype(float) ** 2).sum(1))
-    known, above = np.zeros((len(q), n)), np.inf
-    possible = None
-    for edge in impact_levels(v):
-        segment = np.where((np.abs(v) >= edge) & (np.abs(v) < above), v, 0)  # the postings of this level, every dimension
-        known += q.astype(float) @ segment.T.astype(float)
-        rest = np.where(np.abs(v) < edge, v, 0).astype(float)
-        slack = norm_q[:, None] * np.sqrt((rest**2).sum(1))[None, :] * (1 + 1e-9) + 1e-6 * (edge > 0)
-        low = np.where(own, -np.inf, known - slack)
-        kth = np.partition(low, n - kk, axis=1)[:, n - kk]
-        possible = (known + slack >= kth[:, None]) & ~own
-        above = edge
-        if possible.sum() <= few * possible.size + kk * len(q):
-            break
-    qi, vi = np.nonzero(possible)
-    if exact_in_double:
-        score = np.einsum("ij,ij->i", q[qi].astype(float), v[vi].astype(float)).astype(np.int64)
-    else:
-        score = np.einsum("ij,ij->i", q[qi], v[vi])
-    order = np.lexsort((v_row[vi], v_id[vi], -score, qi))
-    qi, vi, score = qi[order], vi[order], score[order]
-    first = np.searchsorted(qi, qi, "left")
-    top = np.arange(len(qi)) - first < k
-    return qi[top], vi[top], score[top]
-
-
-def _pack(name: str, size: int):
-    """Rows of a group as blobs of at most `size` vectors."""
+class ImpactIndex:
+    """Postings of a block of vectors, by dimension and quantised impact."""
+
+    def __init__(self, v: np.ndarray, v_row: np.ndarray, v_id: np.ndarray):
+        self.v, self.row, self.id = v, v_row, v_id
+        vec, dim = np.nonzero(v)
+        value = v[vec, dim].astype(float)
+        level = np.frexp(np.abs(value))[1]
+        order = np.lexsort((vec, dim, -level))
+        self.vec, self.value, level, dim = vec[order], value[order], level[order], dim[order]
+        new = np.flatnonzero((np.diff(level, prepend=-1) != 0) | (np.diff(dim, prepend=-1) != 0))
+        self.start, self.end = new, np.append(new[1:], len(vec))
+        self.impact, self.dim = np.ldexp(1.0, level[new]), dim[new]  # no component of the segment reaches it
+        self.energy = (v.astype(float) ** 2).sum(1)
+
+    def search(self, q: np.ndarray, q_row: np.ndarray, k: int, few: float = 0.02):
+        """(query, vector, score) places of each query's best k in the block, ties to the smaller id."""
+        n, d = len(self.v), min(self.v.shape[1], q.shape[1])
+        q, v, kk = q[:, :d], self.v[:, :d], min(k, n)
+        weight = np.ascontiguousarray(q.T.astype(float))
+        norm = np.sqrt((weight**2).sum(0))[None, :]
+        margin = 1e-6 * np.sqrt(self.energy)  # above what rounding can add up to
+        own = self.row[:, None] == q_row[None, :]
+        known, rest = np.zeros((n, len(q))), self.energy.copy()
+        bound = np.where(self.dim < d, self.impact * np.abs(weight).max(1, initial=0)[np.minimum(self.dim, d - 1)], 0) if d else np.zeros(len(self.dim))
+        order = np.argsort(-bound, kind="stable")
+        due, left, total = np.inf, float(rest.sum()), float(rest.sum())
+
+        def can_reach():
+            slack = (np.sqrt(np.maximum(rest, 0)) + margin)[:, None] * norm
+            low = np.where(own, -np.inf, known - slack)
+            kth = np.partition(low, n - kk, axis=0)[n - kk]
+            return (known + slack >= kth) & ~own
+
+        possible = None
+        for s in order:
+            if bound[s] == 0:  # no query of the batch weighs this dimension
+                break
+            if bound[s] <= due:
+                if due < np.inf and left <= total / 4:  # with more than that open, no proof is near
+                    possible = can_reach()
+                    if possible.sum() <= few * possible.size + kk * len(q):
+                        break
+                    possible = None
+                due = bound[s] / 2
+            at = self.vec[self.start[s] : self.end[s]]
+            value = self.value[self.start[s] : self.end[s]]
+            known[at] += value[:, None] * weight[self.dim[s]]
+            square = value**2
+            rest[at] -= square
+            left -= float(square.sum())
+        else:
+            s = None
+        if possible is None:
+            if s is None or bound[s] == 0:
+                rest[:] = 0  # what is left weighs nothing
+            possible = can_reach()
+        vi, qi = np.nonzero(possible)
+        exact_in_double = np.abs(v.astype(float)).max(initial=0) * np.abs(weight).max(initial=0) * max(d, 1) < 2.0**52
+        score = np.einsum("ij,ij->i", q[qi].astype(float), v[vi].astype(float)).astype(np.int64) if exact_in_double else np.einsum("ij,ij->i", q[qi], v[vi])
+        order = np.lexsort((self.row[vi], self.id[vi], -score, qi))
+        qi, vi, score = qi[order], vi[order], score[order]
+        top = np.arange(len(qi)) - np.searchsorted(qi, qi, "left") < k
+        return qi[top], vi[top], score[top]
+
+
+def _matrix(arrays: list[pa.Array]) -> np.ndarray:
+    """Lists of whole numbers as rows, short ones filled with zeros."""
+    lists = pa.chunked_array(arrays).combine_chunks()
+    size = lists.value_lengths().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(lists), int(size.max(initial=0))), np.int64)
+    out[np.arange(out.shape[1]) < size[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
+    return out
+
+
+def _search(k: int, batch: int):
+    names = ["query_id", "query_row", "vec_id", "vec_row", "score"]
 
     def run(batches):
-        ids, rows, vecs = [], [], []
-
-        def blob():
-            d = max(map(len, vecs))
-            m = np.zeros((len(vecs), d), np.int64)
-            for i, x in enumerate(vecs):
-                m[i, : len(x)] = x
-            return pa.record_batch([pa.array([int(rows[0])], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([d], pa.int64()), pa.array([np.array(ids, "<i8").tobytes()]), pa.array([np.array(rows, "<i8").tobytes()]), pa.array([m.tobytes()])], [f"{name}_block", f"{name}_n", f"{name}_d", f"{name}_ids", f"{name}_rows", f"{name}_vecs"])
-
-        for b in batches:
-            for i, r, x in zip(b["_id"].to_pylist(), b["_row"].to_pylist(), b["_v"].to_pylist()):
-                ids.append(i), rows.append(r), vecs.append(x)
-                if len(ids) == size:
-                    yield blob()
-                    ids, rows, vecs = [], [], []
-        if ids:
-            yield blob()
-
-    return run, f"{name}_block long, {name}_n long, {name}_d long, {name}_ids binary, {name}_rows binary, {name}_vecs binary"
-
-
-def _search(k: int):
-    def run(batches):
-        for b in batches:
-            for r in b.to_pylist():
-                q = np.frombuffer(r["q_vecs"], "<i8").reshape(r["q_n"], r["q_d"])
-                v = np.frombuffer(r["v_vecs"], "<i8").reshape(r["v_n"], r["v_d"])
-                d = min(r["q_d"], r["v_d"])
-                q_ids, q_rows = np.frombuffer(r["q_ids"], "<i8"), np.frombuffer(r["q_rows"], "<i8")
-                v_ids, v_rows = np.frombuffer(r["v_ids"], "<i8"), np.frombuffer(r["v_rows"], "<i8")
-                qi, vi, score = search_block(q[:, :d], q_rows, v[:, :d], v_rows, v_ids, k)
-                yield pa.record_batch([pa.array(q_ids[qi]), pa.array(q_rows[qi]), pa.array(v_ids[vi]), pa.array(v_rows[vi]), pa.array(score)], ["query_id", "query_row", "vec_id", "vec_row", "score"])
-
-    return run
-
-
-def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 256) -> DataFrame:
+        def parts():
+            """Rows sorted by block, vectors before queries: cut where either changes, queries also into batches."""
+            for b in batches:
+                key = b["_block"].to_numpy() * 2 + b["_query"].to_numpy(zero_copy_only=False)
+                cuts = [*np.flatnonzero(np.diff(key, prepend=-1)).tolist(), b.num_rows]
+                for lo, hi in zip(cuts, cuts[1:]):
+                    yield int(key[lo]), b.slice(lo, hi - lo)
+
+        index, held, held_key, count = None, [], None, 0
+
+        def settle():
+            nonlocal index, held, count
+            rows = pa.Table.from_batches(held)
+            v, row, ident = _matrix(rows["_v"].chunks), rows["_row"].to_numpy(), rows["_id"].to_numpy()
+            held, count = [], 0
+            if held_key % 2 == 0:
+                index = held_key // 2, ImpactIndex(v, row, ident)
+            elif index and index[0] == held_key // 2:
+                for lo in range(0, len(v), batch):
+                    qi, vi, score = index[1].search(v[lo : lo + batch], row[lo : lo + batch], k)
+                    qi = qi + lo
+                    yield pa.record_batch([pa.array(x) for x in (ident[qi], row[qi], index[1].id[vi], index[1].row[vi], score)], names)
+
+        for key, part in parts():
+            if held and (key != held_key or (key % 2 and count >= batch)):
+                yield from settle()
+            held_key, count = key, count + part.num_rows
+            held.append(part)
+        if held:
+            yield from settle()
+
+    return lambda batches: give_back(run(batches))
+
+
+def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 256, block: int | None = None, batch: int | None = None) -> DataFrame:
     """query_id, rank, vec_id and score of the k best for each row that is_query (a Column) picks."""
-    spark = vectors.sparkSession
-    good = F.col(vec_col).isNotNull() & F.forall(F.col(vec_col), lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
+    good = F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & F.forall(F.col(vec_col), lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     ints = F.transform(F.col(vec_col), lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    named = vectors.where(good).select(F.col(id_col).cast("long").alias("_id"), is_query.alias("_q"), ints.alias("_v"))
+    named = vectors.where(good).select(F.col(id_col).cast("long").alias("_id"), F.coalesce(is_query, F.lit(False)).alias("_q"), ints.alias("_v"))
     rows = keep(named.withColumn("_row", F.monotonically_increasing_id()), "topk_vectors")
-    n = rows.count()
-    pack_v, schema_v = _pack("v", BLOCK)
-    pack_q, schema_q = _pack("q", BATCH)
-    index = keep(rows.select("_id", "_row", "_v").repartition(max(1, -(-n // BLOCK)), "_row").mapInArrow(pack_v, schema_v), "topk_index")
-    batches = rows.where("_q and _id is not null").select("_id", "_row", "_v")
-    n_q = batches.count()
-    batches = batches.repartition(max(1, -(-n_q // BATCH)), "_row").mapInArrow(pack_q, schema_q)
-    # the stated query set against all rows, in blocks: every batch is sent to every block once
-    places = index.select("v_block").agg(F.collect_list("v_block").alias("to"))
-    sent = batches.join(F.broadcast(places)).select("*", F.explode("to").alias("_to")).drop("to")
-    met = sent.join(index, sent["_to"] == index["v_block"])
-    found = met.repartition(max(1, min(4096, -(-n // BLOCK) * -(-n_q // BATCH))), "v_block", "q_block").mapInArrow(_search(k), "query_id long, query_row long, vec_id long, vec_row long, score long")
+    blocks = max(1, -(-rows.count() // (block or BLOCK)))
+    of_row = F.pmod(F.xxhash64("_row"), F.lit(blocks)).cast("long")
+    indexed = rows.select(of_row.alias("_block"), F.lit(False).alias("_query"), "_id", "_row", "_v")
+    # the stated query set against all rows, in blocks: every query meets every block once
+    asked = rows.where("_q").select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_block"), F.lit(True).alias("_query"), "_id", "_row", "_v")
+    met = indexed.unionByName(asked).repartition(blocks, "_block").sortWithinPartitions("_block", "_query", "_row")
+    found = met.mapInArrow(_search(k, batch or BATCH), "query_id long, query_row long, vec_id long, vec_row long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id", "query_row").orderBy(F.col("score").desc(), F.col("vec_id"), F.col("vec_row")))
     return found.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

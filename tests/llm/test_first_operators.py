@@ -181,14 +181,34 @@ def test_top_k(spark):
     vecs = [[float(x) for x in rng.normal(0, 0.2, 8).astype("f4")] for _ in range(230)]
     rows = [(i, v, i) for i, v in enumerate(vecs)] + [(300 + i, vecs[0], 0) for i in range(7)] + [(50, vecs[3], 1), (400, None, 1), (450, [1.0, None] + [0.0] * 6, 1), (500, [float("nan")] * 8, 1), (550, [float("inf")] * 8, 1)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score int").repartition(3)
-    got = Counter((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") % 50 == 0).collect())
+    results = [Counter((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") % 50 == 0, **sizes).collect()) for sizes in ({}, {"block": 40, "batch": 3})]
     good = [(i, np.floor(256 * np.array(v, "f4").astype(float)).astype(int)) for i, v, _ in rows if v and None not in v and np.isfinite(v).all()]
     want = Counter()
     for a, (i, q) in enumerate(good):
         if i % 50 == 0:
             best = sorted((-int(q @ v), j) for b, (j, v) in enumerate(good) if a != b)[:5]
             want.update((i, k + 1, j, -s) for k, (s, j) in enumerate(best))
-    assert got == want
+    assert results == [want, want]
+
+
+def test_impact_index():
+    """Dense, sparse, heavy-tailed, empty and unequally long vectors; a proof before all segments are read."""
+    rng = np.random.default_rng(6)
+    for trial in range(40):
+        n, d, dq = rng.integers(1, 300), rng.integers(1, 12), rng.integers(0, 14)
+        v = np.floor(256 * rng.standard_t(1 if trial % 2 else 8, (n, d)) * (rng.random((n, d)) < 0.6)).astype(np.int64)
+        q = np.floor(256 * rng.standard_t(2, (9, dq))).astype(np.int64) * (np.arange(9)[:, None] > 0)
+        row, ident, q_row = rng.permutation(n), rng.integers(0, n, n), rng.integers(0, 2 * n, 9)
+        qi, vi, score = topk.ImpactIndex(v, row, ident).search(q, q_row, 5)
+        m = min(d, dq)
+        for j in range(9):
+            best = sorted((-int(q[j, :m] @ v[i, :m]), ident[i], row[i]) for i in range(n) if row[i] != q_row[j])[:5]
+            assert [(-s, ident[i], row[i]) for s, i in zip(score[qi == j], vi[qi == j])] == best
+    v = rng.integers(-3, 4, (4000, 16))
+    v[:40] *= 200
+    index = topk.ImpactIndex(v, np.arange(4000), np.arange(4000))
+    index.start[index.impact < 64] = index.end[index.impact < 64] = 10**9  # reading these would fail
+    index.search(rng.integers(-9, 10, (7, 16)), np.full(7, -1), 5)
 
 
 def test_warc(spark):
