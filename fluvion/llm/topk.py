@@ -152,7 +152,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_
     indexed = rows.select(of_row.alias("_block"), F.lit(False).alias("_query"), "_id", "_row", "_v")
     # the stated query set against all rows, in blocks: every query meets every block once
     asked = rows.where("_q").select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_block"), F.lit(True).alias("_query"), "_id", "_row", "_v")
-    met = indexed.unionByName(asked).repartition(blocks, "_block").sortWithinPartitions("_block", "_query", "_row")
+    met = indexed.unionByName(asked).repartitionById(blocks, F.col("_block").cast("int")).sortWithinPartitions("_block", "_query", "_row")
     found = met.mapInArrow(_search(k, batch or BATCH), "query_id long, query_row long, vec_id long, vec_row long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id", "query_row").orderBy(F.col("score").desc(), F.col("vec_id"), F.col("vec_row")))
     return found.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
