@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .functions import scalars as fn
-from .operators import exchange, flows, grid, hydro, lines, network
+from .operators import exchange, flows, grid, hydro, lines, network, reaches
 from .plans import views as v
 from .sources import tables
 
@@ -621,6 +621,40 @@ def m20_fill_gaps(spark, d):
     return grid.fill_gaps(o)
 
 
+# ---------------------------------------------------------------- reaches in grids
+
+
+STREAM_CELLS = "stream AS (SELECT dem_id, id, r // 6 AS reach FROM pointers WHERE c % 5 <> 0)"
+
+
+def _stream_cells(spark, d):
+    return v.grid(spark, d).where("c % 5 <> 0").select("dem_id", "r", "c", F.expr("r div 6").alias("reach"))
+
+
+@query(f"""WITH RECURSIVE {POINTERS}, {STREAM_CELLS},
+link AS (SELECT s.dem_id, s.id, s.reach, coalesce(s1.id, s2.id) AS nxt, CASE WHEN s1.id IS NOT NULL THEN 1 WHEN s2.id IS NOT NULL THEN 2 END AS gap FROM stream s JOIN pointers p1 ON p1.id = s.id LEFT JOIN stream s1 ON s1.id = p1.down AND s1.reach = s.reach LEFT JOIN pointers p2 ON p2.id = p1.down LEFT JOIN stream s2 ON s2.id = p2.down AND s2.reach = s.reach),
+walk AS (SELECT dem_id, reach, id AS head, id AS fin, 1 AS covered, 0 AS len FROM link UNION ALL SELECT walk.dem_id, walk.reach, head, nxt, covered + 1, len + gap FROM walk JOIN link ON link.id = fin WHERE nxt IS NOT NULL),
+ends AS (SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY head ORDER BY covered DESC) = 1)
+SELECT dem_id, CAST(head % 256 AS BIGINT) AS start_pixel, CAST(fin % 256 AS BIGINT) AS end_pixel, CAST(len + 1 AS BIGINT) AS length, CAST(reach AS BIGINT) AS stream_id FROM ends WHERE reach > 0 QUALIFY row_number() OVER (PARTITION BY dem_id, reach ORDER BY covered DESC, len DESC, head) = 1""")
+def g13_g14_stream_info(spark, d):
+    return reaches.stream_info(_stream_cells(spark, d), _down(spark, d), v.grids(spark, d).withColumn("ncols", F.lit(16)))
+
+
+PATHS = "paths AS (SELECT CAST(o_custkey % 5 AS BIGINT) AS dem_id, o_custkey AS reach, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INTEGER) AS pos, CAST(o_orderkey % 13 AS INTEGER) AS r, CAST(o_orderkey // 3 % 11 AS INTEGER) AS c, CAST(floor(o_totalprice) AS BIGINT) % 7 AS z, o_orderkey % 9 = 0 AS joined FROM orders)"
+
+
+@query(f"""WITH {PATHS}, lake AS (SELECT s_suppkey % 5 AS dem_id, s_suppkey % 13 AS r, s_suppkey % 11 AS c FROM supplier),
+leaving AS (SELECT dem_id, reach FROM paths p WHERE pos = 0 AND NOT joined AND EXISTS (SELECT 1 FROM lake l WHERE l.dem_id = p.dem_id AND abs(l.r - p.r) <= 1 AND abs(l.c - p.c) <= 1)),
+falls AS (SELECT *, z - lead(z) OVER w >= 2 AS fall, count(*) OVER (PARTITION BY reach) AS n, coalesce(min(CASE WHEN joined THEN pos END) OVER (PARTITION BY reach), 99) AS stop FROM paths JOIN leaving USING (dem_id, reach) WINDOW w AS (PARTITION BY reach ORDER BY pos)),
+foot AS (SELECT reach, n, max(pos) + 1 AS foot FROM falls WHERE fall AND pos < 6 AND pos < stop GROUP BY ALL),
+moved AS (SELECT reach, foot FROM foot f WHERE n - foot >= 3 AND NOT EXISTS (SELECT 1 FROM falls x WHERE x.reach = f.reach AND x.fall AND x.pos >= foot AND x.pos < foot + 1))
+SELECT dem_id, reach, pos, r, c, z, joined FROM paths LEFT JOIN moved USING (reach) WHERE foot IS NULL OR pos >= foot""")
+def m12_below_outlets(spark, d):
+    o = v.table(spark, d, "orders").selectExpr("o_custkey % 5 dem_id", "o_custkey reach", "cast(row_number() over (partition by o_custkey order by o_orderkey) - 1 as int) pos", "cast(o_orderkey % 13 as int) r", "cast(o_orderkey div 3 % 11 as int) c", "cast(floor(o_totalprice) as long) % 7 z", "o_orderkey % 9 = 0 joined")
+    lake = v.table(spark, d, "supplier").selectExpr("s_suppkey % 5 dem_id", "s_suppkey % 13 r", "s_suppkey % 11 c")
+    return reaches.below_outlets(o, lake, 1, 6, 1, 2, 3)
+
+
 # ---------------------------------------------------------------- exchange between tiles
 
 
