@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import fixpoint as fx
+from . import whole
 from .grid import CELL, flow_direction, level_cells, neighbours
 
 
@@ -166,14 +167,55 @@ def flow_accumulation(down: DataFrame, weight: str) -> DataFrame:
     return fx.accumulate(down.select(F.struct(*CELL).alias("id"), to.alias("down"), F.col(weight).alias("w"))).select("id.dem_id", "id.r", "id.c", "total")
 
 
-def flat_gradient(cells: DataFrame) -> DataFrame:
-    """(dem_id, r, c, steps): on flats of a filled grid, the gradient of Barnes et al. (2014) in steps, 0 off them.
+#: Cells of the largest grid that one task solves, which takes some 350 MB.
+LARGEST = 2**19
+
+
+def _by_size(cells: DataFrame, space: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(dem_id, r, c, z, dx, dy), all of a grid in one partition, of the grids of at most LARGEST cells, and the cells of those beyond
+    or None. The spacings (dem_id, r, dx, dy) ride along as rows without c."""
+    nothing = F.lit(None).cast("double")
+    rows = cells.where("dem_id is not null and r is not null and c is not null").select(*CELL, "z", nothing.alias("dx"), nothing.alias("dy"))
+    if space is not None:
+        kinds = {f.name: f.dataType for f in rows.schema}
+        alone = [F.lit(None).cast(kinds[x]).alias(x) for x in ("c", "z")]
+        own = space.where("dem_id is not null and r is not null").select(F.col("dem_id").cast(kinds["dem_id"]), F.col("r").cast(kinds["r"]), *alone, F.col("dx").cast("double"), F.col("dy").cast("double"))
+        rows = rows.unionAll(own)
+    rows = fx.settle(rows.repartition("dem_id"))
+    large = fx.settle(rows.groupBy("dem_id").agg(F.count("c").alias("n")).where(F.col("n") > LARGEST).select("dem_id"))
+    if not large.limit(1).count():
+        return rows, None
+    rest = rows.join(large, "dem_id", "left_semi").where("c is not null").select(*CELL, "z")
+    return rows.join(large, "dem_id", "left_anti").repartition("dem_id"), rest
+
+
+def _solved(rows: DataFrame, raw: bool, coded: bool) -> DataFrame:
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    schema = ", ".join(f"`{x}` {kinds[x]}" for x in CELL) + (", code int" if coded else ", steps int")
+    return rows.sortWithinPartitions("dem_id").mapInArrow(lambda batches: whole.run(batches, raw, coded), schema)
+
+
+def flat_gradient(cells: DataFrame, raw: bool = False) -> DataFrame:
+    """(dem_id, r, c, steps): on flats of a filled grid, the gradient of Barnes et al. (2014) in steps, 0 off them. raw: fill first.
 
     A cell drains if a neighbour is lower, or off the grid or no data; flats are patches of one level whose other cells
     reach one that drains, a low edge. Steps are twice those from the low edges (which are 1), plus, where higher
     ground is reached through the flat, the most steps away from it in the flat less the cell's own. Integers, so that
     directions on flats compare as pairs (height, steps) and no height is ever nudged.
+
+    A task solves whole grids of at most LARGEST cells, larger ones go by rounds over cells.
     """
+    rows, large = _by_size(cells.where("z is not null") if raw else cells)
+    out = _solved(rows, raw, False)
+    return out if large is None else out.unionAll(gradient_by_rounds(_filled(large) if raw else large))
+
+
+def _filled(cells: DataFrame) -> DataFrame:
+    return fill(cells).select(*CELL, F.col("filled").alias("z"))
+
+
+def gradient_by_rounds(cells: DataFrame) -> DataFrame:
+    """flat_gradient by relation alone; rounds grow with the longest way through a flat."""
     cells = fx.settle(cells.select(*CELL, "z"))
     near = fx.settle(neighbours(cells))
     around = near.groupBy(*CELL).agg(F.count("*").alias("n"), F.min("zn").alias("low"), F.max("zn").alias("high"))
