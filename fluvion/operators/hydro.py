@@ -238,10 +238,14 @@ def gradient_by_rounds(cells: DataFrame) -> DataFrame:
     return met.select(*CELL, F.coalesce(2 * F.col("toward") + F.coalesce(F.col("height") - F.col("away"), F.lit(0)), F.lit(0)).cast("int").alias("steps"))
 
 
-def drained(filled: DataFrame, space: DataFrame) -> DataFrame:
-    """(dem_id, r, c, code): directions on a filled grid (dem_id, r, c, z), flats resolved by their gradient."""
-    steps = flat_gradient(filled)
-    return flow_direction(filled.join(steps, CELL), space, "steps")
+def drained(cells: DataFrame, space: DataFrame, raw: bool = False) -> DataFrame:
+    """(dem_id, r, c, code): directions on a filled grid (dem_id, r, c, z), flats resolved by their gradient. raw: fill first."""
+    rows, large = _by_size(cells.where("z is not null"), space)
+    out = _solved(rows, raw, True)
+    if large is None:
+        return out
+    large = fx.settle(_filled(large) if raw else large)
+    return out.unionAll(flow_direction(large.join(gradient_by_rounds(large), CELL), space, "steps"))
 
 
 def water_mask(streams: DataFrame, water: DataFrame, ocean: DataFrame) -> DataFrame:

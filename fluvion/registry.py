@@ -487,8 +487,7 @@ def r23_flat_gradient(spark, d):
 
 @query(f"WITH RECURSIVE {STEPS}, {v.SPACE}, e AS (SELECT a.dem_id, a.r, a.c, k, code, (a.z - b.z) / sqrt(dx * dc * (dx * dc) + dy * dr * (dy * dr)) AS slope, (s.steps - t.steps) / sqrt(dx * dc * (dx * dc) + dy * dr * (dy * dr)) AS ease FROM filled a CROSS JOIN d8 JOIN filled b ON b.dem_id = a.dem_id AND b.r = a.r + dr AND b.c = a.c + dc JOIN steps s ON s.id = a.id JOIN steps t ON t.id = b.id JOIN space ON space.dem_id = a.dem_id AND space.r = a.r), best AS (SELECT dem_id, r, c, code FROM (SELECT *, row_number() OVER (PARTITION BY dem_id, r, c ORDER BY slope DESC, ease DESC, k) AS n FROM e WHERE slope > 0 OR slope = 0 AND ease > 0) WHERE n = 1) SELECT f.dem_id, f.r, f.c, CAST(coalesce(code, 0) AS INTEGER) AS code FROM filled f LEFT JOIN best USING (dem_id, r, c)")
 def r24_r26_drained(spark, d):
-    g = hydro.fill(v.small_grid(spark, d)).select("dem_id", "r", "c", F.col("filled").alias("z"))
-    return hydro.drained(g, _space(spark, d))
+    return hydro.drained(v.small_grid(spark, d), _space(spark, d), raw=True)
 
 
 @query(f"WITH {v.GRID} SELECT dem_id, r - 5 AS r, c - 7 AS c, z FROM grid WHERE r BETWEEN 5 AND 12 AND c BETWEEN 7 AND 12")
